@@ -10,14 +10,12 @@ from pyspark.sql import Column, DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
 
-def _orderable(dtype: T.DataType) -> bool:
+def _tie_break(field: T.StructField) -> Column | None:
+    """An ordering over the values of a column; maps order by their sorted entries."""
+    column, dtype = F.col(f"`{field.name}`"), field.dataType
     if isinstance(dtype, T.MapType):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
-    return not isinstance(dtype, T.VariantType)
+        return F.sort_array(F.map_entries(column)).asc_nulls_first()
+    return None if isinstance(dtype, T.VariantType) else column.asc_nulls_first()
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = (),
@@ -34,9 +32,9 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     """
     if null_keys not in ("collapse", "keep", "drop"):
         raise ValueError(f"null_keys must be collapse, keep or drop, not {null_keys!r}")
-    ties = [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
-            if f.name not in keys and _orderable(f.dataType)]
-    spec = Window.partitionBy(*keys).orderBy(*order_by, *ties)
+    ties = [_tie_break(f) for f in df.schema.fields if f.name not in keys]
+    order = [*order_by, *[t for t in ties if t is not None]] or [F.col(k) for k in keys]
+    spec = Window.partitionBy(*keys).orderBy(*order)
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
     rows = df if null_keys == "collapse" else df.where(known)
     picked = rows.withColumn("_rank", F.row_number().over(spec)).where("_rank = 1").drop("_rank")

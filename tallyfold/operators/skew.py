@@ -36,15 +36,15 @@ class HeavyKeys:
         return bool(self.rows)
 
 
-def heavy_keys(df: DataFrame, key: str, shares: int = SHARES, min_rows: int = MIN_ROWS) -> HeavyKeys:
+def heavy_keys(df: DataFrame, key: str, shares: int | None = None, min_rows: int | None = None) -> HeavyKeys:
     """Count rows per key (one column read, combined before the shuffle) and keep the heavy ones.
 
-    The collected list has fewer than ``shares`` rows: each holds more than
-    ``1 / shares`` of the total.
+    The collected list has fewer than ``shares`` rows, since each of them holds
+    more than ``1 / shares`` of the total. It steers the layout, never the result.
     """
     counts = df.groupBy(F.col(key).alias("_heavy_key")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total")).scalar()
-    limit = F.greatest(F.lit(float(min_rows)), total / F.lit(shares))
+    limit = F.greatest(F.lit(float(min_rows or MIN_ROWS)), total / F.lit(shares or SHARES))
     rows = (counts.withColumn("_limit", limit).where(F.col("n") > F.col("_limit"))
             .select("_heavy_key", F.ceil(F.col("n") / F.col("_limit")).alias("_pieces")).collect())
     return HeavyKeys(key, df.schema[key].dataType, tuple(tuple(r) for r in rows))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..functions.alerts import STREAM_LIMITS, AnomalyLimits
 from ..operators.features import flag_anomalies, window_features
 from ..sinks.keyed_log import KeyedLog
 from ..sinks.warehouse import Target, save
+from .parse import triggered
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FEATURE_KEYS = ("window_start", "window_end", "customer_id")
 
 
@@ -37,11 +39,6 @@ def feature_log(path: str, schema: T.StructType) -> KeyedLog:
     return KeyedLog(path, FEATURE_KEYS, schema)
 
 
-def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
-    """Run at an interval, or once over what is there now."""
-    return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-
-
 def start_upserts(rows: DataFrame, log: KeyedLog, checkpoint: str, every: str | None = "5 seconds") -> StreamingQuery:
     """Write every refreshed window; the log returns the last state of each.
 
@@ -67,7 +64,29 @@ def start_sink(rows: DataFrame, table: str, target: Target, checkpoint: str, eve
     mode every refresh of a window adds a row: prefer append mode with a
     watermark here, or ``start_upserts``.
     """
-    writer = (rows.writeStream.outputMode(output_mode)
-              .foreachBatch(lambda batch, _: save(batch, table, target, "append") and None)
-              .option("checkpointLocation", checkpoint))
+    def append(batch: DataFrame, batch_id: int) -> None:
+        save(batch, table, target, "append")
+
+    writer = rows.writeStream.outputMode(output_mode).foreachBatch(append).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
+
+
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int | None = None, on_disk: bool = False):
+    """Start stateful queries inside: their first run fixes the number of state partitions for good.
+
+    ``on_disk`` keeps state in RocksDB instead of executor memory, for very many customers.
+    """
+    wanted = {}
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    if on_disk:
+        wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -16,7 +16,7 @@ def moving_average_stream(transactions: DataFrame, rows: int = 5, *, key: str =
     rows are put in order; across micro-batches they count in order of
     arrival, so the result equals the batch one when files or offsets are read
     in time order. All rows a customer has in one micro-batch meet in one
-    task: cap the source (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
+    task: cap the source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``).
     """
     output = T.StructType([*transactions.schema.fields, T.StructField("moving_avg_amount", T.DoubleType())])
     state_schema = T.StructType([T.StructField("last", T.ArrayType(T.DoubleType()))])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..schemas import STREAM_TRANSACTION
 
@@ -22,3 +24,25 @@ def parse_transactions(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = _unreadable(F.col("_payload"))
     rejected = parsed.where(bad).select(F.col("value").cast("string").alias("value"))
     return parsed.where(~bad).select("_payload.*"), rejected
+
+
+def start_landing(messages: DataFrame, accepted: str, rejected: str, checkpoint: str,
+                  every: str | None = "5 seconds") -> StreamingQuery:
+    """Land both halves from one read of the source.
+
+    Every micro-batch replaces its own two folders, so replaying one adds nothing.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for half, path in zip(parse_transactions(batch), (accepted, rejected)):
+                half.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return triggered(messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint), every).start()
+
+
+def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+    """Run at an interval, or once over what is there now."""
+    return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)

@@ -14,10 +14,10 @@ from .tables import STREAM_CTE, table
 WALL_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def messages(spark, sf_dir, spoil=False):
+def messages(spark, sf_dir, spoil=False, **limits):
     """The events as a message stream: JSON text as bytes, every 101st one broken on request."""
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    events = spark.readStream.schema(schema).options(**limits).parquet(f"{sf_dir}/events.parque[t]")
     payload = F.to_json(F.struct(
         F.concat(F.lit("E"), F.col("event_id")).alias("transaction_id"), F.col("user_id").cast("string").alias("customer_id"),
         F.col("value").alias("amount"), F.date_format("ts", WALL_CLOCK).alias("timestamp")))
@@ -52,7 +52,7 @@ def rejects(spark, sf_dir):
 
 
 def upserted_features(spark, sf_dir):
-    rows = feature_rows(transactions(spark, sf_dir), FeatureSettings(watermark=None))
+    rows = feature_rows(transactions(spark, sf_dir), FeatureSettings(watermark="40 days"))
     log = feature_log(run_dir(spark, "features"), rows.schema)
     start_upserts(rows, log, run_dir(spark, "features-checkpoint"), every=None).awaitTermination()
     return rounded(without_zone(log.current(spark), "window_start", "window_end"), "rolling_avg_amount", "stddev_amount")
@@ -65,7 +65,9 @@ def final_features(spark, sf_dir):
 
 
 def moving_average(spark, sf_dir):
-    rows = appended(moving_average_stream(transactions(spark, sf_dir)), "moving-average")
+    # A customer's rows of one micro-batch meet in one task, so the micro-batch is capped.
+    capped = parse_transactions(messages(spark, sf_dir, maxBytesPerTrigger="1g"))[0]
+    rows = appended(moving_average_stream(capped), "moving-average")
     return rounded(without_zone(rows, "timestamp"), "moving_avg_amount").withColumnRenamed("timestamp", "event_ts")
 
 
