@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import moment
-from .skew import HeavyKeys, heavy_keys, salted_left_join
+from .skew import HeavyKeys, KeyTable, flagged_keys, heavy_keys, salted_left_join
 
 KEY = "customer_id"
 
@@ -30,12 +30,8 @@ def join_customers(transactions: DataFrame, customers: DataFrame, *, run_ts: dat
     return salted_left_join(transactions, customers, heavy, spread).withColumn("etl_timestamp", stamp)
 
 
-def orphan_keys(rows: DataFrame, key: str, reference: DataFrame, reference_key: str) -> DataFrame:
-    """Non-null key values without a partner in ``reference``, with their row count.
-
-    Rows are counted per key before the anti join, so a key with very many
-    rows crosses the network once per map task.
-    """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("occurrences"))
-    known = reference.select(F.col(reference_key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return counts.join(known, key, "left_anti")
+def orphan_keys(rows: DataFrame, key: str, reference: DataFrame, reference_key: str) -> KeyTable:
+    """Non-null key values without a partner in ``reference``, with their row count."""
+    known = reference.select(F.col(reference_key).alias(key), F.lit(True).alias("_known")).distinct()
+    return flagged_keys(rows, key, lambda counts: counts.join(known, key, "left")
+                        .withColumn("_flag", F.col("_known").isNull()).drop("_known"))

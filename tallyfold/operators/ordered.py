@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import flag
 from ..workspace import ensure_checkpoint_dir
-from .skew import HeavyKeys, heavy_keys, lookup_left_join
+from .skew import HeavyKeys, aggregate_keys, heavy_keys, lookup_left_join
 
 RUN = "_run"
 
@@ -107,15 +107,12 @@ def zscore_previous(df: DataFrame, rows: int = 5, threshold: float = 2.5, *, key
     return _scored(framed, amount, threshold)
 
 
-def zscore_history(df: DataFrame, threshold: float = 2.5, *, key: str = "customer_id", amount: str = "amount",
-                   heavy: HeavyKeys | None = None) -> DataFrame:
-    """Distance of an amount from all transactions of its customer.
+def zscore_history(df: DataFrame, threshold: float = 2.5, *, key: str = "customer_id",
+                   amount: str = "amount") -> DataFrame:
+    """Distance of an amount from all transactions of its customer; 0 without a customer.
 
     The baseline is a combined aggregate joined back, not a window: a window
     would hold every row of a customer in one task.
     """
-    if heavy is None:
-        heavy = heavy_keys(df, key)
-    baseline = (df.where(F.col(key).isNotNull()).groupBy(key)
-                .agg(F.avg(amount).alias("baseline_avg"), F.stddev_samp(amount).alias("baseline_stddev")))
-    return _scored(lookup_left_join(df, baseline, heavy), amount, threshold)
+    baseline = aggregate_keys(df, key, baseline_avg=F.avg(amount), baseline_stddev=F.stddev_samp(amount))
+    return _scored(lookup_left_join(df, baseline).drop("occurrences"), amount, threshold)

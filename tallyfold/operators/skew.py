@@ -7,15 +7,20 @@ than ``SHARES`` of them whatever the table size, and the list may be broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, types as T
+from pyspark.sql import Column, DataFrame, Observation, types as T
 from pyspark.sql import functions as F
 
+from ..workspace import run_dir
+
 # A task should not get more than this part of the rows because of one key ...
 SHARES = 10_000
 # ... and below this many rows per key there is nothing to split.
 MIN_ROWS = 1_000_000
+# A key table with no more rows than this is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -36,18 +41,72 @@ class HeavyKeys:
         return bool(self.rows)
 
 
+def _limit(total: Column, shares: int | None = None, min_rows: int | None = None) -> Column:
+    return F.greatest(F.lit(float(min_rows or MIN_ROWS)), total / F.lit(shares or SHARES))
+
+
+def _pieces(rows: Column, limit: Column) -> Column:
+    """Number of pieces of a heavy key, null for the others."""
+    return F.when(rows > limit, F.ceil(rows / limit))
+
+
+def _listed(measured: DataFrame, key: str) -> HeavyKeys:
+    """Fewer than ``SHARES`` rows reach the driver, since each stands for more than that part of the total."""
+    rows = measured.where("_pieces is not null").select(key, "_pieces").collect()
+    return HeavyKeys(key, measured.schema[key].dataType, tuple(tuple(r) for r in rows))
+
+
 def heavy_keys(df: DataFrame, key: str, shares: int | None = None, min_rows: int | None = None) -> HeavyKeys:
     """Count rows per key (one column read, combined before the shuffle) and keep the heavy ones.
 
-    The collected list has fewer than ``shares`` rows, since each of them holds
-    more than ``1 / shares`` of the total. It steers the layout, never the result.
+    The list steers the layout, never the result. The total comes from the
+    same counts, whose shuffle is reused.
     """
-    counts = df.groupBy(F.col(key).alias("_heavy_key")).agg(F.count("*").alias("n"))
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total")).scalar()
-    limit = F.greatest(F.lit(float(min_rows or MIN_ROWS)), total / F.lit(shares or SHARES))
-    rows = (counts.withColumn("_limit", limit).where(F.col("n") > F.col("_limit"))
-            .select("_heavy_key", F.ceil(F.col("n") / F.col("_limit")).alias("_pieces")).collect())
-    return HeavyKeys(key, df.schema[key].dataType, tuple(tuple(r) for r in rows))
+    return _listed(counts.withColumn("_pieces", _pieces(F.col("n"), _limit(total, shares, min_rows))), key)
+
+
+@dataclass(frozen=True)
+class KeyTable:
+    """One row per key, written to the shared folder, so that its size is known before it is joined.
+
+    ``heavy`` are the heavy keys of the table it was computed from.
+    """
+
+    table: DataFrame
+    heavy: HeavyKeys
+    small: bool
+
+
+def _stored(rows: DataFrame) -> tuple[DataFrame, int]:
+    path, seen = run_dir(rows.sparkSession, "keys"), Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), seen.get["rows"]
+
+
+def aggregate_keys(df: DataFrame, key: str, **aggregates: Column) -> KeyTable:
+    """Aggregates of every key, computed once for joining back and for measuring skew."""
+    stored, rows = _stored(df.groupBy(key).agg(F.count("*").alias("occurrences"), *[a.alias(n) for n, a in aggregates.items()]))
+    total = stored.agg(F.sum("occurrences").alias("total")).scalar()
+    heavy = _listed(stored.withColumn("_pieces", _pieces(F.col("occurrences"), _limit(total))), key)
+    return KeyTable(stored, heavy, rows <= BROADCAST_ROWS)
+
+
+def flagged_keys(df: DataFrame, key: str, flag: Callable[[DataFrame], DataFrame]) -> KeyTable:
+    """Keys picked by ``flag``, which gets ``key, occurrences`` and adds a boolean ``_flag``; null is never picked.
+
+    Rows are counted per key before anything else, so a key with very many
+    rows crosses the network once per map task.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("occurrences"))
+    total = counts.agg(F.sum("occurrences").alias("total")).scalar()
+    marked = flag(counts).withColumns({
+        "_flag": F.col("_flag") & F.col(key).isNotNull(),
+        "_pieces": _pieces(F.col("occurrences"), _limit(total)),
+    })
+    stored, rows = _stored(marked.where("_flag or _pieces is not null"))
+    return KeyTable(stored.where("_flag").select(key, "occurrences"), _listed(stored, key), rows <= BROADCAST_ROWS)
 
 
 def _tagged(df: DataFrame, heavy: HeavyKeys) -> DataFrame:
@@ -74,20 +133,22 @@ def salted_left_join(left: DataFrame, right: DataFrame, heavy: HeavyKeys, spread
     return left.join(right, [key, "_piece"], "left").drop("_piece")
 
 
-def lookup_left_join(left: DataFrame, right: DataFrame, heavy: HeavyKeys) -> DataFrame:
-    """Left outer join on ``heavy.key`` where the right side has one row per key.
+def lookup_left_join(left: DataFrame, right: KeyTable) -> DataFrame:
+    """Left outer join with a table of keys.
 
-    Rows of heavy keys never travel: the right rows of those keys are fewer
-    than ``SHARES`` and are broadcast. The other rows take an ordinary join,
-    whose strategy is left to the optimizer. Right for left sides that may
-    hold many exact copies of a row, where no hash could spread them.
+    A small key table is broadcast. Otherwise rows of heavy keys still do not
+    travel: the right rows of those keys are fewer than ``SHARES`` and are
+    broadcast to where they are, while all other rows take an ordinary join.
+    Nothing depends on a hash spreading the rows of a key, so exact copies do no harm.
     """
-    key = heavy.key
-    if not heavy:
-        return left.join(right, key, "left")
-    tagged = _tagged(left, heavy)
-    marks = heavy.frame(right)
-    heavy_right = F.broadcast(right.join(marks, F.col(key) == marks["_heavy_key"], "left_semi"))
-    hot = tagged.where("_pieces is not null").drop("_pieces").join(heavy_right, key, "left")
-    cold = tagged.where("_pieces is null").drop("_pieces").join(right, key, "left")
+    key = right.heavy.key
+    if right.small:
+        return left.join(F.broadcast(right.table), key, "left")
+    if not right.heavy:
+        return left.join(right.table, key, "left")
+    tagged = _tagged(left, right.heavy)
+    marks = right.heavy.frame(left)
+    of_heavy = F.broadcast(right.table.join(marks, F.col(key) == marks["_heavy_key"], "left_semi"))
+    hot = tagged.where("_pieces is not null").drop("_pieces").join(of_heavy, key, "left")
+    cold = tagged.where("_pieces is null").drop("_pieces").join(right.table, key, "left")
     return cold.unionByName(hot)

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import lenient_double, moment
-from ..operators.dedup import duplicate_keys
 from ..operators.enrich import orphan_keys
-from ..operators.skew import heavy_keys, lookup_left_join
+from ..operators.skew import KeyTable, flagged_keys, lookup_left_join
 from ..schemas import TYPE_NAMES
 from .rules import KEY_KINDS, ROW_KINDS, SCHEMA_KINDS, Rule
 
@@ -160,18 +159,22 @@ def offending_rows(df: DataFrame, rules: Sequence[Rule], *, references: Mapping[
         if rule.kind not in KEY_KINDS or not _usable(rule, df):
             continue
         if rule.kind == "unique":
-            bad = duplicate_keys(df, rule.column)
+            bad = _duplicates(df, rule.column)
         else:
             bad = orphan_keys(df, rule.column, (references or {})[rule.reference_table], rule.reference_column)
         mark = f"_bad{no}"
-        marked = lookup_left_join(marked, bad.select(rule.column, F.lit(True).alias(mark)), heavy_keys(df, rule.column))
-        failed[rule.name] = F.coalesce(F.col(mark), F.lit(False))
+        marked = lookup_left_join(marked, bad).withColumnRenamed("occurrences", mark)
+        failed[rule.name] = F.col(mark).isNotNull()
     in_order = [(r.name, failed[r.name]) for r in rules]
     hit = reduce(or_, [c for _, c in in_order])
     return marked.where(hit).select(*df.columns, _names_of(in_order).alias("failed_rules"))
 
 
+def _duplicates(df: DataFrame, key: str) -> KeyTable:
+    return flagged_keys(df, key, lambda counts: counts.withColumn("_flag", F.col("occurrences") > 1))
+
+
 def rows_with_duplicate_key(df: DataFrame, key: str) -> DataFrame:
     """Every row whose non-null key occurs more than once, with ``occurrences``."""
-    joined = lookup_left_join(df, duplicate_keys(df, key), heavy_keys(df, key))
+    joined = lookup_left_join(df, _duplicates(df, key))
     return joined.where("occurrences is not null").select(*df.columns, "occurrences")

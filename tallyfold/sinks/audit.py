@@ -33,6 +33,11 @@ def within_retention(log: DataFrame, as_of: Column, days: int = 30, column: str
     return log.where(F.col(column) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
+def prune_audit(spark: SparkSession, log_path: str, into: str, as_of: Column, days: int = 30) -> None:
+    """Write the entries still within retention to a new folder, which then replaces the old log."""
+    within_retention(read_audit(spark, log_path), as_of, days).write.mode("error").parquet(into)
+
+
 class TooManyBadRecords(RuntimeError):
     pass
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,20 @@ def save_mode(write_disposition: str, create_disposition: str = "CREATE_IF_NEEDE
     return WRITE_DISPOSITIONS[write_disposition]
 
 
+class SchemaMismatch(ValueError):
+    pass
+
+
+def check_schema(df: DataFrame, expected: StructType) -> None:
+    """Fail before a load when a column is missing or has another type; additional columns pass."""
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: expected {f.dataType.simpleString()}, "
+             f"got {actual[f.name].simpleString() if f.name in actual else 'nothing'}"
+             for f in expected.fields if actual.get(f.name) != f.dataType]
+    if wrong:
+        raise SchemaMismatch("; ".join(wrong))
+
+
 def save(df: DataFrame, table: str, target: Target, mode: str = "append", prefix: str = "") -> int:
     """Write and return the row count, which is observed while writing rather than counted again."""
     seen = Observation()

@@ -86,7 +86,8 @@ CUSTOMER_FIELDS = {"c_custkey": "int", "c_name": "string", "c_nationkey": "INT32
 def files_audit(spark, sf_dir):
     """Every file in the folder against the customer schema: only the customer files come near it."""
     audit = audit_schema(spark, sf_dir, CUSTOMER_FIELDS)
-    return audit.withColumn("path", F.regexp_extract("path", r"/([^/]+)\.parquet", 1)).distinct()
+    name = F.regexp_extract("path", r"/([^/]+)\.parquet", 1)
+    return audit.select(name.alias("table_name"), "field", "expected", "verdict").distinct()
 
 
 QUERIES = {
@@ -225,7 +226,21 @@ statistics AS (SELECT run_ts, 4 AS evaluated_expectations,
     CAST(r1 > 0 AS INT) + CAST(r2 > 0 AS INT) + CAST(r3 > 0 AS INT) + CAST(r4 > 0 AS INT) AS unsuccessful_expectations,
     25.0 * (4 - unsuccessful_expectations) AS success_percent FROM daily)"""
 
+_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+           "conversations").split()
+_ACTUAL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name AS field, column_type FROM (DESCRIBE {t})" for t in _TABLES)
+_EXPECTED = ", ".join(f"('{field}', '{dtype}')" for field, dtype in CUSTOMER_FIELDS.items())
+
 ORACLES = {
+    "schema_audit": f"""WITH actual AS (
+        SELECT *, CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'VARCHAR' THEN 'string'
+          ELSE lower(column_type) END AS arrow_type FROM ({_ACTUAL})),
+      wanted AS (SELECT table_name, field, expected FROM (SELECT DISTINCT table_name FROM actual),
+        (VALUES {_EXPECTED}) v(field, expected))
+      SELECT coalesce(w.table_name, a.table_name) AS table_name, coalesce(w.field, a.field) AS field, expected,
+        CASE WHEN arrow_type IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra'
+          WHEN contains(arrow_type, lower(expected)) THEN 'ok' ELSE 'mismatch' END AS verdict
+      FROM wanted w FULL OUTER JOIN actual a ON w.table_name = a.table_name AND w.field = a.field""",
     "quality_crm": f"{_WITH} {_CRM_RESULTS}",
     "quality_tx": f"{_WITH} {_TX_RESULTS}",
     "quality_yaml_customers": f"{_WITH} {rule_sql('customers', 'crm_counted', CUSTOMER_ROWS)}",

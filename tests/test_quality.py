@@ -141,8 +141,9 @@ def test_quarantine(tx):
     assert [(r.transaction_id, r.failed_rules) for r in rejected.collect()] == [("t2", ["positive_amount"])]
 
 
-@pytest.mark.parametrize("min_rows", [2, 1000])
-def test_offenders_with_and_without_heavy_keys(spark, monkeypatch, min_rows):
+@pytest.mark.parametrize("min_rows, broadcast_rows", [(2, 0), (2, 1000), (1000, 0), (1000, 1000)])
+def test_offenders_with_and_without_heavy_keys(spark, monkeypatch, min_rows, broadcast_rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(skew, "MIN_ROWS", min_rows)
     rows = [("dup", 9)] * 5 + [("a", 1), ("b", 9), ("c", None), (None, 1), (None, 9), (None, 9)]
     df = spark.createDataFrame(rows, "transaction_id string, customer_id long")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import skew
 from tallyfold.operators.enrich import join_customers, orphan_keys
-from tallyfold.operators.skew import HeavyKeys, heavy_keys, lookup_left_join, salted_left_join
+from tallyfold.operators.skew import (HeavyKeys, aggregate_keys, flagged_keys, heavy_keys, lookup_left_join,
+                                      salted_left_join)
 
 
 def bag(df):
@@ -38,18 +39,34 @@ def test_number_of_heavy_keys_is_bounded(spark):
     assert len(heavy_keys(even, "k", shares=50, min_rows=1).rows) < 50
 
 
-@pytest.mark.parametrize("join", ["salted", "lookup"])
-def test_joins_equal_the_plain_one(spark, left, right, join):
+def test_salted_join_equals_the_plain_one(spark, left, right):
     want = bag(left.join(right, "k", "left"))
     for heavy in (heavy_keys(left, "k", shares=100, min_rows=10), HeavyKeys("k", left.schema["k"].dataType, ())):
-        if join == "salted":
-            got = salted_left_join(left, right, heavy, F.xxhash64("v"))
-        else:
-            got = lookup_left_join(left, right, heavy)
+        got = salted_left_join(left, right, heavy, F.xxhash64("v"))
         assert got.columns == ["k", "v", "w"]
         assert bag(got) == want
 
 
+@pytest.mark.parametrize("min_rows, broadcast_rows", [(10, 0), (10, 1000), (1000, 0), (1000, 1000)])
+def test_aggregates_joined_back(spark, left, monkeypatch, min_rows, broadcast_rows):
+    monkeypatch.setattr(skew, "MIN_ROWS", min_rows)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
+    keys = aggregate_keys(left, "k", top=F.max("v"))
+    assert bool(keys.heavy) == (min_rows == 10) and keys.small == (broadcast_rows == 1000)
+    plain = left.groupBy("k").agg(F.count("*").alias("occurrences"), F.max("v").alias("top"))
+    assert bag(lookup_left_join(left, keys)) == bag(left.join(plain, "k", "left"))
+
+
+@pytest.mark.parametrize("min_rows, broadcast_rows", [(10, 0), (10, 1000), (1000, 0), (1000, 1000)])
+def test_flags_joined_back(spark, left, monkeypatch, min_rows, broadcast_rows):
+    monkeypatch.setattr(skew, "MIN_ROWS", min_rows)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
+    keys = flagged_keys(left, "k", lambda counts: counts.withColumn("_flag", F.col("k").like("%5")))
+    got = lookup_left_join(left, keys)
+    assert got.count() == 900
+    assert bag(got.where("occurrences is not null").select("k")) == bag(left.where("k like '%5'").select("k"))
+
+
 def test_salted_join_with_several_partners(spark, left, right):
     twice = right.unionByName(right.withColumn("w", F.col("w") + 1))
     heavy = heavy_keys(left, "k", shares=100, min_rows=10)
@@ -71,9 +88,10 @@ def test_heavy_key_reaches_many_tasks(spark):
     assert sum(per_task) == 40000 and len(per_task) == 8 and max(per_task) < 12000
 
 
-def test_lookup_join_leaves_heavy_rows_where_they_are(spark, left, right):
-    heavy = heavy_keys(left, "k", shares=100, min_rows=10)
-    plan = lookup_left_join(left, right, heavy)._jdf.queryExecution().executedPlan().toString()
+def test_lookup_join_leaves_heavy_rows_where_they_are(spark, left, monkeypatch):
+    monkeypatch.setattr(skew, "MIN_ROWS", 10)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    plan = lookup_left_join(left, aggregate_keys(left, "k"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -89,6 +107,6 @@ def test_join_customers_renames_and_keeps_rows(spark, monkeypatch):
 
 
 def test_orphans_are_counted_before_the_join(spark, left, right):
-    got = {r.k: r.occurrences for r in orphan_keys(left, "k", right, "k").collect()}
+    got = {r.k: r.occurrences for r in orphan_keys(left, "k", right, "k").table.collect()}
     assert "h" not in got and None not in got
     assert sum(got.values()) == 150

@@ -3,13 +3,14 @@ from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyfold.plans.batch import run_batch
 from tallyfold.plans.quality import store_quality
 from tallyfold.quality.rules import Rule
 from tallyfold.schemas import LOAD_AUDIT, RAW_CUSTOMER
 from tallyfold.sinks import warehouse
-from tallyfold.sinks.audit import TooManyBadRecords, audited_save, check_bad_records, read_audit, within_retention
+from tallyfold.sinks.audit import TooManyBadRecords, audited_save, check_bad_records, prune_audit, read_audit, within_retention
 from tallyfold.sinks.keyed_log import KeyedLog
 from tallyfold.sinks.layout import land_extract, save_partitioned
 from tallyfold.sources.files import day_before, file_listing, json_records, on_day, read_files, validation_results
@@ -118,6 +119,22 @@ def test_retention(spark):
     assert sorted(r.load_id for r in kept.collect()) == ["0", "30"]
 
 
+def test_prune(spark, tmp_path):
+    log, pruned = str(tmp_path / "log"), str(tmp_path / "pruned")
+    audited_save(spark.range(1), "t", warehouse.files(str(tmp_path)), log)
+    prune_audit(spark, log, pruned, F.current_timestamp())
+    assert read_audit(spark, pruned).count() == 1
+    prune_audit(spark, log, pruned + "2", F.current_timestamp() + F.expr("interval 31 days"))
+    assert read_audit(spark, pruned + "2").count() == 0
+
+
+def test_schema_is_checked_before_a_load(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    warehouse.check_schema(df, StructType.fromDDL("a int"))
+    with pytest.raises(warehouse.SchemaMismatch, match="b: expected int, got string; c: expected int, got nothing"):
+        warehouse.check_schema(df, StructType.fromDDL("a int, b int, c int"))
+
+
 def test_bad_record_limit(spark):
     check_bad_records(spark.range(5))
     with pytest.raises(TooManyBadRecords):
