@@ -35,7 +35,7 @@ class HeavyKeys:
         """``_heavy_key, _pieces``; at most ``SHARES`` rows, marked for broadcast."""
         schema = T.StructType([T.StructField("_heavy_key", self.dtype, True),
                                T.StructField("_pieces", T.LongType(), False)])
-        return F.broadcast(df.sparkSession.createDataFrame(list(self.rows), schema))
+        return F.broadcast(df.sparkSession.createDataFrame(list(self.rows), schema).coalesce(1))
 
     def __bool__(self) -> bool:
         return bool(self.rows)

@@ -26,7 +26,7 @@ class KeyedLog:
 
     def create(self, spark: SparkSession) -> None:
         """Make the log readable before its first batch."""
-        spark.createDataFrame([], self.schema).write.mode("ignore").parquet(self._folder(-1))
+        spark.createDataFrame([], self.schema).coalesce(1).write.mode("ignore").parquet(self._folder(-1))
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(self._folder(batch_id))

@@ -66,7 +66,7 @@ def final_features(spark, sf_dir):
 
 def moving_average(spark, sf_dir):
     # A customer's rows of one micro-batch meet in one task, so the micro-batch is capped.
-    capped = parse_transactions(messages(spark, sf_dir, maxBytesPerTrigger=1 << 30))[0]
+    capped = parse_transactions(messages(spark, sf_dir, maxBytesPerTrigger=1 << 28))[0]
     rows = appended(moving_average_stream(capped), "moving-average")
     return rounded(without_zone(rows, "timestamp"), "moving_avg_amount").withColumnRenamed("timestamp", "event_ts")
 

@@ -9,18 +9,19 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else the checkpoint folder of the context.
 
-    A machine-local folder is used only for a local master that names none.
+    A machine-local folder is used only for a local master that names neither.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tallyfold-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyfold-"))
+    return context.getCheckpointDir()
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
