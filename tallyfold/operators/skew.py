@@ -79,18 +79,22 @@ class KeyTable:
     small: bool
 
 
-def _stored(rows: DataFrame) -> tuple[DataFrame, int]:
-    path, seen = run_dir(rows.sparkSession, "keys"), Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path), seen.get["rows"]
+def _stored(rows: DataFrame, **seen: Column) -> tuple[DataFrame, dict]:
+    """Write and read back; ``seen`` and the row count are observed while writing."""
+    path, observation = run_dir(rows.sparkSession, "keys"), Observation()
+    rows.observe(observation, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in seen.items()]).write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), observation.get
 
 
 def aggregate_keys(df: DataFrame, key: str, **aggregates: Column) -> KeyTable:
     """Aggregates of every key, computed once for joining back and for measuring skew."""
-    stored, rows = _stored(df.groupBy(key).agg(F.count("*").alias("occurrences"), *[a.alias(n) for n, a in aggregates.items()]))
-    total = stored.agg(F.sum("occurrences").alias("total")).scalar()
-    heavy = _listed(stored.withColumn("_pieces", _pieces(F.col("occurrences"), _limit(total))), key)
-    return KeyTable(stored, heavy, rows <= BROADCAST_ROWS)
+    per_key = df.groupBy(key).agg(F.count("*").alias("occurrences"), *[a.alias(n) for n, a in aggregates.items()])
+    stored, seen = _stored(per_key, total=F.sum("occurrences"), largest=F.max("occurrences"))
+    heavy = HeavyKeys(key, stored.schema[key].dataType, ())
+    limit = max(MIN_ROWS, (seen["total"] or 0) / SHARES)
+    if (seen["largest"] or 0) > limit:
+        heavy = _listed(stored.withColumn("_pieces", _pieces(F.col("occurrences"), F.lit(float(limit)))), key)
+    return KeyTable(stored, heavy, seen["rows"] <= BROADCAST_ROWS)
 
 
 def flagged_keys(df: DataFrame, key: str, flag: Callable[[DataFrame], DataFrame]) -> KeyTable:
@@ -105,8 +109,9 @@ def flagged_keys(df: DataFrame, key: str, flag: Callable[[DataFrame], DataFrame]
         "_flag": F.col("_flag") & F.col(key).isNotNull(),
         "_pieces": _pieces(F.col("occurrences"), _limit(total)),
     })
-    stored, rows = _stored(marked.where("_flag or _pieces is not null"))
-    return KeyTable(stored.where("_flag").select(key, "occurrences"), _listed(stored, key), rows <= BROADCAST_ROWS)
+    stored, seen = _stored(marked.where("_flag or _pieces is not null"), heavy=F.count("_pieces"))
+    heavy = _listed(stored, key) if seen["heavy"] else HeavyKeys(key, stored.schema[key].dataType, ())
+    return KeyTable(stored.where("_flag").select(key, "occurrences"), heavy, seen["rows"] <= BROADCAST_ROWS)
 
 
 def _tagged(df: DataFrame, heavy: HeavyKeys) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import standardise_customers, standardise_transactions
 from ..operators.schema_audit import audit_schema
-from ..plans.quality import suite_results
-from ..quality.report import (latest_report, quality_metrics, quality_report, suite_statistics, weekly, with_level,
-                              with_message)
+from ..plans.quality import store_quality, suite_results
+from ..quality.report import (last_metrics, latest_report, quality_metrics, quality_report, suite_statistics, weekly,
+                              with_level, with_message)
 from ..quality.rules import CONFIGURED_SUITES, CRM_SUITE, TRANSACTION_SUITE
 from ..quality.suite import offending_rows, rows_with_duplicate_key, run_suite, split_valid
+from ..sinks.warehouse import files
 from ..sources.files import validation_results
 from ..workspace import run_dir
 from .tables import CRM_CTES, TX_CTES, crm_raw, tx_raw
@@ -79,6 +80,20 @@ def newest_daily_report(spark, sf_dir):
     return with_message(latest_report(spark, stored), F.col("run_ts"), F.col("run_id"))
 
 
+def stored_report(spark, sf_dir):
+    """One weekly run stored as result and report tables, and the report found again."""
+    root = run_dir(spark, "quality")
+    store_quality({"crm": crm(spark, sf_dir), "transactions": tx(spark, sf_dir)},
+                  {"crm": CRM_SUITE, "transactions": TRANSACTION_SUITE}, files(root), "run-1", AS_OF)
+    return latest_report(spark, spark.read.parquet(f"{root}/quality_reports")).drop("run_ts")
+
+
+def newest_metrics(spark, sf_dir):
+    """Metrics of the last day with results, or zeros."""
+    daily = quality_metrics(daily_statistics(spark, sf_dir), ["run_ts"])
+    return last_metrics(daily.withColumn("run_id", F.date_format("run_ts", "yyyyMMdd")))
+
+
 # Expected schema of the files of one table; Arrow type names.
 CUSTOMER_FIELDS = {"c_custkey": "int", "c_name": "string", "c_nationkey": "INT32", "c_acctbal": "int64", "c_phone": "string"}
 
@@ -106,6 +121,8 @@ QUERIES = {
     "quality_weekly": lambda spark, sf_dir: weekly(daily_statistics(spark, sf_dir)),
     "quality_message": newest_daily_report,
     "validation_results_scan": results_scan,
+    "quality_stored": stored_report,
+    "quality_last_metrics": newest_metrics,
     "schema_audit": files_audit,
 }
 
@@ -260,6 +277,10 @@ ORACLES = {
         FROM ({_METRICS} FROM statistics)""",
     "quality_level": f"""{_STATISTICS} SELECT *, {level_sql('global_success_rate')} AS level
         FROM ({_METRICS} FROM statistics)""",
+    "quality_stored": f"""{_STATISTICS} SELECT *, {level_sql('global_success_rate')} AS level, 'run-1' AS run_id
+        FROM ({_METRICS} FROM statistics)""",
+    "quality_last_metrics": f"""{_DAILY} {_METRICS} FROM statistics
+        WHERE run_ts = (SELECT max(run_ts) FROM statistics)""",
     "quality_weekly": f"""{_DAILY} SELECT *, {level_sql('global_success_rate')} AS level FROM (
         {_METRICS}, CAST(date_trunc('week', run_ts) AS DATE) AS week FROM statistics GROUP BY week)""",
     "quality_message": f"""{_DAILY} SELECT * EXCLUDE (level), CASE level WHEN 'Excellent' THEN '✅' WHEN 'Moyen' THEN '⚠️' ELSE '❌' END

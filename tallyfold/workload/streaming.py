@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..streaming.features import FeatureSettings, feature_log, feature_rows, start_appends, start_upserts
+from ..sinks.warehouse import files
+from ..streaming.features import (FeatureSettings, feature_log, feature_rows, start_appends, start_sink,
+                                  start_upserts)
 from ..streaming.moving import moving_average_stream
-from ..streaming.parse import parse_transactions
+from ..streaming.parse import parse_transactions, start_landing
 from ..workspace import run_dir
 from .features import _EVENTS_10_5, ORACLES as TABLE_ORACLES, flag_sql, rounded
 from .tables import STREAM_CTE, table
@@ -71,12 +73,32 @@ def moving_average(spark, sf_dir):
     return rounded(without_zone(rows, "timestamp"), "moving_avg_amount").withColumnRenamed("timestamp", "event_ts")
 
 
+def landed(spark, sf_dir):
+    """Both halves of the messages landed from one read."""
+    accepted, rejected = run_dir(spark, "accepted"), run_dir(spark, "rejected")
+    start_landing(messages(spark, sf_dir, spoil=True), accepted, rejected, run_dir(spark, "landing-checkpoint"),
+                  every=None).awaitTermination()
+    halves = [spark.read.parquet(path).select(F.lit(half).alias("half"), F.lit(1).alias("n"))
+              for half, path in (("accepted", accepted), ("rejected", rejected))]
+    return halves[0].unionByName(halves[1]).groupBy("half").agg(F.sum("n").alias("messages"))
+
+
+def warehouse_sink(spark, sf_dir):
+    """Every micro-batch appended to a warehouse table."""
+    root = run_dir(spark, "stream-warehouse")
+    start_sink(transactions(spark, sf_dir), "monitoring", files(root), run_dir(spark, "sink-checkpoint"),
+               every=None).awaitTermination()
+    return without_zone(spark.read.parquet(f"{root}/monitoring"), "timestamp")
+
+
 QUERIES = {
     "stream_parse": parsed,
     "stream_rejects": rejects,
     "stream_features": upserted_features,
     "stream_features_final": final_features,
     "stream_moving_average_5": moving_average,
+    "stream_landing": landed,
+    "stream_sink": warehouse_sink,
 }
 
 _FLAGGED = flag_sql(_EVENTS_10_5, "rolling_avg_amount > 10000 OR transaction_count > 50")
@@ -85,6 +107,9 @@ ORACLES = {
     "stream_parse": f"""WITH {STREAM_CTE} SELECT transaction_id, customer_id, amount, event_ts AS "timestamp"
         FROM tx_stream WHERE CAST(substr(transaction_id, 2) AS BIGINT) % 101 <> 0""",
     "stream_rejects": "SELECT '{bad ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id % 101 = 0",
+    "stream_landing": """SELECT CASE WHEN event_id % 101 = 0 THEN 'rejected' ELSE 'accepted' END AS half,
+        count(*) AS messages FROM events GROUP BY half""",
+    "stream_sink": f"""WITH {STREAM_CTE} SELECT transaction_id, customer_id, amount, event_ts AS "timestamp" FROM tx_stream""",
     "stream_features": _FLAGGED,
     "stream_features_final": f"""SELECT * FROM ({_FLAGGED})
         WHERE window_end <= (SELECT max(ts) - INTERVAL '1 minute' FROM events)""",
