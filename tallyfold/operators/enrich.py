@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cleaning import moment
 from .skew import HeavyKeys, KeyTable, flagged_keys, heavy_keys, salted_left_join
@@ -19,14 +20,15 @@ def join_customers(transactions: DataFrame, customers: DataFrame, *, run_ts: dat
 
     Customer columns whose name a transaction column already has get
     ``clash_prefix``. ``heavy`` may be measured beforehand, for example on the
-    raw table; it steers the layout only, never the result.
+    raw table; it steers the layout only, never the result. Transactions should
+    be deduplicated: exact copies of one row of a heavy customer share a piece.
     """
     taken = set(transactions.columns) - {KEY}
     customers = customers.withColumnsRenamed({name: clash_prefix + name for name in customers.columns if name in taken})
     if heavy is None:
         heavy = heavy_keys(transactions, KEY)
     stamp = F.current_timestamp() if run_ts is None else moment(run_ts).cast("timestamp")
-    spread = F.xxhash64(*[F.col(name) for name in transactions.columns])
+    spread = F.xxhash64(*[F.col(f.name) for f in transactions.schema.fields if not isinstance(f.dataType, T.MapType)])
     return salted_left_join(transactions, customers, heavy, spread).withColumn("etl_timestamp", stamp)
 
 

@@ -41,7 +41,7 @@ def with_level(metrics: DataFrame) -> DataFrame:
 
 
 def quality_report(statistics: DataFrame) -> DataFrame:
-    """The suites, worst first is left to the reader, plus one ``TOTAL`` row with the level."""
+    """One row per suite and a ``TOTAL`` row, each with its level."""
     columns = ["suite", "success_percent", "evaluated_expectations", "unsuccessful_expectations"]
     total = with_level(quality_metrics(statistics)).select(
         F.lit("TOTAL").alias("suite"), F.col("global_success_rate").alias("success_percent"),

@@ -17,8 +17,9 @@ def save_partitioned(df: DataFrame, path: str, by: str = "transaction_date",
     repartition it cuts a folder that is too large for one task.
     """
     seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .hint("rebalance", by).sortWithinPartitions(by, *cluster_by)
+    # Counted after the shuffle, in the writing tasks: shuffle tasks may run again when an executor is lost.
+    (df.hint("rebalance", by).sortWithinPartitions(by, *cluster_by)
+     .observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
     return seen.get["rows"]
 

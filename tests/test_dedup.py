@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyfold.operators.dedup import dedup_by_key, duplicate_keys
@@ -42,3 +43,16 @@ def test_unknown_null_mode(spark):
 
 def test_duplicate_keys(spark):
     assert [tuple(r) for r in duplicate_keys(table(spark), "k").collect()] == [("a", 3)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3), st.sampled_from(["x", "y", None])), max_size=25),
+       st.integers(1, 5))
+def test_against_brute_force(spark, data, partitions):
+    def rank(row):
+        return -row[1], row[2] is not None, row[2] or ""
+
+    want = {min((r for r in data if r[0] == k), key=rank) for k in {r[0] for r in data}}
+    df = spark.createDataFrame(data, "k string, seq int, v string").repartition(partitions)
+    got = [tuple(r) for r in dedup_by_key(df, ["k"], [F.col("seq").desc()]).collect()]
+    assert len(got) == len(want) and set(got) == want

@@ -1,6 +1,7 @@
-from datetime import datetime as at
+from datetime import datetime as at, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyfold.functions.alerts import BATCH_LIMITS, STREAM_LIMITS, AnomalyLimits, anomaly_flag
@@ -49,3 +50,22 @@ def test_amounts_combine_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.index("partial_avg") < plan.index("Expand")
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
     assert "PushedFilters: [IsNotNull(ts)]" in plan
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-50, 50)), st.integers(0, 3600)),
+                min_size=1, max_size=25))
+def test_windows_against_brute_force(spark, data):
+    start = at(2025, 1, 1)
+    rows = [(str(i), c, None if v is None else float(v), start + timedelta(seconds=s)) for i, (c, v, s) in enumerate(data)]
+    want = {}
+    for _, c, v, ts in rows:
+        for back in (0, 5):
+            first = start + timedelta(minutes=(ts - start).seconds // 300 * 5 - back)
+            want.setdefault((first, first + timedelta(minutes=10), c), []).append(v)
+    got = {(r.window_start, r.window_end, r.customer_id): (r.transaction_count, r.rolling_avg_amount)
+           for r in window_features(tx(spark, rows)).collect()}
+    assert got.keys() == want.keys()
+    for key, amounts in want.items():
+        known = [v for v in amounts if v is not None]
+        assert got[key] == (len(amounts), pytest.approx(sum(known) / len(known)) if known else None)

@@ -153,6 +153,19 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
 
 
+def test_a_large_folder_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "skewed")
+    day = F.when(F.col("id") % 10 == 0, F.lit("2025-01-02")).otherwise(F.lit("2025-01-01")).cast("date")
+    rows = spark.range(0, 400_000, 1, 16).select(F.xxhash64("id").cast("string").alias("customer_id"), day.alias("transaction_date"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        save_partitioned(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "skewed" / "transaction_date=2025-01-01").glob("*.parquet"))) > 3
+    assert spark.read.parquet(path).count() == 400_000
+
+
 def test_landing_twice_leaves_one_copy(spark, tmp_path):
     path = str(tmp_path / "landed")
     for day in (date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 2)):
