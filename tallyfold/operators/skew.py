@@ -59,12 +59,15 @@ def _listed(measured: DataFrame, key: str) -> HeavyKeys:
 def heavy_keys(df: DataFrame, key: str, shares: int | None = None, min_rows: int | None = None) -> HeavyKeys:
     """Count rows per key (one column read, combined before the shuffle) and keep the heavy ones.
 
-    The list steers the layout, never the result. The total comes from the
-    same counts, whose shuffle is reused.
+    The list steers the layout, never the result. A table with too few rows for
+    a heavy key is only counted, which for files means reading their footers.
     """
+    total = df.count()
+    if total <= (min_rows or MIN_ROWS):
+        return HeavyKeys(key, df.schema[key].dataType, ())
+    limit = _limit(F.lit(total), shares, min_rows)
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    return _listed(counts.withColumn("_pieces", _pieces(F.col("n"), _limit(total, shares, min_rows))), key)
+    return _listed(counts.withColumn("_pieces", _pieces(F.col("n"), limit)), key)
 
 
 @dataclass(frozen=True)

@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_customers, clean_transactions
 from ..operators.enrich import KEY, join_customers
-from ..operators.skew import heavy_keys
+from ..operators.skew import HeavyKeys, heavy_keys
 from ..sinks.layout import save_partitioned
 
 
 def joined_transactions(transactions: DataFrame, customers: DataFrame, *, run_ts: datetime | None = None,
-                        latest_first: Sequence[Column] = ()) -> DataFrame:
+                        latest_first: Sequence[Column] = (), heavy: HeavyKeys | None = None) -> DataFrame:
     """Cleaned, deduplicated transactions with their customers.
 
     Skew is measured on the raw key column: cleaning does not change it, and
     one column is cheaper to read than the deduplicated table.
     """
-    heavy = heavy_keys(transactions, KEY)
+    if heavy is None:
+        heavy = heavy_keys(transactions, KEY)
     return join_customers(clean_transactions(transactions, latest_first), clean_customers(customers, latest_first),
                           run_ts=run_ts, heavy=heavy)
 

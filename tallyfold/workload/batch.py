@@ -10,6 +10,7 @@ from ..functions import cleaning as c
 from ..operators.clean import (clean_customers, clean_transactions, mask_customers, normalise_names,
                                standardise_customers, standardise_transactions)
 from ..operators.dedup import duplicate_keys
+from ..operators.skew import heavy_keys
 from ..plans.batch import joined_transactions, run_batch
 from ..schemas import RAW_CUSTOMER
 from ..sinks import warehouse
@@ -30,6 +31,14 @@ def batch_joined(spark, sf_dir):
     return joined.drop("etl_timestamp")
 
 
+def batch_joined_split(spark, sf_dir):
+    """The same join with keys counted as heavy from a few rows on."""
+    tx = tx_raw(spark, sf_dir)
+    joined = joined_transactions(tx, crm_raw(spark, sf_dir), latest_first=newest_first(),
+                                 heavy=heavy_keys(tx, "customer_id", min_rows=12))
+    return joined.drop("etl_timestamp")
+
+
 def normalised_names(spark, sf_dir):
     """Column names as an export might have them, brought into one form."""
     orders = table(spark, sf_dir, "orders")
@@ -82,6 +91,7 @@ def warehouse_load(spark, sf_dir):
 
 QUERIES = {
     "batch_joined": batch_joined,
+    "batch_joined_split": batch_joined_split,
     "crm_clean": lambda spark, sf_dir: clean_customers(crm_raw(spark, sf_dir), newest_first()),
     "tx_clean": lambda spark, sf_dir: clean_transactions(tx_raw(spark, sf_dir), newest_first()),
     "tx_clean_drop_null_ids": lambda spark, sf_dir: clean_transactions(tx_raw(spark, sf_dir), newest_first(), "drop"),
@@ -105,6 +115,7 @@ joined AS (
 
 ORACLES = {
     "batch_joined": f"{_JOINED} SELECT * FROM joined",
+    "batch_joined_split": f"{_JOINED} SELECT * FROM joined",
     "crm_clean": f"WITH {CRM_CTES} SELECT * FROM crm_clean",
     "tx_clean": f"WITH {TX_CTES} SELECT * FROM tx_clean",
     "tx_clean_drop_null_ids": f"WITH {TX_CTES} SELECT * FROM tx_clean WHERE transaction_id IS NOT NULL",

@@ -10,6 +10,7 @@ from ..functions.alerts import BATCH_LIMITS, STREAM_LIMITS, AnomalyLimits
 from ..operators.features import flag_anomalies, window_features
 from ..operators.metrics import error_counts, freshness, metric_rows, run_metrics
 from ..operators.ordered import moving_average, zscore_history, zscore_previous
+from ..operators.skew import heavy_keys
 from ..operators.clean import clean_customers, clean_transactions
 from ..sinks.audit import within_retention
 from .batch import newest_first
@@ -40,6 +41,17 @@ def flagged(df, limits):
     return rounded(flag_anomalies(df, limits), "rolling_avg_amount", "stddev_amount")
 
 
+def split_moving_average(spark, sf_dir):
+    """The same frames with customers cut into runs from a few rows on."""
+    tx = tx_stream(spark, sf_dir)
+    return moving_average(tx, 5, order_by=ORDER, heavy=heavy_keys(tx, "customer_id", min_rows=20))
+
+
+def split_zscore(spark, sf_dir):
+    tx = tx_stream(spark, sf_dir)
+    return zscore_previous(tx, order_by=ORDER, heavy=heavy_keys(tx, "customer_id", min_rows=20))
+
+
 def event_batches(spark, sf_dir):
     """Events of one kind on one day, taken as one processing run."""
     return (table(spark, sf_dir, "events")
@@ -84,6 +96,9 @@ QUERIES = {
         zscore_history(tx_stream(spark, sf_dir)), "baseline_avg", "baseline_stddev", "z_score"),
     "zscore_prev5": lambda spark, sf_dir: rounded(
         zscore_previous(tx_stream(spark, sf_dir), order_by=ORDER), "baseline_avg", "baseline_stddev", "z_score"),
+    "moving_average_5_split": lambda spark, sf_dir: rounded(split_moving_average(spark, sf_dir), "moving_avg_amount"),
+    "zscore_prev5_split": lambda spark, sf_dir: rounded(
+        split_zscore(spark, sf_dir), "baseline_avg", "baseline_stddev", "z_score"),
     "run_metrics": lambda spark, sf_dir: run_metrics(event_batches(spark, sf_dir), latency_limit=80000.0),
     "error_alerts": event_errors,
     "source_freshness": lambda spark, sf_dir: freshness(
@@ -154,3 +169,5 @@ ORACLES = {
     "load_audit": """SELECT strftime(o_orderdate, '%Y%m%d') AS load_id, count(*) AS rows, o_orderdate AS finished
         FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-31' - INTERVAL 30 DAY GROUP BY o_orderdate""",
 }
+ORACLES["moving_average_5_split"] = ORACLES["moving_average_5"]
+ORACLES["zscore_prev5_split"] = ORACLES["zscore_prev5"]

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.metrics import run_metrics
 from ..sinks.warehouse import files
 from ..streaming.features import (FeatureSettings, feature_log, feature_rows, start_appends, start_sink,
                                   start_upserts)
 from ..streaming.moving import moving_average_stream
 from ..streaming.parse import parse_transactions, start_landing
+from ..streaming.progress import progress_table
 from ..workspace import run_dir
 from .features import _EVENTS_10_5, ORACLES as TABLE_ORACLES, flag_sql, rounded
 from .tables import STREAM_CTE, table
@@ -91,6 +93,15 @@ def warehouse_sink(spark, sf_dir):
     return without_zone(spark.read.parquet(f"{root}/monitoring"), "timestamp")
 
 
+def progress(spark, sf_dir):
+    """What the triggers of a stream report, summed up."""
+    query = start_sink(transactions(spark, sf_dir), "monitoring", files(run_dir(spark, "progress")),
+                       run_dir(spark, "progress-checkpoint"), every=None)
+    query.awaitTermination()
+    triggers = run_metrics(progress_table(spark, query, "events"), latency_limit=86400.0)
+    return triggers.groupBy("pipeline").agg(F.sum("records").alias("records"), F.bool_or("latency_alert").alias("latency_alert"))
+
+
 QUERIES = {
     "stream_parse": parsed,
     "stream_rejects": rejects,
@@ -99,6 +110,7 @@ QUERIES = {
     "stream_moving_average_5": moving_average,
     "stream_landing": landed,
     "stream_sink": warehouse_sink,
+    "stream_progress": progress,
 }
 
 _FLAGGED = flag_sql(_EVENTS_10_5, "rolling_avg_amount > 10000 OR transaction_count > 50")
@@ -109,6 +121,7 @@ ORACLES = {
     "stream_rejects": "SELECT '{bad ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id % 101 = 0",
     "stream_landing": """SELECT CASE WHEN event_id % 101 = 0 THEN 'rejected' ELSE 'accepted' END AS half,
         count(*) AS messages FROM events GROUP BY half""",
+    "stream_progress": """SELECT 'events' AS pipeline, count(*) AS records, false AS latency_alert FROM events""",
     "stream_sink": f"""WITH {STREAM_CTE} SELECT transaction_id, customer_id, amount, event_ts AS "timestamp" FROM tx_stream""",
     "stream_features": _FLAGGED,
     "stream_features_final": f"""SELECT * FROM ({_FLAGGED})
