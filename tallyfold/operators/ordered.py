@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import flag
+from ..settings import initial_partitions
 from ..workspace import ensure_checkpoint_dir
 from .skew import HeavyKeys, aggregate_keys, heavy_keys, lookup_left_join
 
@@ -29,7 +30,7 @@ def _cut_into_runs(df: DataFrame, key: str, order_by: Sequence[str], runs: int |
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    runs = runs or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    runs = runs or max(2, initial_partitions(spark))
     order = [F.col(c).asc_nulls_first() for c in (key, *order_by, "_tie")]
     return (df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(runs, *order).drop("_tie")
             .withColumn(RUN, F.spark_partition_id()).checkpoint())

@@ -55,13 +55,16 @@ def _reader(file_format: str):
     fields_of = {"parquet": parquet_fields, "avro": avro_fields}[file_format]
 
     def read(batches):
+        import re
+
         from pyarrow import fs
 
         for batch in batches:
             fields, errors = [], []
             for path in batch["path"]:
                 try:
-                    system, inner = fs.FileSystem.from_uri(path)
+                    # Spark's names for one store differ from the reader's.
+                    system, inner = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
                     with system.open_input_file(inner) as stream:
                         fields.append(fields_of(stream))
                     errors.append(None)

@@ -1,7 +1,8 @@
 """Running rules over a table.
 
-Decisions: value rules ignore nulls; a rule succeeds when it has no offending
-value; a rule whose column is missing fails and the run goes on.
+Decisions: value rules ignore nulls, and NaN counts as null in row rules; a rule
+succeeds when it has no offending value; a rule whose column is missing fails
+and the run goes on.
 """
 
 from __future__ import annotations
@@ -24,9 +25,16 @@ from .rules import KEY_KINDS, ROW_KINDS, SCHEMA_KINDS, Rule
 MISSING_COLUMN = "column is missing"
 
 
+def _value(rule: Rule, df: DataFrame) -> Column:
+    value = F.col(f"`{rule.column}`")
+    if isinstance(df.schema[rule.column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
 def _offends(rule: Rule, df: DataFrame, as_of: Column) -> Column:
     """True, false or null; null means the value is not judged."""
-    value, dtype = F.col(f"`{rule.column}`"), df.schema[rule.column].dataType
+    value, dtype = _value(rule, df), df.schema[rule.column].dataType
     if rule.kind == "not_null":
         return value.isNull()
     if rule.kind == "matches_regex":
@@ -66,7 +74,7 @@ def _counted_in_one_pass(df: DataFrame, rules: Sequence[tuple[int, Rule]], as_of
         elif rule.kind in SCHEMA_KINDS:
             evaluated, unexpected = F.lit(1), F.lit(0 if _schema_ok(rule, df) else 1)
         else:
-            judged = F.lit(1) if rule.kind == "not_null" else F.col(f"`{rule.column}`")
+            judged = F.lit(1) if rule.kind == "not_null" else _value(rule, df)
             counters += [F.count(judged).alias(f"_e{no}"), F.count_if(_offends(rule, df, as_of)).alias(f"_u{no}")]
             evaluated, unexpected = F.col(f"_e{no}"), F.col(f"_u{no}")
         entries.append(F.struct(F.lit(no).alias("rule_no"), evaluated.cast("bigint").alias("evaluated"),

@@ -13,10 +13,30 @@ RECOMMENDED = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings that the session leaves at Spark's default."""
+# Bytes one shuffle task should get; partitions that turn out smaller are merged at run time.
+TASK_BYTES = 128 << 20
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings that the session leaves at Spark's default.
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle of a batch
+    job; shuffles then start with enough partitions for it to fit in memory.
+    """
     given = {name for name, _ in spark.sparkContext.getConf().getAll()}
     for name, value in RECOMMENDED.items():
         if name not in given:
             spark.conf.set(name, value)
+    if shuffle_bytes is not None:
+        spark.conf.set(INITIAL_PARTITIONS, str(max(-(-shuffle_bytes // TASK_BYTES), _shuffle_partitions(spark))))
     return spark
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def initial_partitions(spark: SparkSession) -> int:
+    """Partitions a batch shuffle starts with."""
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or _shuffle_partitions(spark))

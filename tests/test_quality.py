@@ -79,6 +79,12 @@ def test_nulls_are_not_judged_except_by_not_null(spark):
     assert got == [(2, 2, False)] + [(0, 0, True)] * 5
 
 
+def test_nan_is_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "a double")
+    got = run_suite(df, "s", [Rule("not_null", "a"), Rule("between", "a", low=0, high=2)]).orderBy("rule_no").collect()
+    assert [(r.evaluated, r.unexpected) for r in got] == [(3, 2), (1, 0)]
+
+
 def test_boundaries_and_anchor(spark):
     df = spark.createDataFrame([(0.0, "@a@b.c"), (100.0, "a@b.c x"), (100.1, "é@b.c")], "a double, e string")
     rules = [Rule("between", "a", low=0, high=100), Rule("less_than", "a", limit=100.0),

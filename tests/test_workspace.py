@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from tallyfold import workspace
-from tallyfold.settings import RECOMMENDED, tune
+from tallyfold.settings import INITIAL_PARTITIONS, RECOMMENDED, initial_partitions, tune
 
 
 def session(master, named=None, context_dir=None):
@@ -29,3 +29,12 @@ def test_every_run_has_its_own_folder(spark):
 def test_given_settings_stay(spark):
     tune(spark)
     assert all(spark.conf.get(name) == value for name, value in RECOMMENDED.items())
+
+
+def test_shuffles_start_with_enough_partitions(spark):
+    assert initial_partitions(spark) == 8
+    try:
+        assert initial_partitions(tune(spark, shuffle_bytes=100 << 40)) == 819_200
+        assert initial_partitions(tune(spark, shuffle_bytes=1)) == 8
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
