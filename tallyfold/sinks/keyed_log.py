@@ -36,9 +36,12 @@ class KeyedLog:
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
         return spark.read.schema(schema).parquet(self.path)
 
-    def current(self, spark: SparkSession) -> DataFrame:
-        """The last version of every key."""
-        return dedup_by_key(self.history(spark), self.keys, [F.col("batch_id").desc()]).drop("batch_id")
+    def current(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The last version of every key, or the last one written before a micro-batch."""
+        versions = self.history(spark)
+        if before is not None:
+            versions = versions.where(F.col("batch_id") < before)
+        return dedup_by_key(versions, self.keys, [F.col("batch_id").desc()]).drop("batch_id")
 
     def compact(self, spark: SparkSession, into: str) -> KeyedLog:
         """Write the current versions to another folder as a new log. Run while no stream writes."""

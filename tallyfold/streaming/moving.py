@@ -1,12 +1,25 @@
-"""Moving average on a stream, where Spark has no row frames."""
+"""Moving average on a stream, where Spark has no row frames.
+
+Two forms of the same thing. ``moving_average_stream`` keeps its state in the
+state store and suits short triggers with little input each.
+``start_moving_average`` works micro-batch by micro-batch with the table
+operator and suits large ones, such as catching up on a backlog: a customer
+with very many rows is cut as on a table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, Window, types as T
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..operators.ordered import with_row_frame
+from ..sinks.keyed_log import KeyedLog
+from .parse import triggered
+
 
 def moving_average_stream(transactions: DataFrame, rows: int = 5, *, key: str = "customer_id", amount: str = "amount",
                           order_by: Sequence[str] = ("timestamp", "transaction_id")) -> DataFrame:
@@ -39,3 +52,44 @@ def moving_average_stream(transactions: DataFrame, rows: int = 5, *, key: str =
 
     return transactions.groupBy(key).applyInPandasWithState(
         advance, output, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def last_rows_log(path: str, transactions: DataFrame, *, key: str = "customer_id", amount: str = "amount",
+                  order_by: Sequence[str] = ("timestamp", "transaction_id")) -> KeyedLog:
+    """Log of the last rows of every customer; ``_place`` -1 is the newest."""
+    kept = [T.StructField("_place", T.IntegerType()), *[transactions.schema[c] for c in (*order_by, amount)]]
+    last = T.StructField("_last", T.ArrayType(T.StructType(kept)))
+    return KeyedLog(path, [key], T.StructType([transactions.schema[key], last]))
+
+
+def start_moving_average(transactions: DataFrame, path: str, log: KeyedLog, checkpoint: str, rows: int = 5, *,
+                         key: str = "customer_id", amount: str = "amount",
+                         order_by: Sequence[str] = ("timestamp", "transaction_id"),
+                         every: str | None = "5 seconds") -> StreamingQuery:
+    """Write each transaction with ``moving_avg_amount`` under ``path``, one folder per micro-batch.
+
+    Rows count in order within a micro-batch and in order of arrival across
+    them. A replayed micro-batch sees the log as it was and replaces its folders.
+    """
+    in_order = ["_place", *order_by]
+    newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in (*in_order, amount)])
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            known = log.current(batch.sparkSession, before=batch_id)
+            seen = batch.select(F.col(key).alias("_seen")).distinct()
+            earlier = (known.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_semi")
+                       .select(key, F.inline("_last")))
+            both = batch.withColumn("_place", F.lit(0)).unionByName(earlier, allowMissingColumns=True)
+            framed = with_row_frame(both, key, in_order, [amount], (1 - rows, 0),
+                                    lambda w: {"moving_avg_amount": F.avg(amount).over(w)})
+            framed.where("_place = 0").drop("_place").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            last = both.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") < rows)
+            kept = F.struct((-F.col("_rank")).alias("_place"), *order_by, amount)
+            log.write(last.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_last")), batch_id)
+        finally:
+            batch.unpersist()
+
+    log.create(transactions.sparkSession)
+    return triggered(transactions.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint), every).start()

@@ -5,12 +5,13 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tallyfold.operators import skew
 from tallyfold.operators.metrics import run_metrics
 from tallyfold.operators.ordered import moving_average
 from tallyfold.sinks.warehouse import files
 from tallyfold.streaming.features import (FeatureSettings, feature_log, feature_rows, start_appends, start_sink,
                                           start_upserts, state_settings)
-from tallyfold.streaming.moving import moving_average_stream
+from tallyfold.streaming.moving import last_rows_log, moving_average_stream, start_moving_average
 from tallyfold.streaming.parse import parse_transactions, start_landing
 from tallyfold.streaming.progress import progress_table
 
@@ -117,6 +118,37 @@ def test_moving_average_over_batches_and_restart(spark, tmp_path):
     assert rows(spark.read.schema(average.schema).parquet(out)) == rows(want.select(average.columns))
 
 
+@pytest.mark.parametrize("min_rows", [2, 1000])
+def test_moving_average_by_batch(spark, tmp_path, monkeypatch, min_rows):
+    monkeypatch.setattr(skew, "MIN_ROWS", min_rows)
+    src, out, chk = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "chk")
+    put(spark, src, [message(2, "a", 4.0, 2), message(1, "a", 2.0, 1), message(3, "b", 7.0, 1)])
+    put(spark, src, [message(i, "a", float(i), i) for i in range(5, 12)] + [message(4, "a", None, 4)])
+    stream_rows = parse_transactions(stream(spark, src))[0]
+    log = last_rows_log(str(tmp_path / "last"), stream_rows)
+    start_moving_average(stream_rows, out, log, chk, every=None).awaitTermination()
+    put(spark, src, [message(20, "a", 50.0, 20), message(21, "b", 9.0, 20), message(22, None, 1.0, 20)])
+    put(spark, src, [message(23, "b", 3.0, 21), message(24, None, 3.0, 21)])
+    start_moving_average(stream_rows, out, log, chk, every=None).awaitTermination()
+    want = moving_average(table(spark, src))
+    got = spark.read.parquet(out).drop("batch_id")
+    assert rows(got.select(want.columns)) == rows(want)
+    last = {r.customer_id: [v.amount for v in r._last] for r in log.current(spark).collect()}
+    assert last == {"a": [9.0, 10.0, 11.0, 50.0], "b": [7.0, 9.0, 3.0], None: [1.0, 3.0]}
+
+
+def test_a_late_row_counts_when_it_arrives(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    put(spark, src, [message(1, "a", 1.0, 10), message(2, "a", 3.0, 11)])
+    put(spark, src, [message(3, "a", 8.0, 0)])
+    put(spark, src, [message(4, "a", 4.0, 12)])
+    stream_rows = parse_transactions(stream(spark, src))[0]
+    log = last_rows_log(str(tmp_path / "last"), stream_rows)
+    start_moving_average(stream_rows, out, log, str(tmp_path / "chk"), 3, every=None).awaitTermination()
+    got = {r.transaction_id: r.moving_avg_amount for r in spark.read.parquet(out).collect()}
+    assert got == {"t001": 1.0, "t002": 2.0, "t003": 4.0, "t004": 5.0}
+
+
 def test_state_on_disk(spark, tmp_path):
     src = tmp_path / "src"
     put(spark, src, [message(i, "a", float(i), i) for i in range(4)])
