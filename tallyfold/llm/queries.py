@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality_rules
+from . import decontaminate, language, licenses, line_dedup, main_text, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,27 @@ def op2_quality_rules(spark, sf_dir):
     return quality_rules.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules)}
+def op4_license_scan(spark, sf_dir):
+    return licenses.report(_table(spark, sf_dir, "documents"))
+
+
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+def op9_language_mixture(spark, sf_dir):
+    return language.report(_table(spark, sf_dir, "documents"))
+
+
+def op10_main_text(spark, sf_dir):
+    return main_text.report(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op4_license_scan, op5_line_dedup,
+                                   op9_language_mixture, op10_main_text)}
 
 ORACLES = {
     "op1_decontaminate": decontaminate.REPORT_SQL,
     "op2_quality_rules": quality_rules.REPORT_SQL,
+    "op5_line_dedup": line_dedup.REPORT_SQL,
 }
