@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, line_dedup, main_text, mixing, quality_rules
+from . import decontaminate, language, licenses, line_dedup, main_text, mixing, quality_rules, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op6_curriculum_mix(spark, sf_dir):
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_language_mixture(spark, sf_dir):
     return language.report(_table(spark, sf_dir, "documents"))
 
@@ -40,11 +44,12 @@ def op10_main_text(spark, sf_dir):
 
 
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op4_license_scan, op5_line_dedup, op6_curriculum_mix,
-                                   op9_language_mixture, op10_main_text)}
+                                   op8_substring_dedup, op9_language_mixture, op10_main_text)}
 
 ORACLES = {
     "op1_decontaminate": decontaminate.REPORT_SQL,
     "op2_quality_rules": quality_rules.REPORT_SQL,
     "op5_line_dedup": line_dedup.REPORT_SQL,
     "op6_curriculum_mix": mixing.REPORT_SQL,
+    "op8_substring_dedup": substring_dedup.REPORT_SQL,
 }
