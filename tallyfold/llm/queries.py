@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, line_dedup, main_text, mixing, quality_rules, substring_dedup
+from . import decontaminate, jaccard_join, language, licenses, line_dedup, main_text, mixing, quality_rules, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_quality_rules(spark, sf_dir):
     return quality_rules.report(_table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.report(_table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark, sf_dir):
     return licenses.report(_table(spark, sf_dir, "documents"))
 
@@ -43,12 +47,14 @@ def op10_main_text(spark, sf_dir):
     return main_text.report(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op4_license_scan, op5_line_dedup, op6_curriculum_mix,
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op3_jaccard_join, op4_license_scan,
+                                   op5_line_dedup, op6_curriculum_mix,
                                    op8_substring_dedup, op9_language_mixture, op10_main_text)}
 
 ORACLES = {
     "op1_decontaminate": decontaminate.REPORT_SQL,
     "op2_quality_rules": quality_rules.REPORT_SQL,
+    "op3_jaccard_join": jaccard_join.REPORT_SQL,
     "op5_line_dedup": line_dedup.REPORT_SQL,
     "op6_curriculum_mix": mixing.REPORT_SQL,
     "op8_substring_dedup": substring_dedup.REPORT_SQL,
