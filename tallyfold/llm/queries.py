@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language, licenses, line_dedup, main_text, mixing, quality_rules, substring_dedup
+from . import decontaminate, jaccard_join, language, licenses, line_dedup, main_text, mixing, quality_rules, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_curriculum_mix(spark, sf_dir):
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark, sf_dir):
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
 def op8_substring_dedup(spark, sf_dir):
     return substring_dedup.report(_table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_main_text(spark, sf_dir):
 
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op3_jaccard_join, op4_license_scan,
                                    op5_line_dedup, op6_curriculum_mix,
-                                   op8_substring_dedup, op9_language_mixture, op10_main_text)}
+                                   op7_warc, op8_substring_dedup, op9_language_mixture, op10_main_text)}
 
 ORACLES = {
     "op1_decontaminate": decontaminate.REPORT_SQL,
@@ -57,5 +61,6 @@ ORACLES = {
     "op3_jaccard_join": jaccard_join.REPORT_SQL,
     "op5_line_dedup": line_dedup.REPORT_SQL,
     "op6_curriculum_mix": mixing.REPORT_SQL,
+    "op7_warc": warc.REPORT_SQL,
     "op8_substring_dedup": substring_dedup.REPORT_SQL,
 }
