@@ -171,8 +171,8 @@ def frequent_list(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def region_members(docs: DataFrame, survey: DataFrame, members: DataFrame) -> DataFrame:
     """``token, doc_id, n`` in the regions of two members or more; copies are left to their first document."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_list(survey))
-    rows = docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
-        _prefixes(shared), "token bigint, doc_id bigint, n bigint")
+    rows = stored(docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
+        _prefixes(shared), "token bigint, doc_id bigint, n bigint"), "prefixes")
     shared_tokens = rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
     rows = rows.join(shared_tokens.select("token"), "token").join(members, ["doc_id", "n"])
     return rows.select("token", "member", "n").withColumnRenamed("member", "doc_id").distinct()
