@@ -47,8 +47,9 @@ def sized(docs: DataFrame) -> DataFrame:
 def _targets(sources: DataFrame, weights: tuple, share: float, max_repeats: float) -> DataFrame:
     """``sources`` with ``target``: shares by weight, with a limit, the excess shared again among the others.
 
-    Sources reach their limit in order of limit per weight, so the final water level follows from running sums
-    over the sources in that order: the level of the first source at which it would stay below its own limit.
+    Sources reach their limit in order of limit per weight. With all before source i at their limits, the others share the
+    rest at a level that rises with i as long as source i would go over its limit at it, and falls after that: the final
+    level is the highest of them, and running sums over the sources give them all.
     """
     ranked = sources.withColumn("_class", (F.row_number().over(
         Window.orderBy(F.col("source").isNull(), "source")) - 1) % len(weights))
@@ -62,10 +63,9 @@ def _targets(sources: DataFrame, weights: tuple, share: float, max_repeats: floa
     level = (F.col("_wanted") - F.col("_full")) / F.col("_open")
     levels = (limits.withColumns({"_wanted": wanted, "_full": F.coalesce(F.sum("_limit").over(before), F.lit(0.0)),
                                   "_open": F.sum("_weight").over(after)})
-              .withColumn("_level", F.when(level * F.col("_weight") <= F.col("_limit"), level))
-              .withColumn("_final", F.min("_level").over(everything)))
+              .withColumn("_final", F.max(level).over(everything)))
     return levels.select("source", "source_size", "_docs", "_class", F.least(
-        F.col("_limit"), F.coalesce("_final", F.lit(float("inf"))) * F.col("_weight")).alias("target"))
+        F.col("_limit"), F.col("_final") * F.col("_weight")).alias("target"))
 
 
 def _time(done: Column, kind: Column, knots: tuple, schedules: tuple) -> Column:
@@ -151,7 +151,7 @@ w as (select *, case class when 0 then 5.0::double when 1 then 2.0::double else
              2.0::double * source_size as lim, 1.5::double * (select sum(source_size) from s) as wanted from c),
 lv as (select *, (wanted - coalesce(sum(lim) over (order by lim / weight, source is null, encode(source) rows between unbounded preceding and 1 preceding), 0))
               / sum(weight) over (order by lim / weight, source is null, encode(source) rows between current row and unbounded following) as lev from w),
-t as (select source, source_size, class, least(lim, weight * coalesce((select min(lev) from lv where lev * weight <= lim), 'inf'::double)) as target from lv),
+t as (select source, source_size, class, least(lim, weight * (select max(lev) from lv)) as target from lv),
 p as (select d.*, source_size, target, class, floor(target) as due,
              coalesce(sum(size) over (partition by d.source order by o, doc_id rows between unbounded preceding and 1 preceding), 0) as start
       from d join t on d.source is not distinct from t.source),
