@@ -1,4 +1,9 @@
-"""Stages that turn ``documents`` into a training order. See ``STAGES``."""
+"""Stages that turn ``documents`` into a training order. See ``STAGES``.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept. All but the last return the
+columns of ``docs``; the last one returns the mix. Empty tables, nulls, repeated rows and further columns are
+treated as the operators' docstrings say; ``n_chars`` follows the text where a stage changes it.
+"""
 
 from __future__ import annotations
 
@@ -9,20 +14,44 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallyfold.llm import decontaminate as leaks  # noqa: E402
+from tallyfold.llm import decontaminate, jaccard_join, language, line_dedup, mixing  # noqa: E402
 from tallyfold.workspace import run_dir  # noqa: E402
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a recognised language; the model is learned from the labelled, not held-out documents of the input."""
+    return language.accepted(docs, language.train_fold(docs))
+
+
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that three documents or more share stay in the last of them only."""
+    return line_dedup.dedup_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard_join.one_per_group(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut out passages of test items; drop documents that are mostly such passages."""
-    return leaks.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Passages of test items are cut out; documents that are mostly such passages go."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words taken from every document and its place in the curriculum."""
+    return mixing.report(docs)
 
 
 STAGES = [
-    ("benchmark_decontamination", benchmark_decontamination),
+    ("language_id", language_id),
+    ("line_dedup", line_deduplication),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", benchmark_decontamination),
+    ("source_mix", source_mix),
 ]
 
-# Learned language models have no SQL form; tests compare with a brute-force version instead.
+# A learned language model has no SQL form; tests compare the stages with brute force instead.
 ORACLE_SQL = None
 
 

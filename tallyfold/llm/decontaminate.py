@@ -261,7 +261,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     cut = F.pandas_udf(_cut, "string")(F.when(hit, F.col("_row.text").cast("binary")), F.when(hit, long))
     text = F.when(hit, cut).otherwise(F.col("_row.text")).alias("text")
     left = found.where(F.col("n_hit") <= F.lit(max_coverage) * F.greatest("n_words", F.lit(1)))
-    return left.select(*[text if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])
+    changed = left.select("_row", hit.alias("_hit"), text)
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("_hit"), F.char_length("text").cast("long")).otherwise(
+        F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
+    return changed.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 REPORT_SQL = r"""
