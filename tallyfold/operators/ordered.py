@@ -83,12 +83,17 @@ def with_row_frame(df: DataFrame, key: str, order_by: Sequence[str], values: Seq
     return cold.unionByName(hot)
 
 
+def usable(amount: str) -> Column:
+    """NaN counts as a missing amount."""
+    return F.when(~F.isnan(amount), F.col(amount))
+
+
 def moving_average(df: DataFrame, rows: int = 5, *, key: str = "customer_id", amount: str = "amount",
                    order_by: Sequence[str] = ("timestamp", "transaction_id"), heavy: HeavyKeys | None = None,
                    runs: int | None = None) -> DataFrame:
-    """``moving_avg_amount``: mean of this and the ``rows - 1`` transactions before it."""
+    """``moving_avg_amount``: mean of this and the ``rows - 1`` transactions before it; null and NaN are left out."""
     return with_row_frame(df, key, order_by, [amount], (1 - rows, 0),
-                          lambda w: {"moving_avg_amount": F.avg(amount).over(w)}, heavy=heavy, runs=runs)
+                          lambda w: {"moving_avg_amount": F.avg(usable(amount)).over(w)}, heavy=heavy, runs=runs)
 
 
 def _scored(df: DataFrame, amount: str, threshold: float) -> DataFrame:

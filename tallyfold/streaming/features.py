@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.alerts import STREAM_LIMITS, AnomalyLimits
 from ..operators.features import flag_anomalies, window_features
 from ..sinks.keyed_log import KeyedLog
 from ..sinks.warehouse import Target, save
+from .epochs import batch_folder, epoch_of
 from .parse import triggered
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BATCH_COLUMN = "written_by"
 FEATURE_KEYS = ("window_start", "window_end", "customer_id")
 
 
@@ -45,7 +48,12 @@ def start_upserts(rows: DataFrame, log: KeyedLog, checkpoint: str, every: str |
     The caller waits for, or stops, the returned query.
     """
     log.create(rows.sparkSession)
-    writer = rows.writeStream.outputMode("update").foreachBatch(log.write).option("checkpointLocation", checkpoint)
+    epoch = epoch_of(rows.sparkSession, checkpoint, f"{log.path}/versions")
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        log.write(batch, batch_id, epoch)
+
+    writer = rows.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()
 
 
@@ -58,14 +66,21 @@ def start_appends(rows: DataFrame, path: str, checkpoint: str, every: str | None
 
 def start_sink(rows: DataFrame, table: str, target: Target, checkpoint: str, every: str | None = "5 seconds",
                output_mode: str = "append") -> StreamingQuery:
-    """Append every micro-batch to a warehouse table.
+    """Append every micro-batch to a warehouse table, once.
 
-    A warehouse append is repeated if a batch fails after it, and in update
-    mode every refresh of a window adds a row: prefer append mode with a
+    On a files target a micro-batch replaces its own (epoch, batch) folder below the table, so a retry adds nothing.
+    Other targets cannot replace part of a table: there every row carries its batch in ``BATCH_COLUMN``, by which a
+    repeated append is told apart. In update mode every refresh of a window adds a row: prefer append mode with a
     watermark here, or ``start_upserts``.
     """
+    place = target.writer_options(table).get("path")
+    epoch = epoch_of(rows.sparkSession, checkpoint, *([place] if place else []))
+
     def append(batch: DataFrame, batch_id: int) -> None:
-        save(batch, table, target, "append")
+        if place:
+            save(batch, "", replace(target, table_layout=batch_folder(place, epoch, batch_id)), "overwrite")
+        else:
+            save(batch.withColumn(BATCH_COLUMN, F.lit(f"{epoch}-{batch_id}")), table, target, "append")
 
     writer = rows.writeStream.outputMode(output_mode).foreachBatch(append).option("checkpointLocation", checkpoint)
     return triggered(writer, every).start()

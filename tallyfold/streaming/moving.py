@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.ordered import with_row_frame
+from ..operators.ordered import usable, with_row_frame
 from ..sinks.keyed_log import KeyedLog
+from .epochs import batch_folder, epoch_of
 from .parse import triggered
 
 
@@ -28,7 +29,8 @@ def moving_average_stream(transactions: DataFrame, rows: int = 5, *, key: str =
     State is the last ``rows - 1`` amounts of a customer. Within a micro-batch
     rows are put in order; across micro-batches they count in order of
     arrival, so the result equals the batch one when files or offsets are read
-    in time order. All rows a customer has in one micro-batch meet in one
+    in time order. NaN counts as missing, and ties of ``order_by`` are broken by
+    the amount, as in the table form. All rows a customer has in one micro-batch meet in one
     task: cap the source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``).
     """
     output = T.StructType([*transactions.schema.fields, T.StructField("moving_avg_amount", T.DoubleType())])
@@ -39,7 +41,7 @@ def moving_average_stream(transactions: DataFrame, rows: int = 5, *, key: str =
         import numpy as np
         import pandas as pd
 
-        batch = pd.concat(list(chunks), ignore_index=True).sort_values(order, kind="stable", na_position="first")
+        batch = pd.concat(list(chunks), ignore_index=True).sort_values([*order, amount], kind="stable", na_position="first")
         before = [np.nan if v is None else v for v in state.get[0]] if state.exists else []
         seen = np.concatenate([np.full(reach - len(before), np.nan), before, batch[amount].to_numpy(float)])
         frames = np.lib.stride_tricks.sliding_window_view(seen, rows)
@@ -69,25 +71,28 @@ def start_moving_average(transactions: DataFrame, path: str, log: KeyedLog, chec
     """Write each transaction with ``moving_avg_amount`` under ``path``, one folder per micro-batch.
 
     Rows count in order within a micro-batch and in order of arrival across
-    them. A replayed micro-batch sees the log as it was and replaces its folders.
+    them. A replayed micro-batch sees the log as it was and replaces its folders; a query with another checkpoint
+    goes on from the last rows of the ones before.
     """
+    epoch = epoch_of(transactions.sparkSession, checkpoint, path)
     in_order = ["_place", *order_by]
     newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in (*in_order, amount)])
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            known = log.current(batch.sparkSession, before=batch_id)
             seen = batch.select(F.col(key).alias("_seen")).distinct()
-            earlier = (known.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_semi")
+            earlier = (log.current(batch.sparkSession, before=(epoch, batch_id), only=seen)
                        .select(key, F.inline("_last")))
             both = batch.withColumn("_place", F.lit(0)).unionByName(earlier, allowMissingColumns=True)
             framed = with_row_frame(both, key, in_order, [amount], (1 - rows, 0),
-                                    lambda w: {"moving_avg_amount": F.avg(amount).over(w)})
-            framed.where("_place = 0").drop("_place").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+                                    lambda w: {"moving_avg_amount": F.avg(usable(amount)).over(w)})
+            framed.where("_place = 0").drop("_place").write.mode("overwrite").parquet(
+                batch_folder(path, epoch, batch_id))
             last = both.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") < rows)
             kept = F.struct((-F.col("_rank")).alias("_place"), *order_by, amount)
-            log.write(last.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_last")), batch_id)
+            log.write(last.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_last")),
+                      batch_id, epoch)
         finally:
             batch.unpersist()
 

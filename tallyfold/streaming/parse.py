@@ -8,11 +8,23 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..schemas import STREAM_TRANSACTION
+from .epochs import batch_folder, epoch_of
 
 
-def _unreadable(payload: Column) -> Column:
+def _unreadable() -> Column:
     """No field could be read: malformed text, no object, or an empty message."""
-    return F.coalesce(*[payload[name].cast("string") for name in STREAM_TRANSACTION.names]).isNull()
+    return F.coalesce(*[F.col(name).cast("string") for name in STREAM_TRANSACTION.names]).isNull()
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """``value`` as text and the fields. No filter moves below ``inline``, so each message is parsed once."""
+    text = F.col("value").cast("string")
+    return messages.select(text.alias("_text"), F.inline(F.array(F.from_json(text, STREAM_TRANSACTION))))
+
+
+def _halves(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (parsed.where(~_unreadable()).select(*STREAM_TRANSACTION.names),
+            parsed.where(_unreadable()).select(F.col("_text").alias("value")))
 
 
 def parse_transactions(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -20,25 +32,25 @@ def parse_transactions(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A field of the wrong type is null and the rest of its record is kept.
     """
-    parsed = messages.withColumn("_payload", F.from_json(F.col("value").cast("string"), STREAM_TRANSACTION))
-    bad = _unreadable(F.col("_payload"))
-    rejected = parsed.where(bad).select(F.col("value").cast("string").alias("value"))
-    return parsed.where(~bad).select("_payload.*"), rejected
+    return _halves(_parsed(messages))
 
 
 def start_landing(messages: DataFrame, accepted: str, rejected: str, checkpoint: str,
                   every: str | None = "5 seconds") -> StreamingQuery:
     """Land both halves from one read of the source.
 
-    Every micro-batch replaces its own two folders, so replaying one adds nothing.
+    Every micro-batch replaces its own two folders, so replaying one adds nothing. The folders bear the
+    checkpoint's epoch, so a query with another checkpoint adds to what is there.
     """
+    epoch = epoch_of(messages.sparkSession, checkpoint, accepted, rejected)
+
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        parsed = _parsed(batch).persist()
         try:
-            for half, path in zip(parse_transactions(batch), (accepted, rejected)):
-                half.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            for half, path in zip(_halves(parsed), (accepted, rejected)):
+                half.write.mode("overwrite").parquet(batch_folder(path, epoch, batch_id))
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return triggered(messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint), every).start()
 

@@ -1,26 +1,78 @@
-"""What a streaming query did, as a table."""
+"""What streaming queries did, as a table that grows with every trigger."""
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import threading
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..schemas import BATCH_METRIC
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery, pipeline: str) -> DataFrame:
-    """One row per recent trigger in the form ``operators.metrics.run_metrics`` reads.
+class ProgressLog(StreamingQueryListener):
+    """Writes a row per trigger to a folder, in the form ``operators.metrics.run_metrics`` reads.
 
-    Spark keeps a fixed number of recent triggers, so the list is short.
+    Spark itself keeps the last 100 triggers of a query only. Rows are written in groups of ``group``, and what is
+    left when a query ends. A failed query adds a row with status ``error``.
     """
-    rows = []
-    for p in query.recentProgress:
-        started = datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00"))
-        took = timedelta(milliseconds=p["durationMs"].get("triggerExecution", 0))
-        rows.append((pipeline, p["batchId"], started, started + took, p["numInputRows"], "ok"))
-    if query.exception() is not None:
-        now = datetime.now().astimezone()
-        rows.append((pipeline, None, now, now, 0, "error"))
-    return spark.createDataFrame(rows, BATCH_METRIC)
+
+    def __init__(self, spark: SparkSession, path: str, pipeline: str, group: int = 100):
+        self.spark, self.path, self.pipeline, self.group = spark, path, pipeline, group
+        self._rows: list[tuple] = []
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def start(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        started = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
+        took = timedelta(milliseconds=p.durationMs.get("triggerExecution", 0))
+        self._add((self.pipeline, p.batchId, started, started + took, p.numInputRows, "ok"))
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception is not None:
+            now = datetime.now(timezone.utc)
+            self._add((self.pipeline, None, now, now, 0, "error"))
+        with self._change:
+            self._flush()
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def _add(self, row: tuple) -> None:
+        with self._change:
+            self._rows.append(row)
+            if len(self._rows) >= self.group:
+                self._flush()
+
+    def _flush(self) -> None:
+        if self._rows:
+            self.spark.createDataFrame(self._rows, BATCH_METRIC).coalesce(1).write.mode("append").parquet(self.path)
+            self._rows = []
+
+    def wait(self, query: StreamingQuery, seconds: float = 120) -> None:
+        """Until the query has ended and all its rows are written."""
+        try:
+            query.awaitTermination()
+        finally:
+            with self._change:
+                if not self._change.wait_for(lambda: str(query.runId) in self._ended, seconds):
+                    raise TimeoutError("the end of the query was not reported")
+
+    def stop(self) -> None:
+        self.spark.streams.removeListener(self)
+        with self._change:
+            self._flush()
+
+    def table(self) -> DataFrame:
+        return self.spark.read.schema(BATCH_METRIC).parquet(self.path)

@@ -33,3 +33,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def subfolders(spark: SparkSession, path: str, finished: bool = False) -> list[str]:
+    """Names of the folders in a folder, through the session's own file systems; none where it does not exist.
+
+    ``finished`` keeps those that a Spark write has completed.
+    """
+    store, place = _folder(spark, path)
+    if not store.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in store.listStatus(place) if entry.isDirectory()]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(n for n in names if not finished or store.exists(done(f"{path}/{n}/_SUCCESS")))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made."""
+    store, place = _folder(spark, path)
+    store.delete(place, True)

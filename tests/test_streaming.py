@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,7 +14,7 @@ from tallyfold.streaming.features import (FeatureSettings, feature_log, feature_
                                           start_upserts, state_settings)
 from tallyfold.streaming.moving import last_rows_log, moving_average_stream, start_moving_average
 from tallyfold.streaming.parse import parse_transactions, start_landing
-from tallyfold.streaming.progress import progress_table
+from tallyfold.streaming.progress import ProgressLog
 
 NO_WATERMARK = FeatureSettings(watermark=None)
 START = datetime(2025, 10, 14, 10)
@@ -131,7 +132,7 @@ def test_moving_average_by_batch(spark, tmp_path, monkeypatch, min_rows):
     put(spark, src, [message(23, "b", 3.0, 21), message(24, None, 3.0, 21)])
     start_moving_average(stream_rows, out, log, chk, every=None).awaitTermination()
     want = moving_average(table(spark, src))
-    got = spark.read.parquet(out).drop("batch_id")
+    got = spark.read.parquet(out).drop("epoch", "batch_id")
     assert rows(got.select(want.columns)) == rows(want)
     last = {r.customer_id: [v.amount for v in r._last] for r in log.current(spark).collect()}
     assert last == {"a": [9.0, 10.0, 11.0, 50.0], "b": [7.0, 9.0, 3.0], None: [1.0, 3.0]}
@@ -174,14 +175,91 @@ def test_sink_and_progress(spark, tmp_path):
     src = tmp_path / "src"
     put(spark, src, [message(1, "a", 1.0, 0), message(2, "b", 1.0, 0)])
     put(spark, src, [message(3, "a", 1.0, 0)])
-    query = start_sink(parse_transactions(stream(spark, src))[0], "t", files(str(tmp_path)), str(tmp_path / "chk"), every=None)
-    query.awaitTermination()
+    log = ProgressLog(spark, str(tmp_path / "log"), "p").start()
+    log.wait(start_sink(parse_transactions(stream(spark, src))[0], "t", files(str(tmp_path)), str(tmp_path / "chk"), every=None))
+    log.stop()
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
-    progress = run_metrics(progress_table(spark, query, "p")).orderBy("batch_id").collect()
+    progress = run_metrics(log.table()).orderBy("batch_id").collect()
     assert [r.records for r in progress][:2] == [2, 1]
     assert all(r.latency_seconds > 0 for r in progress[:2])
 
 
+def test_progress_keeps_more_triggers_than_spark(spark, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "log"), "p", group=40)
+
+    class Event:
+        exception, runId = None, "r"
+
+        def __init__(self, number):
+            self.progress = type("P", (), {"timestamp": "2025-10-14T10:00:00.000Z", "durationMs": {"triggerExecution": 5},
+                                           "batchId": number, "numInputRows": 2})
+    for number in range(130):
+        log.onQueryProgress(Event(number))
+    log.onQueryTerminated(Event(0))
+    assert log.table().count() == 130 and len({r.batch_id for r in log.table().collect()}) == 130
+
+
+def test_a_new_checkpoint_adds_to_what_is_there(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    for run, records in enumerate([[message(1, "a", 1.0, 0), b"{bad"], [message(2, "a", 1.0, 0)]]):
+        put(spark, tmp_path / f"src{run}", records)
+        for _ in range(2):  # nothing new the second time
+            start_landing(stream(spark, tmp_path / f"src{run}"), good, bad, str(tmp_path / f"chk{run}"), every=None).awaitTermination()
+    assert sorted(r.transaction_id for r in spark.read.parquet(good).collect()) == ["t001", "t002"]
+    assert spark.read.parquet(bad).count() == 1
+
+
+def test_a_replayed_batch_replaces_its_own_folder_only(spark, tmp_path):
+    log = feature_log(str(tmp_path), spark.createDataFrame([], "window_start int, window_end int, customer_id int, v int").schema)
+    batch = lambda v: spark.createDataFrame([(1, 2, 3, v)], log.schema)
+    for epoch, number, value in [(7, 0, 1), (7, 1, 2), (9, 0, 3), (9, 0, 4)]:
+        log.write(batch(value), number, epoch)
+    assert sorted(r.v for r in log.history(spark).collect()) == [1, 2, 4]
+    assert [r.v for r in log.current(spark).collect()] == [4]
+    assert [r.v for r in log.current(spark, before=(9, 0)).collect()] == [2]
+
+
+def test_a_log_reads_no_more_files_as_it_grows_older(spark, tmp_path):
+    log = replace(feature_log(str(tmp_path), spark.createDataFrame([], "window_start int, window_end int, customer_id int, v int").schema),
+                  snapshot_every=3)
+    seen = []
+    for number in range(14):
+        log.write(spark.createDataFrame([(1, 2, number % 4, number)], log.schema).coalesce(1), number, 5)
+        seen.append(len(log.current(spark).inputFiles()))
+    assert max(seen[6:]) <= max(seen[:6]) <= 8
+    assert sorted(r.v for r in log.current(spark).collect()) == [10, 11, 12, 13]
+
+
+def test_moving_average_goes_on_with_a_new_checkpoint(spark, tmp_path):
+    out, log = str(tmp_path / "out"), None
+    for run, records in enumerate([[message(1, "a", 2.0, 0), message(2, "a", 4.0, 1)], [message(3, "a", 6.0, 2)]]):
+        put(spark, tmp_path / f"src{run}", records)
+        stream_rows = parse_transactions(stream(spark, tmp_path / f"src{run}"))[0]
+        log = last_rows_log(str(tmp_path / "last"), stream_rows)
+        start_moving_average(stream_rows, out, log, str(tmp_path / f"chk{run}"), every=None).awaitTermination()
+    assert sorted(r.moving_avg_amount for r in spark.read.parquet(out).collect()) == [2.0, 3.0, 4.0]
+
+
+def test_nan_and_ties_count_alike_in_all_forms(spark, tmp_path):
+    src = tmp_path / "src"
+    put(spark, src, [b'{"transaction_id": "t1", "customer_id": "a", "amount": NaN, "timestamp": "2025-10-14T10:00:00"}',
+                     message(2, "a", 4.0, 1), message(2, "a", 2.0, 1), message(2, "a", None, 1)])
+    stream_rows = parse_transactions(stream(spark, src))[0]
+    start_appends(moving_average_stream(stream_rows), str(tmp_path / "one"), str(tmp_path / "c1"), every=None).awaitTermination()
+    start_moving_average(stream_rows, str(tmp_path / "two"), last_rows_log(str(tmp_path / "last"), stream_rows),
+                         str(tmp_path / "c2"), every=None).awaitTermination()
+    want = sorted(str(r.moving_avg_amount) for r in moving_average(table(spark, src)).collect())
+    assert want == ["2.0", "3.0", "None", "None"]
+    for out in ("one", "two"):
+        assert sorted(str(r.moving_avg_amount) for r in spark.read.parquet(str(tmp_path / out)).collect()) == want
+
+
+def test_messages_are_parsed_once(spark):
+    messages = spark.createDataFrame([(b"{}",)], "value binary")
+    for half in parse_transactions(messages):
+        assert half._jdf.queryExecution().optimizedPlan().toString().lower().count("from_json") == 1
+
+
 def test_interval_trigger_and_stop(spark, tmp_path):
     src = tmp_path / "src"
     put(spark, src, [message(1, "a", 1.0, 0)])
