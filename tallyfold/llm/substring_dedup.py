@@ -5,10 +5,11 @@ of equal words have equal anchors, and neighbouring windows mostly share one, so
 anchors than windows. Each task sketches the anchors of its documents (``ROWS`` rows of ``CELLS`` cells, an anchor once
 per document); the sketches are summed cell by cell, and a bitmap of the cells that reach 2 goes to all tasks. Sums only
 overestimate: a window with an anchor cell below 2 is in one document alone. The other windows, with 128 bits
-of hash, are grouped exactly in a second pass: the first document of each is found with partial aggregation, and joined back.
+of hash, are grouped exactly in a second pass, whole stretches first and single windows where stretches differ: the
+first document of each is found with partial aggregation, and joined back.
 
-The bitmap has ``ROWS * CELLS`` bits (8 MB) whatever the input; a fuller sketch lets more windows through to the
-second pass and loses none. Documents without any such window are finished in the task that reads them.
+The bitmap has ``ROWS * CELLS`` bits (16 MB) whatever the input; a fuller sketch lets more windows through to the
+second pass and loses none.
 
 Defined cases: a null or empty text and one shorter than the window lose nothing; rows with one ``doc_id`` are one
 document, none of which is before another; rows without ``doc_id`` come before all others.
@@ -16,7 +17,6 @@ document, none of which is before another; rows without ``doc_id`` come before a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import WordHashes, covered, slices, utf8, window_hashes
+from .components import stored
+from .text import WordHashes, covered, list_column, mixed, slices, utf8, window_hashes
 
 WINDOW = 50
-ROWS, CELLS = 2, 1 << 25
+ROWS, CELLS = 2, 1 << 26
 _PAGE = 1 << 15  # bits of one native bitmap
 _NO_ID = -(1 << 63)
 _SECOND_SEED = 0xC2B2AE3D27D4EB4F
@@ -77,53 +78,48 @@ def repeated_cells(docs: DataFrame, window: int) -> np.ndarray:
     return out
 
 
-def _suspects(words: np.ndarray, window: int, bits: np.ndarray) -> np.ndarray:
-    """Starts of the windows that the sketch takes for repeated."""
-    anchors = window_anchors(words, window)
-    runs = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-    hit = np.ones(len(runs), bool)
-    for cells in cells_of(anchors[runs]):
+def _suspect(anchors: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which anchors the sketch takes for repeated."""
+    hit = np.ones(len(anchors), bool)
+    for cells in cells_of(anchors):
         hit &= (bits[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return np.flatnonzero(np.repeat(hit, np.diff(np.append(runs, len(anchors)))))
+    return hit
 
 
-def _windows(window: int, shared):
-    """Suspect windows of every document."""
+def _runs(window: int, shared):
+    """Stretches of suspect windows with one anchor: where they are, a mark of the whole stretch, a hash per window."""
+    kinds = {"anchor": np.uint64, "r1": np.uint64, "r2": np.uint64, "start": np.int32, "n": np.int32}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bits = WordHashes(), shared.value
         for part in slices(batches):
-            rows, starts, first, second = [], [], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+            rows, found, windows = [np.empty(0, np.int64)], [[np.empty(0, k) for k in kinds.values()]], []
             for row, text in enumerate(part["_utf8"]):
                 words = (text.as_py() or b"").split()
                 if len(words) < window:
                     continue
                 hashed = hashes.of(words)
-                found = _suspects(hashed, window, bits)
-                if len(found):
-                    rows.append(np.full(len(found), row))
-                    starts.append(found)
-                    first.append(window_hashes(hashed, window)[found])
-                    second.append(window_hashes(hashed, window, _SECOND_SEED)[found])
-            at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
+                anchors = window_anchors(hashed, window)
+                starts = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+                hit = _suspect(anchors[starts], bits)
+                if not hit.any():
+                    continue
+                sizes = np.diff(np.append(starts, len(anchors)))
+                step = np.arange(len(anchors), dtype=np.uint64) - np.repeat(starts, sizes).astype(np.uint64)
+                one = window_hashes(hashed, window)
+                marks = [np.add.reduceat(mixed(h + step * np.uint64(_SECOND_SEED)), starts)
+                         for h in (one, window_hashes(hashed, window, _SECOND_SEED))]
+                rows.append(np.full(int(hit.sum()), row))
+                found.append([x[hit] for x in (anchors[starts], *marks, starts, sizes)])
+                windows.extend(w for w, h in zip(np.split(one, starts[1:]), hit.tolist()) if h)
+            at = pa.array(np.concatenate(rows))
+            columns = {name: np.concatenate([f[i] for f in found]).astype(kind)
+                       for i, (name, kind) in enumerate(kinds.items())}
             yield pa.RecordBatch.from_arrays(
                 [part["_doc"].take(at), part["_text_hash"].take(at),
-                 pa.array(np.concatenate(starts).astype(np.int32) if starts else np.empty(0, np.int32)),
-                 pa.array(np.concatenate(first).view(np.int64)), pa.array(np.concatenate(second).view(np.int64))],
-                names=["_doc", "_text_hash", "start", "h1", "h2"])
-    return run
-
-
-def _suspected(window: int, shared):
-    """Each document once more, with ``suspect``: whether it has suspect windows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bits = WordHashes(), shared.value
-        for part in slices(batches):
-            found = []
-            for text in part["_utf8"]:
-                words = (text.as_py() or b"").split()
-                found.append(len(words) >= window and len(_suspects(hashes.of(words), window, bits)) > 0)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.bool_())],
-                                             names=[*part.schema.names, "suspect"])
+                 *[pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()],
+                 list_column([w.view(np.int64) for w in windows], pa.int64())],
+                names=["_doc", "_text_hash", *columns, "windows"])
     return run
 
 
@@ -136,7 +132,9 @@ def _finish(window: int):
                 words = (text.as_py() or b"").split()
                 total.append(len(words))
                 if starts.is_valid and len(starts):
-                    inside = covered(starts.values.to_numpy(zero_copy_only=False).astype(np.int64), window, len(words))
+                    at = np.concatenate([np.arange(a, a + n) for a, n in
+                                         zip(*(starts.values.field(f).to_numpy() for f in ("start", "n")))])
+                    inside = covered(at, window, len(words))
                     words = [w for w, out in zip(words, inside.tolist()) if not out]
                 gone.append(total[-1] - len(words))
                 kept.append(b" ".join(words))
@@ -152,18 +150,37 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                        F.xxhash64(F.coalesce("text", F.lit("\0"))).alias("_text_hash"), utf8("text").alias("_utf8"))
     kind = rows.schema["_row"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, window))
-    windows = rows.select("_doc", "_text_hash", "_utf8").mapInArrow(
-        _windows(window, shared), "_doc bigint, _text_hash bigint, start int, h1 bigint, h2 bigint")
-    first = (windows.groupBy("h1", "h2").agg(F.min("_doc").alias("first"), F.max("_doc").alias("last"))
-             .where("first < last").drop("last"))
-    later = windows.join(first, ["h1", "h2"]).where(F.col("_doc") > F.col("first"))
-    starts = later.groupBy("_doc", "_text_hash").agg(F.collect_set("start").alias("starts"))  # no more than its words
-    marked = rows.mapInArrow(
-        _suspected(window, shared), f"_row {kind}, _doc bigint, _text_hash bigint, _utf8 binary, suspect boolean")
-    clean = marked.where("not suspect").select("_row", "_utf8", F.expr("cast(null as array<int>)").alias("starts"))
-    mended = marked.where("suspect").join(starts, ["_doc", "_text_hash"], "left").select("_row", "_utf8", "starts")
-    return clean.unionByName(mended).mapInArrow(
-        _finish(window), f"_row {kind}, n_words bigint, n_removed bigint, _kept binary")
+    runs = stored(rows.select("_doc", "_text_hash", "_utf8").mapInArrow(
+        _runs(window, shared), "_doc bigint, _text_hash bigint, anchor bigint, r1 bigint, r2 bigint, start int, n int, "
+                               "windows array<bigint>"), "runs")
+    starts = repeated_starts(runs).groupBy("_doc", "_text_hash").agg(
+        F.collect_list(F.struct("start", "n")).alias("starts"))  # no more than its windows
+    return (rows.join(starts, ["_doc", "_text_hash"], "left").select("_row", "_utf8", "starts")
+            .mapInArrow(_finish(window), f"_row {kind}, n_words bigint, n_removed bigint, _kept binary"))
+
+
+def repeated_starts(runs: DataFrame) -> DataFrame:
+    """``_doc, _text_hash, start, n``: windows to remove, as stretches.
+
+    Equal stretches are settled at once: all but the first document's go. The first ones alone are cut into windows,
+    and only where an anchor has different stretches, since a window lies in a stretch of its own anchor.
+    """
+    key = ["anchor", "r1", "r2"]
+    first = stored(runs.groupBy(*key).agg(F.min("_doc").alias("first")), "first-runs")
+    contested = first.groupBy("anchor").agg(F.min(F.struct("r1", "r2")).alias("a"), F.max(F.struct("r1", "r2")).alias("b"))
+    contested = contested.where("a <> b").select("anchor", F.lit(True).alias("contested"))
+    judged = runs.join(first.join(contested, "anchor", "left"), key)
+    later = F.col("_doc") > F.col("first")
+    judged = stored(judged.where(later | F.col("contested")).select(
+        "_doc", "_text_hash", "anchor", "start", "n", later.alias("later"),
+        F.when(~later, F.col("windows")).alias("windows")), "judged-runs")
+    places = ["_doc", "_text_hash", "start", "n"]
+    single = judged.where("not later").select(
+        "_doc", "_text_hash", "anchor", "start", F.posexplode("windows").alias("at", "hash"))
+    earliest = single.groupBy("anchor", "hash").agg(F.min("_doc").alias("first"), F.max("_doc").alias("last"))
+    repeated = single.join(earliest.where("first < last"), ["anchor", "hash"]).where(F.col("_doc") > F.col("first"))
+    return judged.where("later").select(*places).unionByName(
+        repeated.select("_doc", "_text_hash", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("n")))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 # Rows handled at a time inside a task; the outputs of one slice are in memory together.
 SLICE_ROWS = 256
 # Remembered word hashes of one worker.
-VOCABULARY = 500_000
+VOCABULARY = 200_000
 _MIX = tuple(np.uint64(c) for c in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 30, 27, 31))
 
 
@@ -60,7 +60,7 @@ def window_hashes(words: np.ndarray, size: int, seed: int = 0x9E3779B97F4A7C15)
     """
     if len(words) < size:
         return np.empty(0, np.uint64)
-    base = pow(seed | 1, 1, 1 << 64)
+    base = seed | 1
     step, done, out = mixed(words + np.uint64(seed)), 0, None
     length = 1
     rest = size
