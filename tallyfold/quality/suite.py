@@ -137,7 +137,8 @@ def run_suite(df: DataFrame, suite: str, rules: Sequence[Rule], *, references: M
 
 
 def _names_of(failed: Sequence[tuple[str, Column]]) -> Column:
-    return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in failed]))
+    names = [F.when(c, F.lit(name)) for name, c in failed]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
 
 
 def _row_failures(df: DataFrame, rules: Sequence[Rule], as_of: Column) -> list[tuple[str, Column]]:
@@ -151,17 +152,9 @@ def _row_failures(df: DataFrame, rules: Sequence[Rule], as_of: Column) -> list[t
     return failed
 
 
-def split_valid(df: DataFrame, rules: Sequence[Rule], *, severity: str = "critical",
-                as_of: datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass every row rule of ``severity``, and the others with ``failed_rules``."""
-    gate = [r for r in rules if r.severity == severity and r.kind not in KEY_KINDS]
-    marked = df.withColumn("failed_rules", _names_of(_row_failures(df, gate, _now(as_of))))
-    return marked.where(F.size("failed_rules") == 0).drop("failed_rules"), marked.where(F.size("failed_rules") > 0)
-
-
-def offending_rows(df: DataFrame, rules: Sequence[Rule], *, references: Mapping[str, DataFrame] | None = None,
-                   as_of: datetime | None = None) -> DataFrame:
-    """Rows failing any rule, with the names of those rules in ``failed_rules``."""
+def _marked(df: DataFrame, rules: Sequence[Rule], references: Mapping[str, DataFrame] | None,
+            as_of: datetime | None) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """The rows with what is needed to judge them, and a condition per rule that says who fails it."""
     marked, failed = df, dict(_row_failures(df, rules, _now(as_of)))
     for no, rule in enumerate(rules):
         if rule.kind not in KEY_KINDS or not _usable(rule, df):
@@ -173,9 +166,24 @@ def offending_rows(df: DataFrame, rules: Sequence[Rule], *, references: Mapping[
         mark = f"_bad{no}"
         marked = lookup_left_join(marked, bad).withColumnRenamed("occurrences", mark)
         failed[rule.name] = F.col(mark).isNotNull()
-    in_order = [(r.name, failed[r.name]) for r in rules]
-    hit = reduce(or_, [c for _, c in in_order])
-    return marked.where(hit).select(*df.columns, _names_of(in_order).alias("failed_rules"))
+    return marked, [(r.name, failed[r.name]) for r in rules]
+
+
+def split_valid(df: DataFrame, rules: Sequence[Rule], *, severity: str = "critical",
+                references: Mapping[str, DataFrame] | None = None,
+                as_of: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass every rule of ``severity``, key rules included, and the others with ``failed_rules``."""
+    marked, failed = _marked(df, [r for r in rules if r.severity == severity], references, as_of)
+    marked = marked.select(*df.columns, _names_of(failed).alias("failed_rules"))
+    return marked.where(F.size("failed_rules") == 0).drop("failed_rules"), marked.where(F.size("failed_rules") > 0)
+
+
+def offending_rows(df: DataFrame, rules: Sequence[Rule], *, references: Mapping[str, DataFrame] | None = None,
+                   as_of: datetime | None = None) -> DataFrame:
+    """Rows failing any rule, with the names of those rules in ``failed_rules``."""
+    marked, failed = _marked(df, rules, references, as_of)
+    hit = reduce(or_, [c for _, c in failed])
+    return marked.where(hit).select(*df.columns, _names_of(failed).alias("failed_rules"))
 
 
 def _duplicates(df: DataFrame, key: str) -> KeyTable:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOAD_AUDIT
+from ..workspace import remove_folder
 from .warehouse import Target, save
 
 
@@ -33,9 +34,16 @@ def within_retention(log: DataFrame, as_of: Column, days: int = 30, column: str
     return log.where(F.col(column) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
-def prune_audit(spark: SparkSession, log_path: str, into: str, as_of: Column, days: int = 30) -> None:
-    """Write the entries still within retention to a new folder, which then replaces the old log."""
-    within_retention(read_audit(spark, log_path), as_of, days).write.mode("error").parquet(into)
+def prune_audit(spark: SparkSession, log_path: str, as_of: Column, days: int = 30) -> None:
+    """Replace the log by its entries that are still within retention.
+
+    They are written beside it first, so a failure leaves the old log, the new one, or both folders, but never
+    neither. Run while nothing is loaded.
+    """
+    kept = f"{log_path}.kept"
+    within_retention(read_audit(spark, log_path), as_of, days).coalesce(1).write.mode("overwrite").parquet(kept)
+    spark.read.schema(LOAD_AUDIT).parquet(kept).coalesce(1).write.mode("overwrite").parquet(log_path)
+    remove_folder(spark, kept)
 
 
 class TooManyBadRecords(RuntimeError):

@@ -85,11 +85,15 @@ def save(df: DataFrame, table: str, target: Target, mode: str = "append", prefix
     return seen.get["rows"]
 
 
-def load(df: DataFrame, table: str, targets: Mapping[str, Target], name: str) -> int:
-    """Batch load: replaces the table."""
-    return save(df, table, pick_target(targets, name), "overwrite")
-
-
-def sink(df: DataFrame, table: str, targets: Mapping[str, Target], name: str) -> int:
-    """Streaming router: appends."""
-    return save(df, table, pick_target(targets, name, ignore_case=False), "append")
+def load(df: DataFrame, table: str, targets: Mapping[str, Target], name: str, *, expected: StructType | None = None,
+         write: str = "WRITE_TRUNCATE", create: str = "CREATE_IF_NEEDED", table_exists: bool = True, prefix: str = "") -> int:
+    """Batch load: replaces the table, unless ``write`` says otherwise; ``expected`` is checked before anything is written."""
+    if expected is not None:
+        check_schema(df, expected)
+    return save(df, table, pick_target(targets, name), save_mode(write, create, table_exists), prefix)
+
+
+def sink(df: DataFrame, table: str, targets: Mapping[str, Target], name: str, *, write: str = "WRITE_APPEND",
+         create: str = "CREATE_IF_NEEDED", table_exists: bool = True, prefix: str = "") -> int:
+    """Streaming router: appends, unless ``write`` says otherwise."""
+    return save(df, table, pick_target(targets, name, ignore_case=False), save_mode(write, create, table_exists), prefix)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import cleaning as c
 from ..operators.clean import (clean_customers, clean_transactions, mask_customers, normalise_names,
@@ -12,14 +14,17 @@ from ..operators.clean import (clean_customers, clean_transactions, mask_custome
 from ..operators.dedup import duplicate_keys
 from ..operators.skew import heavy_keys
 from ..plans.batch import joined_transactions, run_batch
-from ..schemas import RAW_CUSTOMER
+from ..schemas import LOAD_AUDIT, RAW_CUSTOMER
 from ..sinks import warehouse
+from ..sinks.audit import TooManyBadRecords, audited_save, check_bad_records, prune_audit, read_audit
 from ..sinks.layout import land_extract
 from ..sources.files import day_before, json_records
+from ..sources.spec import read_source
 from ..workspace import run_dir
 from .tables import CRM_CTES, TX_CTES, crm_raw, table, tx_raw
 
 RUN_DAY = date(1998, 9, 2)
+RUN_TS = datetime(2001, 1, 1, 6, 30)
 
 
 def newest_first():
@@ -69,12 +74,35 @@ def json_landing(spark, sf_dir):
     return spark.read.parquet(landed)
 
 
+def batch_joined_stamped(spark, sf_dir):
+    """The load time of every joined row, here a fixed one."""
+    joined = joined_transactions(tx_raw(spark, sf_dir), crm_raw(spark, sf_dir), latest_first=newest_first(), run_ts=RUN_TS)
+    return joined.select("transaction_id", "customer_id", F.col("etl_timestamp").cast("timestamp_ntz").alias("etl_timestamp"))
+
+
+def zone_texts(spark, sf_dir):
+    """The same instant as text in two zones."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", c.iso_text(F.col("o_orderdate")).alias("utc"), c.iso_text(F.col("o_orderdate"), "Asia/Tokyo").alias("tokyo"))
+
+
+def _load_joined(spark, sf_dir, monthly):
+    path = run_dir(spark, "joined")
+    run_batch(tx_raw(spark, sf_dir), crm_raw(spark, sf_dir), path, latest_first=newest_first(), monthly=monthly, run_ts=RUN_TS)
+    return spark.read.parquet(path).drop("etl_timestamp")
+
+
 def partitioned_load(spark, sf_dir):
+    """All rows of the joined table, stored by month and read back."""
+    return _load_joined(spark, sf_dir, True)
+
+
+def partitioned_load_daily(spark, sf_dir):
+    """The same by day, for the days of one year: a folder per day suits loads of few days."""
     path = run_dir(spark, "joined")
-    run_batch(tx_raw(spark, sf_dir), crm_raw(spark, sf_dir), path, latest_first=newest_first(), monthly=True)
-    loaded = spark.read.parquet(path)
-    return loaded.groupBy("transaction_date").agg(F.count("*").alias("loaded_rows"),
-                                                  F.count("crm_status").alias("with_customer_status"))
+    year = tx_raw(spark, sf_dir).where("year(event_ts) = 1996")
+    run_batch(year, crm_raw(spark, sf_dir), path, latest_first=newest_first(), run_ts=RUN_TS)
+    return spark.read.parquet(path).drop("etl_timestamp")
 
 
 def warehouse_load(spark, sf_dir):
@@ -83,10 +111,75 @@ def warehouse_load(spark, sf_dir):
     targets = {"files": warehouse.files(root)}
     rows = standardise_transactions(tx_raw(spark, sf_dir))
     for _ in range(2):
-        warehouse.load(rows, "transactions_fact", targets, "FILES")
+        warehouse.load(rows, "transactions_fact", targets, "FILES", expected=rows.schema)
     warehouse.sink(rows.where("is_valid"), "transactions_fact", targets, "files")
-    return spark.read.parquet(f"{root}/transactions_fact").groupBy("currency", "status", "is_valid").agg(
-        F.count("*").alias("loaded_rows"))
+    return spark.read.parquet(f"{root}/transactions_fact").withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+def _outcome(action):
+    """Rows written, or what stopped the load."""
+    try:
+        return action(), "ok"
+    except (TooManyBadRecords, warehouse.SchemaMismatch, AnalysisException, ValueError) as error:
+        return None, {"TooManyBadRecords": "too many bad records", "SchemaMismatch": "schema"}.get(type(error).__name__, "refused")
+
+
+def load_outcomes(spark, sf_dir):
+    """Row counts given by every way to save, dispositions, the schema check and the bad-record limit."""
+    root, tx = run_dir(spark, "outcomes"), tx_raw(spark, sf_dir)
+    targets = {"files": warehouse.files(root)}
+    rows, bad = standardise_transactions(tx), standardise_transactions(tx).where("not is_valid")
+    wider = StructType([*rows.schema.fields, StructField("channel", StringType())])
+    steps = [
+        ("run_batch", lambda: run_batch(tx, crm_raw(spark, sf_dir), f"{root}/joined", latest_first=newest_first(), monthly=True)),
+        ("load", lambda: warehouse.load(rows, "t", targets, "FILES", prefix="dw_")),
+        ("sink", lambda: warehouse.sink(bad, "t", targets, "files", prefix="dw_")),
+        ("write_empty", lambda: warehouse.load(rows, "t", targets, "files", prefix="dw_", write="WRITE_EMPTY")),
+        ("create_never", lambda: warehouse.load(rows, "u", targets, "files", create="CREATE_NEVER", table_exists=False)),
+        ("unknown_target", lambda: warehouse.sink(rows, "t", targets, "FILES")),
+        ("schema", lambda: warehouse.load(rows, "t", targets, "files", prefix="dw_", expected=wider)),
+        ("limit_5", lambda: check_bad_records(bad, 5)),
+        ("limit_all", lambda: check_bad_records(bad, 1 << 30)),
+        ("in_table", lambda: spark.read.parquet(f"{root}/dw_t").count()),
+    ]
+    return spark.createDataFrame([(name, *_outcome(step)) for name, step in steps], "step string, rows bigint, outcome string")
+
+
+def written_audit(spark, sf_dir):
+    """The load log after a load, an append and a load that fails, pruned to the last month."""
+    root, log = run_dir(spark, "audited"), run_dir(spark, "audit")
+    rows, target = standardise_transactions(tx_raw(spark, sf_dir)), warehouse.files(root)
+    old = (None, "old", 1, *[datetime(2000, 1, 1, tzinfo=timezone.utc)] * 2, "ok")
+    spark.createDataFrame([old], LOAD_AUDIT).write.parquet(log)
+    audited_save(rows, "t", target, log, "overwrite")
+    audited_save(rows.where("is_valid"), "t", target, log)
+    try:
+        audited_save(rows, "t", target, log, "error")
+    except AnalysisException:
+        pass
+    prune_audit(spark, log, F.current_timestamp())
+    return read_audit(spark, log).select(
+        "table", "rows", "status", (F.col("finished") >= F.col("started")).alias("in_order"),
+        (F.length("load_id") == 32).alias("has_id"))
+
+
+def file_sizes(spark, sf_dir):
+    """Files written with a limit of rows per file: all rows are there and no file has more."""
+    root = run_dir(spark, "sized")
+    warehouse.save(table(spark, sf_dir, "orders"), "orders", warehouse.files(root, max_records_per_file=500), "overwrite")
+    per_file = spark.read.parquet(f"{root}/orders").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return per_file.agg(F.sum("n").alias("rows"), (F.max("n") <= 500).alias("within_limit"))
+
+
+def source_by_spec(spark, sf_dir):
+    """The same table opened by two specifications, one of them of landed JSON files."""
+    landed = run_dir(spark, "nation-json")
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").write.json(f"{landed}/a/b")
+    by_json = read_source(spark, {"type": "json", "path": landed, "extension": ".json", "recursive": True},
+                          "o_orderkey bigint, o_custkey bigint, o_orderstatus string")
+    by_parquet = read_source(spark, {"type": "parquet", "path": f"{sf_dir}/orders.parquet"})
+    return by_json.withColumn("format", F.lit("json")).unionByName(
+        by_parquet.select(*by_json.columns, F.lit("parquet").alias("format")))
 
 
 QUERIES = {
@@ -104,7 +197,14 @@ QUERIES = {
     "masked_customers": lambda spark, sf_dir: mask_customers(clean_customers(crm_raw(spark, sf_dir), newest_first())),
     "json_landing": json_landing,
     "partitioned_load": partitioned_load,
+    "partitioned_load_daily": partitioned_load_daily,
     "warehouse_load": warehouse_load,
+    "batch_joined_stamped": batch_joined_stamped,
+    "zone_texts": zone_texts,
+    "load_outcomes": load_outcomes,
+    "load_audit_written": written_audit,
+    "file_sizes": file_sizes,
+    "source_by_spec": source_by_spec,
 }
 
 _JOINED = f"""WITH {CRM_CTES}, {TX_CTES},
@@ -134,8 +234,24 @@ ORACLES = {
         regexp_replace(regexp_replace(regexp_replace(phone, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')
           AS phone, sha256(email) AS email) FROM crm_clean""",
     "json_landing": f"""WITH {CRM_CTES} SELECT * EXCLUDE (ingest_seq), DATE '1998-09-02' AS extraction_date FROM crm_std""",
-    "warehouse_load": f"""WITH {TX_CTES} SELECT currency, status, is_valid,
-        CASE WHEN is_valid THEN 2 * count(*) ELSE count(*) END AS loaded_rows FROM tx_std GROUP BY currency, status, is_valid""",
-    "partitioned_load": f"""{_JOINED} SELECT transaction_date, count(*) AS loaded_rows,
-        count(crm_status) AS with_customer_status FROM joined GROUP BY transaction_date""",
+    "warehouse_load": f"""WITH {TX_CTES} SELECT * FROM tx_std UNION ALL SELECT * FROM tx_std WHERE is_valid""",
+    "partitioned_load": f"""{_JOINED} SELECT *, CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month FROM joined""",
+    "partitioned_load_daily": _JOINED.replace("FROM tx_raw)", "FROM tx_raw WHERE year(event_ts) = 1996)", 1) + " SELECT * FROM joined",
+    "batch_joined_stamped": f"{_JOINED} SELECT transaction_id, customer_id, TIMESTAMP '2001-01-01 06:30:00' AS etl_timestamp FROM joined",
+    "zone_texts": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS utc,
+        strftime(o_orderdate + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S') AS tokyo FROM orders""",
+    "load_outcomes": f"""{_JOINED}, n AS (SELECT (SELECT count(*) FROM joined) AS j, (SELECT count(*) FROM tx_std) AS t,
+            (SELECT count(*) FROM tx_std WHERE NOT is_valid) AS b)
+        SELECT 'run_batch' AS step, j AS rows, 'ok' AS outcome FROM n UNION ALL SELECT 'load', t, 'ok' FROM n
+        UNION ALL SELECT 'sink', b, 'ok' FROM n UNION ALL SELECT 'write_empty', NULL, 'refused'
+        UNION ALL SELECT 'create_never', NULL, 'refused' UNION ALL SELECT 'unknown_target', NULL, 'refused'
+        UNION ALL SELECT 'schema', NULL, 'schema'
+        UNION ALL SELECT 'limit_5', NULL, CASE WHEN b > 5 THEN 'too many bad records' ELSE 'ok' END FROM n
+        UNION ALL SELECT 'limit_all', NULL, 'ok' UNION ALL SELECT 'in_table', t + b, 'ok' FROM n""",
+    "load_audit_written": f"""WITH {TX_CTES} SELECT 't' AS "table", count(*) AS rows, 'ok' AS status, true AS in_order,
+            true AS has_id FROM tx_std
+        UNION ALL SELECT 't', count(*), 'ok', true, true FROM tx_std WHERE is_valid
+        UNION ALL SELECT 't', NULL, 'error', true, true""",
+    "file_sizes": "SELECT count(*) AS rows, true AS within_limit FROM orders",
+    "source_by_spec": """SELECT o_orderkey, o_custkey, o_orderstatus, unnest(['json', 'parquet']) AS format FROM orders""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,12 +12,12 @@ from ..operators.schema_audit import audit_schema
 from ..plans.quality import store_quality, suite_results
 from ..quality.report import (last_metrics, latest_report, quality_metrics, quality_report, suite_statistics, weekly,
                               with_level, with_message)
-from ..quality.rules import CONFIGURED_SUITES, CRM_SUITE, TRANSACTION_SUITE
+from ..quality.rules import CONFIGURED_SUITES, CRM_SUITE, TRANSACTION_SUITE, rules_from_config
 from ..quality.suite import offending_rows, rows_with_duplicate_key, run_suite, split_valid
 from ..sinks.warehouse import files
 from ..sources.files import validation_results
-from ..workspace import run_dir
-from .tables import CRM_CTES, TX_CTES, crm_raw, tx_raw
+from ..workspace import move_only_file, run_dir
+from .tables import CRM_CTES, TX_CTES, crm_raw, table, tx_raw
 
 AS_OF = datetime(2001, 1, 1)
 CUSTOMERS, TRANSACTIONS, JOINS = (CONFIGURED_SUITES[name] for name in ("customers", "transactions", "joins"))
@@ -52,6 +53,32 @@ def accepted(spark, sf_dir):
     return split_valid(tx(spark, sf_dir), TRANSACTIONS, as_of=AS_OF)[0]
 
 
+def gate_by_keys(spark, sf_dir):
+    """Rows stopped by the critical rules of two suites, uniqueness and reference rules among them."""
+    customers = split_valid(crm(spark, sf_dir), CUSTOMERS, as_of=AS_OF)[1].select(
+        F.lit("customers").alias("suite"), F.col("customer_id").alias("id"), "ingest_seq", "failed_rules")
+    joins = split_valid(tx(spark, sf_dir), JOINS, references={"customers": crm(spark, sf_dir)})[1].select(
+        F.lit("joins").alias("suite"), F.col("transaction_id").alias("id"), "ingest_seq", "failed_rules")
+    return customers.unionByName(joins).withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
+# Rules as a configuration file holds them.
+CONFIGURED = [
+    {"type": "expect_column_values_to_not_be_null", "name": "has_id", "column": "transaction_id", "severity": "critical",
+     "message": "id"},
+    {"type": "expect_column_values_to_be_unique", "name": "one_id", "column": "transaction_id", "severity": "warning",
+     "message": "copies"},
+    {"type": "expect_column_values_to_be_between", "name": "range", "column": "amount", "severity": "warning",
+     "message": "amount", "min_value": 1000, "max_value": 50000},
+    {"type": "expect_column_values_to_be_in_set", "name": "paid", "column": "status", "severity": "critical",
+     "message": "status", "values": ["SUCCESS", "PENDING"]},
+]
+
+
+def configured(spark, sf_dir):
+    return run_suite(tx(spark, sf_dir), "configured", rules_from_config(CONFIGURED))
+
+
 def offenders(spark, sf_dir):
     rows = offending_rows(tx(spark, sf_dir), [*TRANSACTION_SUITE, *JOINS], references={"customers": crm(spark, sf_dir)})
     return rows.withColumn("failed_rules", F.array_join("failed_rules", ","))
@@ -102,7 +129,45 @@ def files_audit(spark, sf_dir):
     """Every file in the folder against the customer schema: only the customer files come near it."""
     audit = audit_schema(spark, sf_dir, CUSTOMER_FIELDS)
     name = F.regexp_extract("path", r"/([^/]+)\.parquet", 1)
-    return audit.select(name.alias("table_name"), "field", "expected", "verdict").distinct()
+    # A table may be stored as several files, which all have one schema.
+    return audit.select(name.alias("table_name"), "field", "expected", "actual", "verdict").dropDuplicates(
+        ["table_name", "field"])
+
+
+AVRO_TABLES = ("customer", "orders", "region")
+AVRO_TYPES = {"bigint": "long", "int": "int", "string": "string", "double": "double", "timestamp_ntz": "long"}
+AVRO_EXPECTED = {"c_custkey": "long", "c_name": "int", "c_email": "string"}
+
+
+def _avro_header(fields):
+    """The metadata block of an Avro container file, without records."""
+    def number(n):
+        n, out = n << 1, b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    schema = json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": t} for n, t in fields]}).encode()
+    return b"Obj\x01" + number(1) + number(11) + b"avro.schema" + number(len(schema)) + schema + number(0) + b"0" * 16
+
+
+def avro_audit(spark, sf_dir):
+    """Avro files with the schemas of given tables, one broken file among them, and a format that is not supported."""
+    root = run_dir(spark, "avro")
+    headers = [(name, _avro_header([(f.name, AVRO_TYPES[f.dataType.simpleString()]) for f in table(spark, sf_dir, name).schema]))
+               for name in AVRO_TABLES]
+    for name, header in [*headers, ("broken", b"no container")]:
+        # The text writer writes bytes as they are.
+        spark.createDataFrame([(header,)], "value binary").select(F.col("value").cast("string")).coalesce(1).write.text(f"{root}/{name}")
+        move_only_file(spark, f"{root}/{name}", f"{root}/{name}.avro")
+    audit = audit_schema(spark, root, AVRO_EXPECTED, "avro").select(
+        F.regexp_extract("path", r"/([^/]+)\.avro", 1).alias("table_name"), "field", "expected", "actual", "verdict")
+    try:
+        audit_schema(spark, root, AVRO_EXPECTED, "orc")
+        refused = "no"
+    except ValueError:
+        refused = "yes"
+    return audit.unionByName(spark.createDataFrame([("orc", None, None, None, f"refused: {refused}")], audit.schema))
 
 
 QUERIES = {
@@ -116,6 +181,8 @@ QUERIES = {
     "quality_quarantine": quarantine,
     "quality_accepted": accepted,
     "quality_offenders": offenders,
+    "quality_gate_keys": gate_by_keys,
+    "quality_configured": configured,
     "quality_report": lambda spark, sf_dir: quality_report(suite_statistics(both_suites(spark, sf_dir))),
     "quality_level": metrics,
     "quality_weekly": lambda spark, sf_dir: weekly(daily_statistics(spark, sf_dir)),
@@ -124,6 +191,7 @@ QUERIES = {
     "quality_stored": stored_report,
     "quality_last_metrics": newest_metrics,
     "schema_audit": files_audit,
+    "schema_audit_avro": avro_audit,
 }
 
 
@@ -248,14 +316,27 @@ _TABLES = ("region nation customer supplier part orders lineitem events document
 _ACTUAL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name AS field, column_type FROM (DESCRIBE {t})" for t in _TABLES)
 _EXPECTED = ", ".join(f"('{field}', '{dtype}')" for field, dtype in CUSTOMER_FIELDS.items())
 
+_AVRO = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name AS field, column_type FROM (DESCRIBE {t})" for t in AVRO_TABLES)
+
 ORACLES = {
+    "schema_audit_avro": f"""WITH actual AS (
+        SELECT table_name, field, CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+          WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'long' END AS actual FROM ({_AVRO})),
+      wanted AS (SELECT table_name, field, expected FROM (SELECT DISTINCT table_name FROM actual),
+        (VALUES ('c_custkey', 'long'), ('c_name', 'int'), ('c_email', 'string')) v(field, expected))
+      SELECT coalesce(w.table_name, a.table_name) AS table_name, coalesce(w.field, a.field) AS field, expected, actual,
+        CASE WHEN actual IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra' WHEN actual = expected THEN 'ok'
+          ELSE 'mismatch' END AS verdict
+      FROM wanted w FULL OUTER JOIN actual a ON w.table_name = a.table_name AND w.field = a.field
+      UNION ALL VALUES ('broken', NULL, NULL, NULL, 'unreadable'), ('orc', NULL, NULL, NULL, 'refused: yes')""",
     "schema_audit": f"""WITH actual AS (
         SELECT *, CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'VARCHAR' THEN 'string'
+          WHEN 'TIMESTAMP' THEN 'timestamp[us]' WHEN 'FLOAT[]' THEN 'list<element: float>'
           ELSE lower(column_type) END AS arrow_type FROM ({_ACTUAL})),
       wanted AS (SELECT table_name, field, expected FROM (SELECT DISTINCT table_name FROM actual),
         (VALUES {_EXPECTED}) v(field, expected))
       SELECT coalesce(w.table_name, a.table_name) AS table_name, coalesce(w.field, a.field) AS field, expected,
-        CASE WHEN arrow_type IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra'
+        arrow_type AS actual, CASE WHEN arrow_type IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra'
           WHEN contains(arrow_type, lower(expected)) THEN 'ok' ELSE 'mismatch' END AS verdict
       FROM wanted w FULL OUTER JOIN actual a ON w.table_name = a.table_name AND w.field = a.field""",
     "quality_crm": f"{_WITH} {_CRM_RESULTS}",
@@ -269,6 +350,17 @@ ORACLES = {
         WHERE failed_rules <> ''""",
     "quality_accepted": f"""{_WITH} SELECT {_TX_COLUMNS} FROM tx_std
         WHERE transaction_id IS NOT NULL AND (amount IS NULL OR amount BETWEEN 0 AND 100000)""",
+    "quality_configured": _WITH + rule_sql("configured", "tx_counted", [
+        ("has_id", "transaction_id", "critical", "id", "true", "transaction_id IS NULL"),
+        ("one_id", "transaction_id", "warning", "copies", "transaction_id IS NOT NULL", "transaction_id IS NOT NULL AND copies > 1"),
+        ("range", "amount", "warning", "amount", "amount IS NOT NULL", "amount < 1000 OR amount > 50000"),
+        ("paid", "status", "critical", "status", "status IS NOT NULL", "status NOT IN ('SUCCESS', 'PENDING')")]),
+    "quality_gate_keys": f"""{_WITH} SELECT 'customers' AS suite, customer_id AS id, ingest_seq,
+        concat_ws(',', CASE WHEN customer_id IS NULL THEN 'no_null_customer_id' END,
+                  CASE WHEN customer_id IS NOT NULL AND copies > 1 THEN 'unique_customer_id' END) AS failed_rules
+        FROM crm_counted WHERE failed_rules <> ''
+        UNION ALL SELECT 'joins', transaction_id, ingest_seq, 'foreign_key_customer_exists' FROM tx_std
+        WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM crm_std)""",
     "quality_offenders": f"""{_WITH} SELECT {_TX_COLUMNS}, {failed_sql(_FAILED)} AS failed_rules FROM tx_counted
         WHERE failed_rules <> ''""",
     "quality_report": f"""{_STATISTICS} SELECT suite, success_percent, evaluated_expectations, unsuccessful_expectations,

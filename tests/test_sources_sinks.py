@@ -120,12 +120,13 @@ def test_retention(spark):
 
 
 def test_prune(spark, tmp_path):
-    log, pruned = str(tmp_path / "log"), str(tmp_path / "pruned")
+    log = str(tmp_path / "log")
     audited_save(spark.range(1), "t", warehouse.files(str(tmp_path)), log)
-    prune_audit(spark, log, pruned, F.current_timestamp())
-    assert read_audit(spark, pruned).count() == 1
-    prune_audit(spark, log, pruned + "2", F.current_timestamp() + F.expr("interval 31 days"))
-    assert read_audit(spark, pruned + "2").count() == 0
+    prune_audit(spark, log, F.current_timestamp())
+    assert read_audit(spark, log).count() == 1
+    prune_audit(spark, log, F.current_timestamp() + F.expr("interval 31 days"))
+    assert read_audit(spark, log).count() == 0
+    assert [p.name for p in tmp_path.iterdir() if "kept" in p.name] == []
 
 
 def test_schema_is_checked_before_a_load(spark):
