@@ -14,26 +14,26 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import flag
-from ..settings import initial_partitions
-from ..workspace import ensure_checkpoint_dir
+from ..workspace import run_dir
 from .skew import HeavyKeys, aggregate_keys, heavy_keys, lookup_left_join
 
 RUN = "_run"
 
 
-def _cut_into_runs(df: DataFrame, key: str, order_by: Sequence[str], runs: int | None) -> DataFrame:
+def _cut_into_runs(df: DataFrame, key: str, order_by: Sequence[str], runs: int) -> DataFrame:
     """Rows in consecutive runs numbered by ``_run``.
 
     The row number in ``_tie`` lets even exact copies of one row be cut. Range
-    bounds come from a sample and may differ between executions, so the run
-    numbers are checkpointed before anything reads them twice.
+    bounds come from a sample and may differ between executions, so the numbered
+    rows are written before anything reads them twice.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    runs = runs or max(2, initial_partitions(spark))
+    path = run_dir(spark, "runs")
     order = [F.col(c).asc_nulls_first() for c in (key, *order_by, "_tie")]
-    return (df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(runs, *order).drop("_tie")
-            .withColumn(RUN, F.spark_partition_id()).checkpoint())
+    cut = (df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(max(2, runs), *order).drop("_tie")
+           .withColumn(RUN, F.spark_partition_id()))
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
 
 def _rows_before(runs: DataFrame, key: str, order_by: Sequence[str], reach: int) -> DataFrame:
@@ -75,7 +75,7 @@ def with_row_frame(df: DataFrame, key: str, order_by: Sequence[str], values: Seq
     marks = heavy.frame(df)
     is_heavy = F.col(key).eqNullSafe(marks["_heavy_key"])
     cold = df.join(marks, is_heavy, "left_anti").withColumns(outputs(plain))
-    cut = _cut_into_runs(df.join(marks, is_heavy, "left_semi"), key, order_by, runs)
+    cut = _cut_into_runs(df.join(marks, is_heavy, "left_semi"), key, order_by, runs or heavy.pieces)
     halo = _rows_before(cut, key, order_by, -first).withColumn("_halo", F.lit(True))
     within = Window.partitionBy(key, RUN).orderBy(*ascending).rowsBetween(first, last)
     hot = (cut.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
@@ -113,12 +113,12 @@ def zscore_previous(df: DataFrame, rows: int = 5, threshold: float = 2.5, *, key
     return _scored(framed, amount, threshold)
 
 
-def zscore_history(df: DataFrame, threshold: float = 2.5, *, key: str = "customer_id",
-                   amount: str = "amount") -> DataFrame:
+def zscore_history(df: DataFrame, threshold: float = 2.5, *, key: str = "customer_id", amount: str = "amount",
+                   min_rows: int | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """Distance of an amount from all transactions of its customer; 0 without a customer.
 
     The baseline is a combined aggregate joined back, not a window: a window
     would hold every row of a customer in one task.
     """
-    baseline = aggregate_keys(df, key, baseline_avg=F.avg(amount), baseline_stddev=F.stddev_samp(amount))
+    baseline = aggregate_keys(df, key, min_rows=min_rows, broadcast_rows=broadcast_rows, baseline_avg=F.avg(amount), baseline_stddev=F.stddev_samp(amount))
     return _scored(lookup_left_join(df, baseline).drop("occurrences"), amount, threshold)

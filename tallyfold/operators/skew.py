@@ -3,11 +3,12 @@
 ``heavy_keys`` measures which keys do. The measure is exact and small: a key
 is heavy when it holds more than ``1 / SHARES`` of all rows, so there are fewer
 than ``SHARES`` of them whatever the table size, and the list may be broadcast.
+Below that share a key may have a task to itself: of 100 TB it is 1 GB at most.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, types as T
@@ -16,11 +17,12 @@ from pyspark.sql import functions as F
 from ..workspace import run_dir
 
 # A task should not get more than this part of the rows because of one key ...
-SHARES = 10_000
+SHARES = 100_000
 # ... and below this many rows per key there is nothing to split.
 MIN_ROWS = 1_000_000
-# A key table with no more rows than this is broadcast.
+# A key table with no more rows, and no more bytes of keys, than this is broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -40,9 +42,14 @@ class HeavyKeys:
     def __bool__(self) -> bool:
         return bool(self.rows)
 
+    @property
+    def pieces(self) -> int:
+        """Pieces of all heavy keys together."""
+        return sum(n for _, n in self.rows)
+
 
 def _limit(total: Column, shares: int | None = None, min_rows: int | None = None) -> Column:
-    return F.greatest(F.lit(float(min_rows or MIN_ROWS)), total / F.lit(shares or SHARES))
+    return F.greatest(F.lit(float(MIN_ROWS if min_rows is None else min_rows)), total / F.lit(shares or SHARES))
 
 
 def _pieces(rows: Column, limit: Column) -> Column:
@@ -63,7 +70,7 @@ def heavy_keys(df: DataFrame, key: str, shares: int | None = None, min_rows: int
     a heavy key is only counted, which for files means reading their footers.
     """
     total = df.count()
-    if total <= (min_rows or MIN_ROWS):
+    if total <= (MIN_ROWS if min_rows is None else min_rows):
         return HeavyKeys(key, df.schema[key].dataType, ())
     limit = _limit(F.lit(total), shares, min_rows)
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
@@ -89,18 +96,29 @@ def _stored(rows: DataFrame, **seen: Column) -> tuple[DataFrame, dict]:
     return rows.sparkSession.read.schema(rows.schema).parquet(path), observation.get
 
 
-def aggregate_keys(df: DataFrame, key: str, **aggregates: Column) -> KeyTable:
+def _is_small(seen: Mapping, broadcast_rows: int | None) -> bool:
+    most = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    return seen["rows"] <= most and (seen["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def _bytes(key: str) -> Column:
+    return F.sum(F.octet_length(F.col(key).cast("string")).cast("long"))
+
+
+def aggregate_keys(df: DataFrame, key: str, *, min_rows: int | None = None, broadcast_rows: int | None = None,
+                   **aggregates: Column) -> KeyTable:
     """Aggregates of every key, computed once for joining back and for measuring skew."""
     per_key = df.groupBy(key).agg(F.count("*").alias("occurrences"), *[a.alias(n) for n, a in aggregates.items()])
-    stored, seen = _stored(per_key, total=F.sum("occurrences"), largest=F.max("occurrences"))
+    stored, seen = _stored(per_key, total=F.sum("occurrences"), largest=F.max("occurrences"), bytes=_bytes(key))
     heavy = HeavyKeys(key, stored.schema[key].dataType, ())
-    limit = max(MIN_ROWS, (seen["total"] or 0) / SHARES)
+    limit = max(MIN_ROWS if min_rows is None else min_rows, (seen["total"] or 0) / SHARES)
     if (seen["largest"] or 0) > limit:
         heavy = _listed(stored.withColumn("_pieces", _pieces(F.col("occurrences"), F.lit(float(limit)))), key)
-    return KeyTable(stored, heavy, seen["rows"] <= BROADCAST_ROWS)
+    return KeyTable(stored, heavy, _is_small(seen, broadcast_rows))
 
 
-def flagged_keys(df: DataFrame, key: str, flag: Callable[[DataFrame], DataFrame]) -> KeyTable:
+def flagged_keys(df: DataFrame, key: str, flag: Callable[[DataFrame], DataFrame], *, min_rows: int | None = None,
+                 broadcast_rows: int | None = None) -> KeyTable:
     """Keys picked by ``flag``, which gets ``key, occurrences`` and adds a boolean ``_flag``; null is never picked.
 
     Rows are counted per key before anything else, so a key with very many
@@ -110,11 +128,11 @@ def flagged_keys(df: DataFrame, key: str, flag: Callable[[DataFrame], DataFrame]
     total = counts.agg(F.sum("occurrences").alias("total")).scalar()
     marked = flag(counts).withColumns({
         "_flag": F.col("_flag") & F.col(key).isNotNull(),
-        "_pieces": _pieces(F.col("occurrences"), _limit(total)),
+        "_pieces": _pieces(F.col("occurrences"), _limit(total, min_rows=min_rows)),
     })
-    stored, seen = _stored(marked.where("_flag or _pieces is not null"), heavy=F.count("_pieces"))
+    stored, seen = _stored(marked.where("_flag or _pieces is not null"), heavy=F.count("_pieces"), bytes=_bytes(key))
     heavy = _listed(stored, key) if seen["heavy"] else HeavyKeys(key, stored.schema[key].dataType, ())
-    return KeyTable(stored.where("_flag").select(key, "occurrences"), heavy, seen["rows"] <= BROADCAST_ROWS)
+    return KeyTable(stored.where("_flag").select(key, "occurrences"), heavy, _is_small(seen, broadcast_rows))
 
 
 def _tagged(df: DataFrame, heavy: HeavyKeys) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_customers, clean_transactions
 from ..operators.enrich import KEY, join_customers
 from ..operators.skew import HeavyKeys, heavy_keys
+from ..settings import sized_for
 from ..sinks.layout import save_partitioned
+from ..workspace import scratch
 
 
 def joined_transactions(transactions: DataFrame, customers: DataFrame, *, run_ts: datetime | None = None,
@@ -32,11 +34,12 @@ def run_batch(transactions: DataFrame, customers: DataFrame, path: str, *, run_t
     """Store the joined table by transaction day in one pass; return its row count.
 
     ``monthly`` adds ``transaction_month`` and stores by that, for loads of a
-    long history with few rows a day.
+    long history with few rows a day. Shuffles are sized by the input; intermediate folders are deleted.
     """
-    joined = joined_transactions(transactions, customers, run_ts=run_ts, latest_first=latest_first)
-    if not monthly:
-        return save_partitioned(joined, path)
-    month = F.trunc("transaction_date", "month")
-    return save_partitioned(joined.withColumn("transaction_month", month), path, "transaction_month",
-                            ("customer_id", "transaction_date"))
+    with sized_for(transactions, customers), scratch(transactions.sparkSession):
+        joined = joined_transactions(transactions, customers, run_ts=run_ts, latest_first=latest_first)
+        if not monthly:
+            return save_partitioned(joined, path)
+        month = F.trunc("transaction_date", "month")
+        return save_partitioned(joined.withColumn("transaction_month", month), path, "transaction_month",
+                                ("customer_id", "transaction_date"))

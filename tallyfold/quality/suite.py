@@ -186,11 +186,12 @@ def offending_rows(df: DataFrame, rules: Sequence[Rule], *, references: Mapping[
     return marked.where(hit).select(*df.columns, _names_of(failed).alias("failed_rules"))
 
 
-def _duplicates(df: DataFrame, key: str) -> KeyTable:
-    return flagged_keys(df, key, lambda counts: counts.withColumn("_flag", F.col("occurrences") > 1))
+def _duplicates(df: DataFrame, key: str, **sizes: int | None) -> KeyTable:
+    return flagged_keys(df, key, lambda counts: counts.withColumn("_flag", F.col("occurrences") > 1), **sizes)
 
 
-def rows_with_duplicate_key(df: DataFrame, key: str) -> DataFrame:
+def rows_with_duplicate_key(df: DataFrame, key: str, *, min_rows: int | None = None,
+                            broadcast_rows: int | None = None) -> DataFrame:
     """Every row whose non-null key occurs more than once, with ``occurrences``."""
-    joined = lookup_left_join(df, _duplicates(df, key))
+    joined = lookup_left_join(df, _duplicates(df, key, min_rows=min_rows, broadcast_rows=broadcast_rows))
     return joined.where("occurrences is not null").select(*df.columns, "occurrences")

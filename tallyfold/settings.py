@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED = {
     # Re-plan joins and partition sizes at run time.
@@ -15,6 +17,8 @@ RECOMMENDED = {
 
 # Bytes one shuffle task should get; partitions that turn out smaller are merged at run time.
 TASK_BYTES = 128 << 20
+# Rows are wider in a shuffle than in a compressed columnar file.
+SHUFFLED_PER_STORED = 2
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -33,6 +37,32 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+def input_bytes(*tables: DataFrame) -> int:
+    """Size of what the tables are read from, by the optimiser's statistics of their leaves; no job is run."""
+    total = 0
+    for df in tables:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
+@contextmanager
+def sized_for(*tables: DataFrame):
+    """Inside, shuffles start with enough partitions for all of the tables to be moved."""
+    spark = tables[0].sparkSession
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    tune(spark, SHUFFLED_PER_STORED * input_bytes(*tables))
+    try:
+        yield
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS) if before is None else spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def _shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -94,6 +94,8 @@ QUERIES = {
         moving_average(tx_stream(spark, sf_dir), 5, order_by=ORDER), "moving_avg_amount"),
     "zscore_history": lambda spark, sf_dir: rounded(
         zscore_history(tx_stream(spark, sf_dir)), "baseline_avg", "baseline_stddev", "z_score"),
+    "zscore_history_large": lambda spark, sf_dir: rounded(
+        zscore_history(tx_stream(spark, sf_dir), min_rows=20, broadcast_rows=0), "baseline_avg", "baseline_stddev", "z_score"),
     "zscore_prev5": lambda spark, sf_dir: rounded(
         zscore_previous(tx_stream(spark, sf_dir), order_by=ORDER), "baseline_avg", "baseline_stddev", "z_score"),
     "moving_average_5_split": lambda spark, sf_dir: rounded(split_moving_average(spark, sf_dir), "moving_avg_amount"),
@@ -146,6 +148,8 @@ ORACLES = {
         ORDER BY event_ts NULLS FIRST, transaction_id NULLS FIRST ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6)
         AS moving_avg_amount FROM tx_stream""",
     "zscore_history": zscore_sql("PARTITION BY customer_id"),
+    # Heavy customers apart and no key table small enough to broadcast, as on a large table.
+    "zscore_history_large": zscore_sql("PARTITION BY customer_id"),
     "zscore_prev5": zscore_sql("PARTITION BY customer_id ORDER BY event_ts NULLS FIRST, transaction_id NULLS FIRST "
                                "ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"),
     "run_metrics": """WITH b AS (

@@ -178,6 +178,8 @@ QUERIES = {
                                                                  as_of=AS_OF),
     "quality_fk": foreign_key,
     "quality_unique_offenders": lambda spark, sf_dir: rows_with_duplicate_key(tx(spark, sf_dir), "transaction_id"),
+    "quality_unique_offenders_large": lambda spark, sf_dir: rows_with_duplicate_key(
+        tx(spark, sf_dir), "transaction_id", min_rows=1, broadcast_rows=0),
     "quality_quarantine": quarantine,
     "quality_accepted": accepted,
     "quality_offenders": offenders,
@@ -346,6 +348,8 @@ ORACLES = {
     "quality_fk": f"{_WITH} {rule_sql('joins', 'tx_std', JOIN_ROWS)}",
     "quality_unique_offenders": f"""{_WITH} SELECT {_TX_COLUMNS}, copies AS occurrences FROM tx_counted
         WHERE transaction_id IS NOT NULL AND copies > 1""",
+    "quality_unique_offenders_large": f"""{_WITH} SELECT {_TX_COLUMNS}, copies AS occurrences FROM tx_counted
+        WHERE transaction_id IS NOT NULL AND copies > 1""",
     "quality_quarantine": f"""{_WITH} SELECT {_TX_COLUMNS}, {failed_sql(_GATE)} AS failed_rules FROM tx_std
         WHERE failed_rules <> ''""",
     "quality_accepted": f"""{_WITH} SELECT {_TX_COLUMNS} FROM tx_std

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,15 +26,28 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def run_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder path for one run; nothing is created yet."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+_scopes: contextvars.ContextVar[list | None] = contextvars.ContextVar("scratch", default=None)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def run_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh sub-folder path for one run; nothing is created yet."""
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    if (scope := _scopes.get()) is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate folders made inside are deleted at the end: run the action that needs them inside as well."""
+    made: list[str] = []
+    token = _scopes.set(made)
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in made:
+            remove_folder(spark, path)
 
 
 def _folder(spark: SparkSession, path: str):

@@ -2,8 +2,12 @@ from types import SimpleNamespace
 
 import pytest
 
-from tallyfold import workspace
-from tallyfold.settings import INITIAL_PARTITIONS, RECOMMENDED, initial_partitions, tune
+from pyspark.sql import functions as F
+
+from tallyfold import settings, workspace
+from tallyfold.operators.ordered import moving_average, zscore_history
+from tallyfold.operators.skew import heavy_keys
+from tallyfold.settings import INITIAL_PARTITIONS, RECOMMENDED, initial_partitions, input_bytes, tune
 
 
 def session(master, named=None, context_dir=None):
@@ -38,3 +42,34 @@ def test_shuffles_start_with_enough_partitions(spark):
         assert initial_partitions(tune(spark, shuffle_bytes=1)) == 8
     finally:
         spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def test_scratch_folders_go_after_the_action(spark, tmp_path):
+    root = workspace.shared_root(spark)
+    before = set(workspace.subfolders(spark, root))
+    tx = spark.range(60).select((F.col("id") % 3).cast("string").alias("customer_id"), F.col("id").cast("double").alias("amount"),
+                                F.col("id").alias("order"))
+    with workspace.scratch(spark):
+        zscore_history(tx).write.parquet(str(tmp_path / "a"))
+        moving_average(tx, order_by=["order"], heavy=heavy_keys(tx, "customer_id", min_rows=5)).write.parquet(str(tmp_path / "b"))
+        assert set(workspace.subfolders(spark, root)) > before
+    assert set(workspace.subfolders(spark, root)) == before
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 60
+
+
+def test_shuffles_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert 1000 < input_bytes(table) < 100_000 and input_bytes(table, table) == 2 * input_bytes(table)
+    monkeypatch.setattr(settings, "input_bytes", lambda *tables: 100 << 40)
+    with settings.sized_for(table):
+        assert initial_partitions(spark) == 2 * 819_200
+        plan = table.groupBy("id").count()
+        assert "hashpartitioning(id" in plan._jdf.queryExecution().executedPlan().toString()
+        assert "1638400" in plan._jdf.queryExecution().executedPlan().toString()
+    assert initial_partitions(spark) == 8
+
+
+def test_runs_follow_the_measured_pieces(spark):
+    heavy = heavy_keys(spark.range(1000).select(F.lit("h").alias("k")), "k", shares=100, min_rows=10)
+    assert heavy.pieces == 100
