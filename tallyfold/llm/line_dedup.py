@@ -44,13 +44,14 @@ def _stripped(line: Column) -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    return docs.select("*", F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("_doc"),
+    """``_row`` holds all columns, whatever their names."""
+    return docs.select(F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("_doc"),
                        F.xxhash64(F.coalesce("text", F.lit("\0"))).alias("_text_hash"))
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """``_doc, _text_hash, pos, h1, h2`` of every line that is long enough."""
-    lines = F.split(_lower_ascii(F.col("text")), "\n", -1)
+    lines = F.split(_lower_ascii(F.col("_row.text")), "\n", -1)
     keys = F.transform(lines, lambda line, pos: F.struct(pos.alias("pos"), _stripped(line).alias("key")))
     long = F.filter(keys, lambda x: F.char_length(x["key"]) >= min_chars)
     hashed = F.transform(long, lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["key"]).alias("h1"),
@@ -98,9 +99,10 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 
 def with_kept_text(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``_kept`` (the text that stays), ``_n_lines, _n_dropped``."""
+    """``_row`` (all columns of ``docs``), ``kept`` (the text that stays), ``n_lines, n_dropped``."""
     marked = identified(docs).join(bitmaps, ["_doc", "_text_hash"], "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    text = F.col("_row.text")
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     # Each step below hands its array on as the argument of a function, so it is computed once per document.
     dense = F.aggregate("bitmap", F.expr("cast(array() as array<bigint>)"), lambda words, x: F.concat(
         words, F.array_repeat(F.lit(0).cast("long"), x["word"] - F.size(words)), F.array(x["dropped"])))
@@ -108,26 +110,24 @@ def with_kept_text(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(63)), lambda bit: F.getbit(word, bit))))
     kept = F.array_join(F.zip_with(lines, bits, lambda line, bit: F.when(F.coalesce(bit, F.lit(0)) == 0, line)), "\n")
     return marked.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col("bitmap").isNull(), F.col("text")).otherwise(kept).alias("_kept"),
-        F.size(lines).cast("long").alias("_n_lines"),
+        "_row", F.when(F.col("bitmap").isNull(), text).otherwise(kept).alias("kept"),
+        F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.aggregate("bitmap", F.lit(0), lambda n, x: n + F.bit_count(x["dropped"])), F.lit(0))
-        .cast("long").alias("_n_dropped"))
+        .cast("long").alias("n_dropped"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     return with_kept_text(docs, line_bitmaps(docs)).select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"))
+        "_row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the dropped lines; ``n_chars`` follows the text where there is such a column."""
     found = with_kept_text(docs, line_bitmaps(docs))
-    changed = {"text": F.col("_kept"), "n_chars": F.when(F.col("_n_dropped") > 0, F.char_length("_kept").cast("long"))
-               .otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
-    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    changed = {"text": F.col("kept"), "n_chars": F.when(F.col("n_dropped") > 0, F.char_length("kept").cast("long"))
+               .otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 REPORT_SQL = r"""
