@@ -18,6 +18,8 @@ def _reader(file_format: str):
 
     Files are opened through the path's own file system and only the schema is
     read: the footer of a Parquet file, the metadata block that starts an Avro file.
+    That works for stores the Arrow library opens (local, HDFS, S3, GCS, ABFS). Content that is no such file
+    makes a file unreadable; a store that fails or is unknown makes the task fail, and Spark tries it again.
     """
 
     def parquet_fields(stream):
@@ -62,15 +64,15 @@ def _reader(file_format: str):
         for batch in batches:
             fields, errors = [], []
             for path in batch["path"]:
-                try:
-                    # Spark's names for one store differ from the reader's.
-                    system, inner = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
-                    with system.open_input_file(inner) as stream:
+                # Spark's names for one store differ from the reader's.
+                system, inner = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+                with system.open_input_file(inner) as stream:
+                    try:
                         fields.append(fields_of(stream))
-                    errors.append(None)
-                except Exception as error:
-                    fields.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
+                        errors.append(None)
+                    except (ValueError, IndexError, KeyError) as error:  # the content, not the store
+                        fields.append(None)
+                        errors.append(f"{type(error).__name__}: {error}")
             yield batch.assign(fields=fields, error=errors)
 
     return read

@@ -236,23 +236,32 @@ TX_ROWS = [
     plain("in_set_status", "status", "status IS NOT NULL", "status NOT IN ('SUCCESS', 'FAILED', 'PENDING')"),
 ]
 CUSTOMER_ROWS = [
-    (CUSTOMERS[0].name, "customer_id", "critical", CUSTOMERS[0].message, "true", "customer_id IS NULL"),
-    (CUSTOMERS[1].name, "customer_id", "critical", CUSTOMERS[1].message, "customer_id IS NOT NULL",
+    ("no_null_customer_id", "customer_id", "critical",
+     "Le champ customer_id ne doit pas contenir de valeurs nulles.", "true", "customer_id IS NULL"),
+    ("unique_customer_id", "customer_id", "critical",
+     "Les identifiants clients doivent être uniques.", "customer_id IS NOT NULL",
      "customer_id IS NOT NULL AND copies > 1"),
-    (CUSTOMERS[2].name, "email", "warning", CUSTOMERS[2].message, "email IS NOT NULL",
+    ("valid_email_format", "email", "warning",
+     "Certaines adresses email ne respectent pas le format valide.", "email IS NOT NULL",
      f"NOT regexp_matches(email, '{STRICT_EMAIL}')"),
-    (CUSTOMERS[3].name, "age", "warning", CUSTOMERS[3].message, "age IS NOT NULL", "age < 18 OR age > 99"),
+    ("valid_age_range", "age", "warning",
+     "Âge du client en dehors de la plage autorisée (18-99).", "age IS NOT NULL", "age < 18 OR age > 99"),
 ]
 TRANSACTION_ROWS = [
-    (TRANSACTIONS[0].name, "transaction_id", "critical", TRANSACTIONS[0].message, "true", "transaction_id IS NULL"),
-    (TRANSACTIONS[1].name, "amount", "critical", TRANSACTIONS[1].message, "amount IS NOT NULL",
+    ("no_null_transaction_id", "transaction_id", "critical",
+     "Le champ transaction_id ne doit pas contenir de valeurs nulles.", "true", "transaction_id IS NULL"),
+    ("positive_amount", "amount", "critical",
+     "Montant de transaction invalide (négatif ou supérieur à 100000).", "amount IS NOT NULL",
      "amount < 0 OR amount > 100000"),
-    (TRANSACTIONS[2].name, "currency", "warning", TRANSACTIONS[2].message, "currency IS NOT NULL",
+    ("valid_currency", "currency", "warning",
+     "Certaines devises ne sont pas reconnues.", "currency IS NOT NULL",
      "currency NOT IN ('USD', 'EUR', 'MAD')"),
-    (TRANSACTIONS[3].name, "timestamp", "warning", TRANSACTIONS[3].message, "event_ts IS NOT NULL",
+    ("timestamp_not_future", "timestamp", "warning",
+     "Certaines transactions datent du futur (erreur horodatage).", "event_ts IS NOT NULL",
      "event_ts >= TIMESTAMP '2001-01-01'"),
 ]
-JOIN_ROWS = [(JOINS[0].name, "customer_id", "critical", JOINS[0].message, "customer_id IS NOT NULL",
+JOIN_ROWS = [("foreign_key_customer_exists", "customer_id", "critical",
+     "Des transactions contiennent un customer_id inexistant dans la base CRM.", "customer_id IS NOT NULL",
               "customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM crm_std)")]
 
 COUNTED = """crm_counted AS (SELECT *, count(*) OVER (PARTITION BY customer_id) AS copies FROM crm_std),
