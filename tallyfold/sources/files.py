@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import VALIDATION_RESULT
 
@@ -37,6 +37,18 @@ def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return read_files(spark, path, "json", schema)
 
 
+def json_halves(spark: SparkSession, path: str, schema: StructType, **options) -> tuple[DataFrame, DataFrame]:
+    """``json_records``, and apart from them the texts that could not be read as a record, in ``value``.
+
+    A record that spans lines is not readable line by line: pass ``multiLine=True`` for such files.
+    """
+    lost = "_unreadable"
+    with_lost = StructType([*schema.fields, StructField(lost, StringType())])
+    rows = read_files(spark, path, "json", with_lost, columnNameOfCorruptRecord=lost, **options)
+    return (rows.where(F.col(lost).isNull()).drop(lost),
+            rows.where(F.col(lost).isNotNull()).select(F.col(lost).alias("value")))
+
+
 def validation_results(spark: SparkSession, path: str) -> DataFrame:
     """Statistics of every ``.json`` validation result under a folder, missing values as defaults."""
     raw = read_files(spark, path, "json", VALIDATION_RESULT, ".json", recursive=True, multiLine=True)

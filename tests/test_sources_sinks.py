@@ -13,7 +13,7 @@ from tallyfold.sinks import warehouse
 from tallyfold.sinks.audit import TooManyBadRecords, audited_save, check_bad_records, prune_audit, read_audit, within_retention
 from tallyfold.sinks.keyed_log import KeyedLog
 from tallyfold.sinks.layout import land_extract, save_partitioned
-from tallyfold.sources.files import day_before, file_listing, json_records, on_day, read_files, validation_results
+from tallyfold.sources.files import day_before, file_listing, json_halves, json_records, on_day, read_files, validation_results
 from tallyfold.sources.jdbc import JdbcTable, split_options
 from tallyfold.sources.kafka import kafka_options
 from tallyfold.sources.spec import jdbc_table, read_source
@@ -112,6 +112,16 @@ def test_audit(spark, tmp_path):
     assert [(r.rows, r.status) for k, r in got.items() if k != done] == [(None, "error")]
 
 
+def test_unreadable_json_is_kept_apart(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"k": 1}\n[\n{"k": 2},\n{"k": 3}\n]\n{bad\n')
+    schema = StructType.fromDDL("k int")
+    good, bad = json_halves(spark, str(tmp_path / "a.json"), schema)
+    assert sorted(r.k for r in good.collect() if r.k) == [1, 2, 3] and "{bad" in [r.value for r in bad.collect()]
+    (tmp_path / "b.json").write_text('[\n{"k": 2},\n{"k": 3}\n]')
+    good, bad = json_halves(spark, str(tmp_path / "b.json"), schema, multiLine=True)
+    assert sorted(r.k for r in good.collect()) == [2, 3] and bad.count() == 0
+
+
 def test_retention(spark):
     as_of = datetime(2025, 3, 31, tzinfo=timezone.utc)
     rows = [(str(d), "t", 1, None, as_of - timedelta(days=d), "ok") for d in (0, 30, 31)]
