@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..schemas import VALIDATION_RESULT
 
@@ -37,16 +37,15 @@ def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return read_files(spark, path, "json", schema)
 
 
-def json_halves(spark: SparkSession, path: str, schema: StructType, **options) -> tuple[DataFrame, DataFrame]:
-    """``json_records``, and apart from them the texts that could not be read as a record, in ``value``.
+def json_halves(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``json_records``, and apart from them the texts that could not be read, in ``value``.
 
-    A record that spans lines is not readable line by line: pass ``multiLine=True`` for such files.
+    A text is a line, or a whole file with ``multi_line``, and holds a record or an array of records.
     """
-    lost = "_unreadable"
-    with_lost = StructType([*schema.fields, StructField(lost, StringType())])
-    rows = read_files(spark, path, "json", with_lost, columnNameOfCorruptRecord=lost, **options)
-    return (rows.where(F.col(lost).isNull()).drop(lost),
-            rows.where(F.col(lost).isNotNull()).select(F.col(lost).alias("value")))
+    texts = spark.read.text(path, wholetext=multi_line).where(F.trim("value") != "")
+    parsed = texts.select("value", F.from_json("value", ArrayType(schema)).alias("_records"))
+    return (parsed.where(F.col("_records").isNotNull()).select(F.inline("_records")),
+            parsed.where(F.col("_records").isNull()).select("value"))
 
 
 def validation_results(spark: SparkSession, path: str) -> DataFrame:
