@@ -17,7 +17,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # Written first: adaptive execution splits a hub's rows only where both sides of a join come straight from a shuffle.
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 

@@ -9,17 +9,23 @@ quarter (and one more) of its shingles, in an order all documents share: rare sh
 that very many documents hold are found from sums over all documents and come last. The order steers
 the work, never the result. Regions of a single document end here.
 
-*Document pivots.* In every region that is left, the smallest document becomes a pivot and all others are compared with
-it exactly. Those within 1/4 are linked to it, and so to each other: no pair among them is needed.
-Then the next pivot is the smallest document not linked to one, for ``PIVOTS`` rounds. A region whose
-documents are all in one component is done. In the others a document has its home at its nearest pivot and is copied
+Regions with equal members are one region.
+
+*Document pivots.* In every region that is left, the smallest document is the pivot. Each document is first compared with
+the one pivot it meets in most regions: documents within 1/4 of a pivot are linked to it, and so to each other,
+and no pair among them is needed. A region whose documents are all in one component is done. Of the others, those of at most
+``LEAF`` documents are the leaves, whose pairs of different components are compared. In larger ones all documents are
+compared with the pivot, and the next pivot is the smallest document not linked to one, for up to ``PIVOTS`` rounds. Then
+a document has its home at its nearest pivot and is copied
 into each cell that the triangle inequality leaves open to a partner: distances to that
 pivot and to the home differ by no more than twice the radius. Cells are joined, again only pairs of
 different components whose distances to every pivot differ by the radius at most, and the pairs compared exactly.
-Cells that are still large go on with further pivots first.
 
 Equal sets are one member from the start. No region is gathered in a task: pivots are minima, members meet them in joins
-that adaptive execution splits. Texts travel once per compared pair, to the pivot's text.
+that adaptive execution splits (it can where both sides come straight from a shuffle, so minima are written first).
+Before texts travel, a pair must pass a bound: documents carry the counts of their shingles in buckets of the hash, a
+quarter to half as many as they have shingles, and the sum of differences of two such profiles, folded to one
+length, is never more than the number of shingles in one set only.
 
 Defined cases: a null or empty text has an empty set, size 0, linked with nothing; fewer than five words make
 one shingle; rows with one ``doc_id`` are one document for links, each with its own ``n_shingles``;
@@ -42,13 +48,16 @@ SIZE = 5
 # Links need COMMON * intersection >= ... : 100 * intersection >= 75 * union.
 PERCENT = 75
 RADIUS = 0.25
-# Rounds of document pivots before the cells are joined; more follow, up to the second number, while a region has over
-# LARGE documents in different components.
-PIVOTS, MOST_PIVOTS, LARGE = 1, 4, 200
+# Rounds of document pivots in regions of more than LEAF documents.
+PIVOTS, LEAF = 3, 32
 # A shingle counts as frequent from this many documents on; the list is as long as sums over all documents allow.
 FREQUENT, LIST = 32, 500_000
 BLOCK = 2_000_000
+# Buckets of a profile at least.
+LEAST_BUCKETS_LOG2 = 5
 BROADCAST_PAIRS = 1_000_000
+# Keys (8 bytes each) that are broadcast to mark rows of a larger table.
+BROADCAST_KEYS = 2_000_000
 
 
 def _lower_words(raw: bytes | None) -> list[bytes]:
@@ -62,29 +71,47 @@ def shingle_set(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     return np.unique(window_hashes(hashes.of(words), min(SIZE, len(words))))
 
 
+def profile_of(found: np.ndarray) -> bytes:
+    """Shingles per bucket of the hash's first bits, one byte each."""
+    bits = max(LEAST_BUCKETS_LOG2, (len(found) // 4).bit_length())
+    counts = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """A lower bound of the number of shingles that are in one of two sets only."""
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (one, two))
+    size = min(len(a), len(b))
+    a, b = (x.reshape(size, -1).sum(axis=1) for x in (a, b))
+    return int(np.abs(a - b).sum())
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with size and 128-bit mark of its set; and per block, rows of the shingles found three times or more."""
     hashes, block, held = WordHashes(), [], 0
-    names = ["doc_id", "n", "f1", "f2", "token", "docs"]
+    names = ["doc_id", "n", "f1", "f2", "profile", "token", "docs"]
 
     def frequent():
         tokens, counts = np.unique(np.concatenate(block), return_counts=True)
         tokens, counts = tokens[counts > 2].view(np.int64), counts[counts > 2]
         none = pa.nulls(len(tokens), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(tokens), pa.array(counts)], names=names)
+        return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(tokens), pa.binary()), pa.array(tokens),
+                                           pa.array(counts)], names=names)
 
     for part in slices(batches):
-        sizes, marks = [], []
+        sizes, marks, profiles = [], [], []
         for text in part["_utf8"]:
             found = shingle_set(_lower_words(text.as_py()), hashes)
             sizes.append(len(found))
+            profiles.append(profile_of(found))
             marks.append((found.sum(dtype=np.uint64), (found * (found | np.uint64(1))).sum(dtype=np.uint64)))
             block.append(found)
             held += len(found)
         both = np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
         none = pa.nulls(part.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes, pa.int64()), pa.array(both[:, 0].copy()),
-                                          pa.array(both[:, 1].copy()), none, none], names=names)
+                                          pa.array(both[:, 1].copy()), pa.array(profiles, pa.binary()), none, none],
+                                         names=names)
         if held >= BLOCK:
             yield frequent()
             block, held = [], 0
@@ -142,19 +169,40 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "pivot", "distance", "linked"])
 
 
-def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``doc_id, pivot, distance, linked`` of the distinct pairs ``doc_id, pivot``.
+def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least distance a pair can have by sizes and profiles, and whether that leaves room for a link."""
+    for part in slices(batches, 4096):
+        differ = np.fromiter((least_difference(x, y) for x, y in zip(part["px"].to_pylist(), part["py"].to_pylist())),
+                             np.int64, part.num_rows)
+        nx, ny = (part[c].to_numpy().astype(np.int64) for c in ("nx", "ny"))
+        common = np.minimum((nx + ny - differ) // 2, np.minimum(nx, ny))
+        union = nx + ny - common
+        yield pa.RecordBatch.from_arrays(
+            [part["doc_id"], part["pivot"], pa.array(1 - common / union), pa.array(100 * common >= PERCENT * union)],
+            names=["doc_id", "pivot", "low", "possible"])
+
+
+def compared(docs: DataFrame, profiles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc_id, pivot, low, high, linked`` of the distinct pairs ``doc_id, pivot``: bounds of the distance, equal if exact.
 
-    Only texts that are in a pair travel: the pairs are broadcast to the documents where their number allows it.
+    Only texts of pairs that the bound leaves open travel: those pairs are broadcast to the documents where their
+    measured number allows it.
     """
-    pairs = stored(pairs.distinct(), "pairs")
-    hint = F.broadcast if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
-    own = docs.select("doc_id", utf8("text").alias("own")).join(hint(pairs), "doc_id")
+    one = profiles.select("doc_id", F.col("n").alias("nx"), F.col("profile").alias("px"))
+    two = profiles.select(F.col("doc_id").alias("pivot"), F.col("n").alias("ny"), F.col("profile").alias("py"))
+    bounds = stored(pairs.distinct().join(one, "doc_id").join(two, "pivot").mapInArrow(
+        _bound, "doc_id bigint, pivot bigint, low double, possible boolean")
+        .groupBy("doc_id", "pivot").agg(F.min("low").alias("low"), F.max("possible").alias("possible")), "bounds")
+    open_pairs = bounds.where("possible").select("doc_id", "pivot")
+    hint = F.broadcast if open_pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
+    own = docs.select("doc_id", utf8("text").alias("own")).join(hint(open_pairs), "doc_id")
     pivots = docs.select(F.col("doc_id").alias("pivot"), utf8("text").alias("pivot_text")).join(
-        hint(pairs.select("pivot").distinct()), "pivot", "left_semi")
-    found = own.join(pivots, "pivot").select("doc_id", "pivot", "own", "pivot_text").mapInArrow(
-        _compare, "doc_id bigint, pivot bigint, distance double, linked boolean")
-    return found.groupBy("doc_id", "pivot").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked"))
+        hint(open_pairs.select("pivot").distinct()), "pivot", "left_semi")
+    exact = own.join(pivots, "pivot").select("doc_id", "pivot", "own", "pivot_text").mapInArrow(
+        _compare, "doc_id bigint, pivot bigint, distance double, linked boolean").groupBy("doc_id", "pivot").agg(
+        F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("linked").alias("linked"))
+    far = bounds.where("not possible").select("doc_id", "pivot", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
+    return stored(exact.unionByName(far), "compared")
 
 
 def frequent_list(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -168,14 +216,24 @@ def frequent_list(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], np.log2(np.maximum(rows["docs"].to_numpy(np.float64)[order], 1)).astype(np.int8)
 
 
-def region_members(docs: DataFrame, survey: DataFrame, members: DataFrame) -> DataFrame:
+def _if_small(keys: DataFrame) -> DataFrame:
+    """A written table of keys, marked for broadcast where its measured size allows it."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> DataFrame:
     """``token, doc_id, n`` in the regions of two members or more; copies are left to their first document."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_list(survey))
     rows = stored(docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
         _prefixes(shared), "token bigint, doc_id bigint, n bigint"), "prefixes")
-    shared_tokens = rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    rows = rows.join(shared_tokens.select("token"), "token").join(members, ["doc_id", "n"])
-    return rows.select("token", "member", "n").withColumnRenamed("member", "doc_id").distinct()
+    tokens = stored(rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                    .where("a < b").select("token"), "shared")
+    kept = first.select(F.col("member").alias("doc_id"), "n").distinct()
+    rows = stored(rows.join(_if_small(tokens), "token").join(kept, ["doc_id", "n"]), "members")
+    sets = rows.groupBy("token").agg(
+        F.count("*").alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("x2"))
+    regions = stored(sets.where("docs > 1").groupBy("docs", "x1", "x2").agg(F.min("token").alias("token")).select("token"), "kept")
+    return rows.join(_if_small(regions), "token")
 
 
 def _open_regions(active: DataFrame, labels: DataFrame) -> DataFrame:
@@ -184,34 +242,75 @@ def _open_regions(active: DataFrame, labels: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "doc_id")).drop("node")
     named = stored(named, "regions")
     mixed = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    return named.join(mixed.select("token"), "token")
+    return named.join(stored(mixed.select("token"), "mixed"), "token")
+
+
+DISTANCES = "array<struct<low:double,high:double>>"
+
 
+def _links(found: DataFrame) -> DataFrame:
+    return found.where("linked").select(F.col("doc_id").alias("u"), F.col("pivot").alias("v"))
 
-def _pivot_round(docs: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with one more distance, and the links found."""
-    free = active.where(F.coalesce(F.array_min("distances"), F.lit(1.0)) > RADIUS)
-    pivots = free.groupBy("token").agg(F.min(F.struct("n", "doc_id")).alias("p")).select(
-        "token", F.col("p.doc_id").alias("pivot"))
-    met = active.join(pivots, "token", "left")
-    found = stored(compared(docs, met.where("doc_id <> pivot").select("doc_id", "pivot")), "compared")
+
+def _pivots(active: DataFrame) -> DataFrame:
+    """Per region, its smallest document that no earlier pivot is linked to."""
+    free = active.where(F.coalesce(F.array_min("distances.high"), F.lit(1.0)) > RADIUS)
+    return stored(free.groupBy("token").agg(F.min(F.struct("n", "doc_id")).alias("p")).select(
+        "token", F.col("p.doc_id").alias("pivot")), "pivots")
+
+
+def _main_pivot(active: DataFrame) -> DataFrame:
+    """Pairs of each document with the pivot it shares most regions with."""
+    met = active.join(_pivots(active), "token").where("doc_id <> pivot")
+    counts = met.groupBy("doc_id", "pivot").agg(F.count("*").alias("shared"))
+    return counts.groupBy("doc_id").agg(F.max(F.struct("shared", "pivot")).alias("p")).select("doc_id", "p.pivot")
+
+
+def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with the bounds of one more distance, and the links found."""
+    met = active.join(_pivots(active), "token", "left")
+    found = compared(docs, profiles, met.where("doc_id <> pivot").select("doc_id", "pivot"))
+    own = F.col("doc_id") == F.col("pivot")
+    bounds = F.struct(F.when(own, 0.0).otherwise(F.col("low")).alias("low"),
+                      F.when(own, 0.0).otherwise(F.col("high")).alias("high"))
     with_distance = met.join(found.drop("linked"), ["doc_id", "pivot"], "left").withColumn(
-        "distances", F.when(F.col("pivot").isNull(), F.col("distances")).otherwise(F.concat("distances", F.array(
-            F.when(F.col("doc_id") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))))))
-    links = found.where("linked").select(F.col("doc_id").alias("u"), F.col("pivot").alias("v"))
-    return stored(with_distance.drop("pivot", "distance"), "regions"), links
+        "distances", F.when(F.col("pivot").isNull(), F.col("distances")).otherwise(
+            F.concat("distances", F.array(bounds).cast(DISTANCES))))
+    return stored(with_distance.drop("pivot", "low", "high"), "regions"), _links(found)
+
+
+def leaf_pairs(leaves: DataFrame) -> DataFrame:
+    """Pairs of different components in regions of a few documents."""
+    here = leaves.select("token", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    there = leaves.select("token", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+    sizes = (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
+    met = here.join(there, "token").where((F.col("x") > F.col("y")) & (F.col("cx") != F.col("cy")) & sizes)
+    return met.select(F.col("x").alias("doc_id"), F.col("y").alias("pivot"))
+
+
+def _split(active: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaves and larger regions."""
+    large = stored(active.groupBy("token").count().where(F.col("count") > LEAF).select("token"), "large")
+    return active.join(_if_small(large), "token", "left_anti"), active.join(_if_small(large), "token", "left_semi")
 
 
 def cell_pairs(active: DataFrame) -> DataFrame:
-    """Pairs to compare: members of different components that meet in a Voronoi cell of their region."""
-    home = F.expr("array_position(distances, array_min(distances))")
+    """Pairs to compare: members of different components that meet in a Voronoi cell of their region.
+
+    A member's home is the pivot with the least upper bound of its distance; a partner at the radius or nearer has its
+    home there too, or at a pivot no further from the partner than twice the radius more than its own home.
+    """
+    rounding = 1e-9
+    home = F.expr("array_position(distances.high, array_min(distances.high))")
     here = active.select("token", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"),
                          F.col("distances").alias("dx"), home.alias("cell"))
     there = active.select("token", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"),
                           F.col("distances").alias("dy"), F.posexplode("distances").alias("at", "d")).where(
-        F.col("d") - F.array_min("dy") <= 2 * RADIUS + 1e-9).withColumn("cell", F.col("at") + 1)
-    near = F.forall(F.zip_with("dx", "dy", lambda a, b: F.abs(a - b)), lambda gap: gap <= RADIUS + 1e-9)
+        F.col("d.low") - F.array_min("dy.high") <= 2 * RADIUS + rounding).withColumn("cell", F.col("at") + 1)
+    apart = F.exists(F.zip_with("dx", "dy", lambda a, b: F.greatest(a["low"] - b["high"], b["low"] - a["high"])),
+                     lambda gap: gap > RADIUS + rounding)
     sizes = (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
-    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & sizes & near)
+    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & sizes & ~apart)
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot")).distinct()
 
 
@@ -220,30 +319,35 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survey = stored(docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
-        _survey, "doc_id bigint, n bigint, f1 bigint, f2 bigint, token bigint, docs bigint"), "survey")
-    rows = survey.where("token is null").select("doc_id", "n", "f1", "f2")
+        _survey, "doc_id bigint, n bigint, f1 bigint, f2 bigint, profile binary, token bigint, docs bigint"), "survey")
+    rows = survey.where("token is null").select("doc_id", "n", "f1", "f2", "profile")
     sets = rows.where("n > 0 and doc_id is not null")
-    first = sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("member"))
-    members = stored(sets.join(first, ["n", "f1", "f2"]).select("doc_id", "n", "member").distinct(), "members")
+    first = stored(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("member"), F.min("profile").alias("profile")), "first")
+    members = stored(sets.drop("profile").join(first.drop("profile"), ["n", "f1", "f2"]).select(
+        "doc_id", "n", "member").distinct(), "members")
+    profiles = first.select(F.col("member").alias("doc_id"), "n", "profile")
     texts = docs.where("doc_id is not null")
     # One document with several sets: its sets count as linked.
     same = members.groupBy("doc_id").agg(F.min("member").alias("v"), F.max("member").alias("u")).where("u <> v")
     links = members.join(same.select("doc_id", "v"), "doc_id").select(F.col("member").alias("u"), "v")
 
-    active = stored(region_members(texts, survey, members).withColumns(
-        {"distances": F.expr("cast(array() as array<double>)")}), "regions")
-    labels = None
-    for done in range(MOST_PIVOTS):
-        active, new = _pivot_round(texts, active)
+    active = stored(region_members(texts, survey, first).withColumn(
+        "distances", F.expr(f"cast(array() as {DISTANCES})")), "regions")
+    links = stored(links.unionByName(_links(compared(texts, profiles, _main_pivot(active)))), "links")
+    labels = components(spark, links)
+    active = stored(_open_regions(active, labels), "regions")
+    leaves, large = _split(active)
+    pairs = leaf_pairs(leaves)
+    large = stored(large, "regions")
+    for _ in range(PIVOTS):
+        if large.isEmpty():
+            break
+        large, new = _pivot_round(texts, profiles, large)
         links = stored(links.unionByName(new), "links")
-        labels = components(spark, links)
-        active = stored(_open_regions(active, labels), "regions")
-        if done + 1 >= PIVOTS:
-            largest = active.groupBy("token").count().agg(F.max("count")).first()[0] or 0
-            if largest <= LARGE:
-                break
-    found = compared(texts, cell_pairs(active))
-    more = found.where("linked").select(F.col("doc_id").alias("u"), F.col("pivot").alias("v"))
+        large = stored(_open_regions(large, components(spark, links)), "regions")
+    if not large.isEmpty():
+        pairs = pairs.unionByName(cell_pairs(large))
+    more = _links(compared(texts, profiles, pairs))
     labels = components(spark, links.unionByName(more))
     ends = (members.join(labels, F.col("member") == F.col("node"), "left")
             .select("doc_id", "n", F.coalesce("component", "member").alias("_component"))
@@ -258,9 +362,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id. Rows without id stay."""
-    gone = (jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-            .withColumnRenamed("doc_id", "_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = stored(jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(_if_small(gone), docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 REPORT_SQL = r"""
