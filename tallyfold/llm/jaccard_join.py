@@ -11,11 +11,11 @@ the work, never the result. Regions of a single document end here.
 
 Regions with equal members are one region.
 
-*Document pivots.* In every region that is left, the smallest document is the pivot. Each document is first compared with
+*Document pivots.* In every region that is left, the document with most shared shingles is the pivot. Each document is first compared with
 the one pivot it meets in most regions: documents within 1/4 of a pivot are linked to it, and so to each other,
 and no pair among them is needed. A region whose documents are all in one component is done. Of the others, those of at most
 ``LEAF`` documents are the leaves, whose pairs of different components are compared. In larger ones all documents are
-compared with the pivot, and the next pivot is the smallest document not linked to one, for up to ``PIVOTS`` rounds. Then
+compared with the pivot, and the next pivot is the most central document not linked to one, for up to ``PIVOTS`` rounds. Then
 a document has its home at its nearest pivot and is copied
 into each cell that the triangle inequality leaves open to a partner: distances to that
 pivot and to the home differ by no more than twice the radius. Cells are joined, again only pairs of
@@ -233,7 +233,9 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     sets = rows.groupBy("token").agg(
         F.count("*").alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("x2"))
     regions = stored(sets.where("docs > 1").groupBy("docs", "x1", "x2").agg(F.min("token").alias("token")).select("token"), "kept")
-    return rows.join(_if_small(regions), "token")
+    # Documents that share most of their shingles are central: copies of one text meet at the text, not at each other.
+    shared_by = stored(rows.groupBy("doc_id").agg(F.count("*").alias("degree")), "degrees")
+    return rows.join(_if_small(regions), "token").join(shared_by, "doc_id")
 
 
 def _open_regions(active: DataFrame, labels: DataFrame) -> DataFrame:
@@ -253,10 +255,11 @@ def _links(found: DataFrame) -> DataFrame:
 
 
 def _pivots(active: DataFrame) -> DataFrame:
-    """Per region, its smallest document that no earlier pivot is linked to."""
+    """Per region, its most central document that no earlier pivot is linked to."""
     free = active.where(F.coalesce(F.array_min("distances.high"), F.lit(1.0)) > RADIUS)
-    return stored(free.groupBy("token").agg(F.min(F.struct("n", "doc_id")).alias("p")).select(
-        "token", F.col("p.doc_id").alias("pivot")), "pivots")
+    central = F.max(F.struct("degree", (-F.col("doc_id")).alias("negative")))
+    return stored(free.groupBy("token").agg(central.alias("p")).select(
+        "token", (-F.col("p.negative")).alias("pivot")), "pivots")
 
 
 def _main_pivot(active: DataFrame) -> DataFrame:
