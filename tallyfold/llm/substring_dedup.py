@@ -168,7 +168,8 @@ def repeated_starts(runs: DataFrame) -> DataFrame:
     key = ["anchor", "r1", "r2"]
     first = stored(runs.groupBy(*key).agg(F.min("_doc").alias("first")), "first-runs")
     contested = first.groupBy("anchor").agg(F.min(F.struct("r1", "r2")).alias("a"), F.max(F.struct("r1", "r2")).alias("b"))
-    contested = contested.where("a <> b").select("anchor", F.lit(True).alias("contested"))
+    # What is joined back is written first: the joins can be split at hot keys where both sides come straight from a shuffle.
+    contested = stored(contested.where("a <> b").select("anchor", F.lit(True).alias("contested")), "contested")
     judged = runs.join(first.join(contested, "anchor", "left"), key)
     later = F.col("_doc") > F.col("first")
     judged = stored(judged.where(later | F.col("contested")).select(
@@ -177,8 +178,9 @@ def repeated_starts(runs: DataFrame) -> DataFrame:
     places = ["_doc", "_text_hash", "start", "n"]
     single = judged.where("not later").select(
         "_doc", "_text_hash", "anchor", "start", F.posexplode("windows").alias("at", "hash"))
-    earliest = single.groupBy("anchor", "hash").agg(F.min("_doc").alias("first"), F.max("_doc").alias("last"))
-    repeated = single.join(earliest.where("first < last"), ["anchor", "hash"]).where(F.col("_doc") > F.col("first"))
+    earliest = stored(single.groupBy("anchor", "hash").agg(F.min("_doc").alias("first"), F.max("_doc").alias("last"))
+                      .where("first < last"), "earliest")
+    repeated = single.join(earliest, ["anchor", "hash"]).where(F.col("_doc") > F.col("first"))
     return judged.where("later").select(*places).unionByName(
         repeated.select("_doc", "_text_hash", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("n")))
 
