@@ -222,7 +222,7 @@ def _if_small(keys: DataFrame) -> DataFrame:
 
 
 def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> DataFrame:
-    """``token, doc_id, n`` in the regions of two members or more; copies are left to their first document."""
+    """``token, doc_id, n``, each once, in the regions of two members or more; copies are left to their first document."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_list(survey))
     rows = stored(docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
         _prefixes(shared), "token bigint, doc_id bigint, n bigint"), "prefixes")
@@ -230,8 +230,13 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
                     .where("a < b").select("token"), "shared")
     kept = first.select(F.col("member").alias("doc_id"), "n").distinct()
     rows = stored(rows.join(_if_small(tokens), "token").join(kept, ["doc_id", "n"]), "members")
+    # A document in several rows is one member: sums by exclusive-or would cancel it. Without such rows nothing has to move.
+    several = survey.where("token is null and n > 0 and doc_id is not null").groupBy("doc_id", "n").count().where("count > 1")
+    if not several.isEmpty():
+        rows = stored(rows.distinct(), "members")
     sets = rows.groupBy("token").agg(
-        F.count("*").alias("docs"), F.bit_xor(F.xxhash64("doc_id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("x2"))
+        F.count("*").alias("docs"), F.bit_xor(F.xxhash64("doc_id", "n")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "doc_id", "n")).alias("x2"))
     regions = stored(sets.where("docs > 1").groupBy("docs", "x1", "x2").agg(F.min("token").alias("token")).select("token"), "kept")
     # Documents that share most of their shingles are central: copies of one text meet at the text, not at each other.
     shared_by = stored(rows.groupBy("doc_id").agg(F.count("*").alias("degree")), "degrees")

@@ -111,6 +111,16 @@ def test_large_regions_go_through_pivots_and_cells(spark, monkeypatch):
     assert got == dict(enumerate(label)) and 1 < len(set(label)) < 40
 
 
+def test_regions_of_repeated_rows_stay_apart(spark):
+    def pair(name):
+        words = [f"{name}{i}" for i in range(120)]
+        return " ".join(words), " ".join([*words[:60], "changed", *words[61:]])
+
+    rows = list(enumerate([*pair("a"), *pair("c")])) * 2
+    got = jaccard_join.report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, i // 2 * 2) for i, _ in rows)
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.QUERIES["op9_language_mixture"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
