@@ -1,19 +1,24 @@
 """Licence notices in documents by conditional compression.
 
-A block (a line of the text that holds a cue word) is compressed alone and with each notice as a raw
-zstandard dictionary. The more a notice shortens it, the more of its wording the block repeats. Notices are
-ranked by the part saved; the best ones are confirmed by the exact word differences between notice and block,
-so compression only ranks and never decides alone.
+Around each cue word, per notice, a block of about the notice's length is cut, across line ends: the words that stand where the
+notice would if the cue were its own, and some more on both sides: few, so that notices that follow each other
+stay apart, and again more, for notices with words put in. The words of the block are compressed
+alone and with the notice as a raw zstandard dictionary; what is saved is judged against the compressed size of the
+notice itself, so the text around a notice does not matter. Every notice above the limit is confirmed by the exact
+word differences between notice and block: compression never decides alone.
 
 The notices are a fixed short list shipped with the code; nothing else is broadcast, and there is no shuffle.
 
-Defined cases: null and empty texts have no blocks; the same notice in several lines of a text gives a finding per line;
-of notices that save equally much and differ equally, the first by name wins; repeated rows are documents of their own.
+Defined cases: null and empty texts have no blocks; the same notice in several places gives a finding each, with the line it
+begins in; exact notices are all kept, also one inside another; a changed notice most of whose words belong to a
+better finding (fewer differences for its length, then more saved, then the first by name) is none; repeated rows are documents of their own.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -47,58 +52,101 @@ NOTICES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "reserved": "All rights reserved.",
 }
-CUES = re.compile(rb"licen[cs]|copyright|rights reserved|redistribution|permission is hereby|public domain", re.I)
+CUES = re.compile(r"licen[cs]|copyright|rights\W+reserved|redistribution|permission\W+is\W+hereby|public\W+domain", re.I)
+_CUES_UTF8 = re.compile(CUES.pattern.encode(), re.I)
 LEVEL = 9
-# A notice must save this part of the block's compressed size to be looked at ...
+# A notice must save this part of its own compressed size in the block to be compared word by word ...
 MIN_SAVED = 0.2
-# ... at most so many of them are compared word by word ...
-CONFIRM = 3
 # ... and this part of the notice's words must stand in the block, in order.
 MIN_WORDS = 0.8
-_WORD = re.compile(r"[\w.+-]*\w")
+_RUN = re.compile(r"[\w.+-]+")
 FINDING = ("struct<line:int,licence:string,saved:double,same_words:double,exact:boolean,"
            "missing:array<string>,added:array<string>>")
 
 
-def _words(text: str) -> list[str]:
-    return [w.lower() for w in _WORD.findall(text)]
+def _words(text: str) -> list[tuple[int, str]]:
+    """Words, each with the place it begins at."""
+    return [(m.start(), word.lower()) for m in _RUN.finditer(text) if (word := m[0].rstrip(".+-"))]
+
+
+def _cues(words: list[str]) -> list[int]:
+    """Numbers of the words at which cues begin."""
+    starts, at = [], 0
+    for word in words:
+        starts.append(at)
+        at += len(word) + 1
+    return sorted({bisect_right(starts, m.start()) - 1 for m in CUES.finditer(" ".join(words))})
 
 
 class Scanner:
     def __init__(self, notices: dict[str, str]):
         self.alone = zstandard.ZstdCompressor(level=LEVEL)
-        self.notices = [(name, _words(text), zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(
-            text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, text in sorted(notices.items())]
-
-    def block(self, line: bytes) -> dict | None:
-        size = len(self.alone.compress(line))
-        ranked = sorted(((1 - len(with_notice.compress(line)) / size, i)
-                         for i, (_, _, with_notice) in enumerate(self.notices)), key=lambda x: (-x[0], x[1]))
-        best, words = None, _words(line.decode())
-        for saved, i in ranked[:CONFIRM]:
-            if saved < MIN_SAVED:
-                break
-            name, wanted, _ = self.notices[i]
-            changes = SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes()
-            same = sum(b - a for what, a, b, _, _ in changes if what == "equal") / len(wanted)
-            # Words before and after the notice belong to the text around it.
-            inner = changes[1 if changes and changes[0][0] == "insert" else 0:
-                            -1 if changes and changes[-1][0] == "insert" else None]
-            missing = [w for what, a, b, _, _ in inner if what in ("delete", "replace") for w in wanted[a:b]]
-            added = [w for what, _, _, a, b in inner if what in ("insert", "replace") for w in words[a:b]]
-            if same >= MIN_WORDS and (best is None or (same, saved) > (best["same_words"], best["saved"])):
-                best = {"licence": name, "saved": round(saved, 6), "same_words": round(same, 6),
-                        "exact": not missing and not added, "missing": missing, "added": added}
-        return best
+        self.notices = []
+        for name, text in sorted(notices.items()):
+            words = [w for _, w in _words(text)]
+            plain, slack, cues = " ".join(words).encode(), max(2, len(words) // 2), []
+            for at in _cues(words):
+                # Blocks of cues that stand close together are nearly the same.
+                if not cues or at - cues[-1] > slack // 2:
+                    cues.append(at)
+            known = zstandard.ZstdCompressionDict(plain, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            self.notices.append((name, words, [(at, more) for at in cues for more in (slack, 2 * slack + 8)], len(self.alone.compress(plain)),
+                                 zstandard.ZstdCompressor(level=LEVEL, dict_data=known)))
+
+    def block(self, notice: int, words: list[str], start: int) -> tuple[dict, list[int], float] | None:
+        """What a block that begins at word ``start`` holds of a notice, the numbers of those words, and how much differs."""
+        name, wanted, _, size, with_notice = self.notices[notice]
+        plain = " ".join(words).encode()
+        saved = (len(self.alone.compress(plain)) - len(with_notice.compress(plain))) / size
+        if saved < MIN_SAVED:
+            return None
+        changes = SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes()
+        equal = [start + i for what, _, _, a, b in changes if what == "equal" for i in range(a, b)]
+        same = len(equal) / len(wanted)
+        if same < MIN_WORDS:
+            return None
+        missing, added = [], []
+        for number, (what, a, b, c, d) in enumerate(changes):
+            if what == "equal":
+                continue
+            # Words before and after the notice belong to the text around it, but for those that stand for missing ones.
+            if number == 0:
+                c = max(c, d - (b - a))
+            if number == len(changes) - 1:
+                d = min(d, c + (b - a))
+            missing += wanted[a:b]
+            added += words[c:d]
+        return {"licence": name, "saved": round(saved, 6), "same_words": round(same, 6),
+                "exact": not missing and not added, "missing": missing, "added": added}, equal, (len(missing) + len(added)) / len(wanted)
 
     def scan(self, text: bytes | None) -> list[dict]:
-        if not text or not CUES.search(text):
+        if not text or not _CUES_UTF8.search(text):
+            return []
+        page = text.decode("utf-8", "replace")
+        places = _words(page)
+        words = [w for _, w in places]
+        hits = []
+        for cue in _cues(words):
+            for i, (_, wanted, cues, _, _) in enumerate(self.notices):
+                for at, slack in cues:
+                    start = max(0, cue - at - slack)
+                    block = words[start:max(0, cue - at + len(wanted) + slack)]
+                    if len(block) >= MIN_WORDS * len(wanted) and (hit := self.block(i, block, start)):
+                        hits.append(hit)
+        if not hits:
             return []
-        found = []
-        for number, line in enumerate(text.split(b"\n")):
-            if CUES.search(line) and (hit := self.block(line)):
-                found.append({"line": number} | hit)
-        return found
+        hits.sort(key=lambda x: (x[2], -x[0]["saved"], x[0]["licence"], x[1][0]))
+        kept, owners = [], {}
+        for hit, own, _ in hits:
+            shared = Counter(k for w in own for k in owners.get(w, ()))
+            if any(kept[k][1]["licence"] == hit["licence"] or not hit["exact"] and 2 * n > len(own) for k, n in shared.items()):
+                continue
+            for w in own:
+                owners.setdefault(w, []).append(len(kept))
+            kept.append((own[0], hit))
+        ends = [m.start() for m in re.finditer("\n", page)]
+        return [{"line": bisect_right(ends, places[first][0])} | hit
+                for first, hit in sorted(kept, key=lambda x: (x[0], x[1]["licence"]))]
 
 
 _FINDING = pa.struct([("line", pa.int32()), ("licence", pa.string()), ("saved", pa.float64()),
@@ -117,7 +165,7 @@ def _scan(notices: dict[str, str]):
 
 
 def scan_licences(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """``_row`` (all columns of ``docs``) and ``findings``, one per line with a confirmed notice."""
+    """``_row`` (all columns of ``docs``) and ``findings``, one per place of a confirmed notice."""
     rows = docs.select(F.struct("*").alias("_row"), utf8("text").alias("_utf8"))
     return rows.mapInArrow(
         _scan(notices), f"_row {rows.schema['_row'].dataType.simpleString()}, findings array<{FINDING}>")

@@ -165,6 +165,29 @@ def test_licence_wording():
     assert scan(None) == scan(b"") == scan(b"no notice, just the word license") == []
 
 
+@pytest.mark.parametrize("name", sorted(licenses.NOTICES))
+def test_notices_inside_long_lines_and_wrapped(name):
+    scan, words = licenses.Scanner(licenses.NOTICES).scan, licenses.NOTICES[name].split()
+    around = [f"word{i}" for i in range(300)]
+    one_line = " ".join(around + words + around)
+    wrapped = "/*\n * " + "\n * ".join(" ".join(words[i:i + 4]) for i in range(0, len(words), 4)) + "\n */\nint x;"
+    for text, line in ((one_line, 0), (wrapped, 1)):
+        found = [x for x in scan(text.encode()) if x["licence"] == name]
+        assert [(x["line"], x["exact"]) for x in found] == [(line, True)]
+
+
+def test_all_notices_of_a_text_are_found():
+    scan = licenses.Scanner(licenses.NOTICES).scan
+    for gap in ("\n", " ", " and so on "):
+        found = scan(gap.join(licenses.NOTICES.values()).encode())
+        assert {x["licence"] for x in found if x["exact"]} == set(licenses.NOTICES)
+    twice = scan(b"Released under the MIT License. Released under the MIT License.")
+    assert [(x["licence"], x["exact"]) for x in twice] == [("MIT", True)] * 2
+    assert [x["licence"] for x in scan(b"Licensed under CC BY-SA 4.0.")] == ["CC-BY-SA-4.0"]
+    longer, = scan(b"Released under the terms and conditions of the MIT License")
+    assert (longer["same_words"], longer["missing"], longer["added"]) == (1, [], ["terms", "and", "conditions", "of", "the"])
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.text(max_size=200), st.integers(1, 300))
 def test_chunked_round_trip(text, times):
