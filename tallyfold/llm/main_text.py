@@ -3,13 +3,16 @@
 Markup is stripped into lines, one per block of the page. Regions that markup itself names as furniture
 (menus, headers, footers, forms, adverts, comments ...) leave blank lines only. The text lengths, less link text,
 are summed over windows of ``WINDOW`` lines; a region begins where the sum surges from nothing and
-ends where it dives back to nothing. Kept are the lines of the strongest region, and of every other region that
-reaches ``PEER`` of its strength or lies in the same container; where the page marks an article, only what is inside counts.
+ends where it dives back to nothing. Regions choose, they do not cut: kept are the strongest region, every other one that
+shares a container with it at any depth, and those elsewhere that reach ``PEER`` of its strength; and with them all lines in the containers
+their weighted lines stand in directly, also lines that are all link. Where the page marks articles, only what is inside
+counts, and all lines of every article with a weighted line of its own are kept.
 
 Pages are independent of each other: no shuffle.
 
 Defined cases: null, empty or text-free html gives an empty text; unclosed and stray tags are borne; cut-off
-markup at the end is dropped; repeated rows are pages of their own.
+markup at the end is dropped; repeated rows are pages of their own; the body itself is no container, so that lines directly
+in it are kept from the first to the last weighted line of a region.
 """
 
 from __future__ import annotations
@@ -70,12 +73,13 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
-    """``text, weight, in article, container`` per line; blank lines stand where furniture was."""
+def lines_of(page: str) -> tuple[list[tuple[str, int, int, int]], list[int], list[int]]:
+    """``text, weight, article, container`` per line, blank lines where furniture was; and of each container the one around it
+    and the article it is in (0 for none)."""
     page = _REMOVED.sub(" ", page)
-    lines: list[tuple[str, int, bool, int]] = []
+    lines: list[tuple[str, int, int, int]] = []
     containers = [0]
-    made = 0
+    around, article = [0], [0]
     text: list[str] = []
     linked = 0
     open_tags: list[str] = []
@@ -87,7 +91,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
         line = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if line:
-            lines.append((line, max(0, len(line) - linked), articles > 0, containers[-1]))
+            lines.append((line, max(0, len(line) - linked), article[containers[-1]], containers[-1]))
         linked = 0
 
     def say(raw: str):
@@ -126,16 +130,17 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
             end_line()
             furniture = len(open_tags)
             if not articles:
-                lines.extend([("", 0, False, 0)] * GAP)
+                lines.extend([("", 0, 0, 0)] * GAP)
         open_tags.append(tag)
         if tag in CONTAINERS:
-            made += 1
-            containers.append(made)
+            around.append(containers[-1])
+            article.append(len(article) if tag in ARTICLE else article[containers[-1]])
+            containers.append(len(article) - 1)
         articles += tag in ARTICLE
         links += tag == "a"
     say(_BROKEN.sub(" ", page[at:]))
     end_line()
-    return lines
+    return lines, around, article
 
 
 def regions(weights: list[int]) -> list[tuple[int, int]]:
@@ -157,18 +162,29 @@ def regions(weights: list[int]) -> list[tuple[int, int]]:
 def extract(page: str | None) -> str:
     if not page:
         return ""
-    lines = lines_of(page)
+    lines, around, article = lines_of(page)
     marked = any(weight and inside for _, weight, inside, _ in lines)
-    weights = [weight if inside == marked else 0 for _, weight, inside, _ in lines]
+    weights = [weight if (inside > 0) == marked else 0 for _, weight, inside, _ in lines]
     found = [(sum(weights[a:b]), a, b) for a, b in regions(weights)]
     if not found:
         return ""
     best, start, stop = max(found, key=lambda x: (x[0], -x[1]))
-    home = {x[3] for x in lines[start:stop]} - {0}
-    return "\n".join(
-        x[0] for strength, a, b in found
-        if marked or strength >= PEER * best or home & {x[3] for x in lines[a:b]}
-        for x in lines[a:b] if x[0] and x[2] == marked)
+    # Containers are numbered from outside to inside.
+    outermost = [0] * len(around)
+    for c in range(1, len(around)):
+        outermost[c] = outermost[around[c]] or c
+    home = {outermost[lines[i][3]] for i in range(start, stop) if weights[i]} - {0}
+    chosen, whole = [False] * len(lines), [False] * len(around)
+    for strength, a, b in found:
+        inside = [i for i in range(a, b) if weights[i]]
+        if marked or strength >= PEER * best or home & {outermost[lines[i][3]] for i in inside}:
+            chosen[a:b] = [True] * (b - a)
+            for i in inside:
+                whole[lines[i][2 if marked else 3]] = True
+    whole[0] = False
+    for c in range(1, len(around)):
+        whole[c] |= whole[around[c]]
+    return "\n".join(x[0] for x, there in zip(lines, chosen) if (there or whole[x[3]]) and x[0] and (x[2] > 0) == marked)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

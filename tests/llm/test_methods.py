@@ -156,6 +156,19 @@ def test_main_text_of_other_pages(page, want):
     assert main_text.extract(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1><a href=x>Title</a></h1><p>Some text.</p><p><a href=y>Source report</a></p></article>", "Title\nSome text.\nSource report"),
+    ("<main><p>Begin.</p><ul>" + "".join(f"<li><a href={i}>Paper {i}</a></li>" for i in range(5)) + "</ul><p>End.</p></main>",
+     "\n".join(["Begin.", *(f"Paper {i}" for i in range(5)), "End."])),
+    ("<ul><li><a href=m>Menu</a></li></ul><div class=content>" + "<div class=ad>Buy</div>".join(
+        f"<section><h2><a href={i}>Head {i}</a></h2><p>{'Long text. ' * n}</p></section>" for i, n in enumerate((40, 1, 2))) + "</div>",
+     "\n".join(f"Head {i}\n{('Long text. ' * n).strip()}" for i, n in enumerate((40, 1, 2)))),
+    ("<article><p>Text of it.</p></article><article><a href=x>Teaser</a></article>", "Text of it."),
+])
+def test_regions_extend_to_their_article_or_container(page, want):
+    assert main_text.extract(page) == want
+
+
 def test_licence_wording():
     scan = licenses.Scanner(licenses.NOTICES).scan
     exact, changed = scan(b"x\n(c) 2020. Released under the MIT License. Thanks\nlicence of nobody\n"
