@@ -39,8 +39,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words taken from every document and its place in the curriculum."""
-    return mixing.report(docs)
+    """The mix is written in training order; words taken from every document and its places in the curriculum come from it."""
+    return mixing.documents_of_mix(docs)
 
 
 STAGES = [

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import run_dir
+from .components import stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -127,19 +128,39 @@ def plan_mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ma
                     F.array_compact(times).alias("positions"), "_tie"))
 
 
-def report(docs: DataFrame) -> DataFrame:
-    return plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken",
-                                 F.element_at(F.concat("positions", F.array(F.lit(None))), 1).alias("position"))
+def _ordered(plan: DataFrame, *more: str) -> DataFrame:
+    copies = plan.select("doc_id", F.col("_tie").alias("text_hash"), "source", "size", "taken", *more,
+                         F.posexplode("positions").alias("copy", "position"))
+    words = F.least("size", F.col("taken") - F.col("copy") * F.col("size"))
+    return copies.select("doc_id", "text_hash", "source", "size", "copy", words.alias("words"), "position", *more).orderBy(
+        "position", "source", "doc_id", "copy")
 
 
 def training_order(docs: DataFrame) -> DataFrame:
     """The mix itself: one row per copy of a document, ``position`` and ``words`` taken, sorted by position."""
-    plan = plan_mix(docs)
-    copies = plan.select("doc_id", F.col("_tie").alias("text_hash"), "source", "size", "taken",
-                         F.posexplode("positions").alias("copy", "position"))
-    words = F.least("size", F.col("taken") - F.col("copy") * F.col("size"))
-    return copies.select("doc_id", "text_hash", "source", "size", "copy", words.alias("words"), "position").orderBy(
-        "position", "source", "doc_id", "copy")
+    return _ordered(plan_mix(docs))
+
+
+def written_mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The plan and the mix, both written: the mix range-sorted by position, ``_number`` names the plan's row of a copy."""
+    plan = stored(plan_mix(docs).withColumn("_number", F.monotonically_increasing_id()), "plan")
+    return plan, stored(_ordered(plan, "_number"), "mix")
+
+
+def documents_of_mix(docs: DataFrame) -> DataFrame:
+    """Per document what the written mix holds of it: words ``taken``, first ``position`` and ``positions`` of all copies."""
+    plan, mix = written_mix(docs)
+    # A document has as many copies as its source is repeated.
+    places = mix.groupBy("_number").agg(F.sum("words").alias("_words"), F.sort_array(F.collect_list("position")).alias("_places"))
+    return plan.join(places, "_number", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("_words", F.lit(0)).cast("long").alias("taken"),
+        F.when(F.size("_places") > 0, F.element_at("_places", 1)).alias("position"),
+        F.coalesce("_places", F.array().cast("array<double>")).alias("positions"))
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """``documents_of_mix`` in the columns of the checking SQL, which names the first position only."""
+    return documents_of_mix(docs).drop("positions")
 
 
 REPORT_SQL = r"""

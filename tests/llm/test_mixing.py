@@ -61,3 +61,17 @@ def test_heavy_sources_come_early(spark):
     got = mixing.training_order(spark.createDataFrame([(i * 3 + "abc".index(r[3]), *r[1:]) for i, r in enumerate(rows)], SCHEMA))
     mean = {r[0]: r[1] for r in got.groupBy("source").agg(F.avg("position")).collect()}
     assert mean["a"] < mean["b"] < mean["c"]
+
+
+def test_the_report_is_that_of_the_written_mix(spark):
+    rows = [(i, "a b c d", None, "b" if i < 30 else "a", None) for i in range(40)] + [(41, "", None, "a", None)]
+    docs = spark.createDataFrame(rows + rows[:2], SCHEMA)
+    got = mixing.documents_of_mix(docs).collect()
+    copies = mixing.training_order(docs).collect()
+    assert max(len(r.positions) for r in got) == 2 and min(len(r.positions) for r in got) == 0
+    assert sorted((r.doc_id, p) for r in got for p in r.positions) == sorted((r.doc_id, r.position) for r in copies)
+    assert all(r.position == (r.positions[0] if r.positions else None) for r in got)
+    _, mix = mixing.written_mix(docs)
+    parts = [r.position for r in mix.withColumn("_f", F.input_file_name()).withColumn("_at", F.monotonically_increasing_id())
+             .orderBy("_f", "_at").collect()]
+    assert parts == sorted(parts) and len(parts) == len(copies)
