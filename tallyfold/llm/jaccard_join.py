@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components, stored
@@ -369,9 +369,21 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Rows without id stay."""
+    """``docs`` with one row of each component: of the document with the smallest id, the row with the longest text.
+
+    Rows without id are not compared, not even with each other, and all stay.
+    """
     gone = stored(jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(_if_small(gone), docs["doc_id"] == gone["_gone"], "left_anti")
+    kept = docs.join(_if_small(gone), docs["doc_id"] == gone["_gone"], "left_anti")
+    again = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(
+        F.col("doc_id").alias("_again")), "again")
+    if again.isEmpty():
+        return kept
+    # Only texts of ids in several rows move.
+    several = F.col("doc_id") == F.col("_again")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), F.xxhash64("text")))
+    one = kept.join(_if_small(again), several, "left_semi").withColumn("_rank_of_row", rank).where("_rank_of_row = 1").drop("_rank_of_row")
+    return kept.join(_if_small(again), several, "left_anti").unionByName(one)
 
 
 REPORT_SQL = r"""

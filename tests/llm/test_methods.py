@@ -121,6 +121,13 @@ def test_regions_of_repeated_rows_stay_apart(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, i // 2 * 2) for i, _ in rows)
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (3, "other words stand here now"), (4, None), (4, None),
+            (None, "a b c d e f"), (None, "a b c d e f")]
+    got = jaccard_join.one_per_group(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, rows[0][1])] * 2 + [(1, rows[0][1]), (3, rows[3][1]), (4, "")]
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.QUERIES["op9_language_mixture"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
