@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language, licenses, line_dedup, main_text, mixing, quality_rules, substring_dedup, warc
+from . import (collocations, decontaminate, jaccard_join, language, licenses, line_dedup, main_text, mixing, packing, quality_rules,
+               substring_dedup, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,9 +52,18 @@ def op10_main_text(spark, sf_dir):
     return main_text.report(_table(spark, sf_dir, "pages"))
 
 
+def op11_window_packing(spark, sf_dir):
+    return packing.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op3_jaccard_join, op4_license_scan,
                                    op5_line_dedup, op6_curriculum_mix,
-                                   op7_warc, op8_substring_dedup, op9_language_mixture, op10_main_text)}
+                                   op7_warc, op8_substring_dedup, op9_language_mixture, op10_main_text,
+                                   op11_window_packing, op12_collocations)}
 
 ORACLES = {
     "op1_decontaminate": decontaminate.REPORT_SQL,
@@ -63,4 +73,5 @@ ORACLES = {
     "op6_curriculum_mix": mixing.REPORT_SQL,
     "op7_warc": warc.REPORT_SQL,
     "op8_substring_dedup": substring_dedup.REPORT_SQL,
+    "op12_collocations": collocations.REPORT_SQL,
 }

@@ -11,12 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Rows handled at a time inside a task; the outputs of one slice are in memory together.
 SLICE_ROWS = 256
+SLICE_BYTES = 8 << 20
 # Remembered word hashes of one worker.
 VOCABULARY = 200_000
 _MIX = tuple(np.uint64(c) for c in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 30, 27, 31))
@@ -94,3 +96,17 @@ def list_column(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     np.cumsum([len(p) for p in parts], out=offsets[1:])
     values = np.concatenate(parts) if parts else np.empty(0)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = SLICE_ROWS,
+                size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows and about ``size`` bytes in a binary column; a longer value is a slice alone."""
+    for batch in batches:
+        lengths = np.array([0 if v is None else v for v in pc.binary_length(batch[column]).to_pylist()], np.int64)
+        ends, start = np.cumsum(lengths), 0
+        while start < batch.num_rows:
+            before = ends[start] - lengths[start]
+            stop = min(int(np.searchsorted(ends, before + size, "right")), start + rows)
+            stop = max(stop, start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
