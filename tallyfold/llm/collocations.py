@@ -27,8 +27,8 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +46,7 @@ UNKNOWN = "und"
 PART_HASHES = 4_000_000
 SHARD_PHRASES = 1_000_000
 # Entries a task sums up before it passes them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 _SALTS = 64
 # Holes tried for a state's words when a trie is laid out, and states laid out before the holes are listed anew.
 _TRIES, _REFRESH = 256, 64
@@ -88,7 +88,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, words in _texts(batches):
         sums[lang].update(words)
         del sums[lang][_BREAK]
-        if sum(map(len, sums.values())) > FLUSH // 4:
+        if sum(map(len, sums.values())) > FLUSH // 2:
             yield from flush()
     yield from flush()
 
@@ -173,7 +173,7 @@ def grown(texts: DataFrame, frequent: DataFrame, size: int, min_count: int) -> D
     unsigned = F.pmod(F.pmod(F.col("h"), F.lit(parts)) + F.when(F.col("h") < 0, F.lit((1 << 64) % parts)).otherwise(0), F.lit(parts))
     found = []
     for part in range(parts):
-        mine = frequent.where(unsigned == part).select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(np.uint64)
+        mine = frequent.where(unsigned == part).select("h").distinct().toArrow()["h"].to_numpy().astype(np.int64).view(np.uint64)
         shared = spark.sparkContext.broadcast(np.sort(mine))
         sums = texts.mapInArrow(_neighbours(shared, size, part, parts), "h1 bigint, h2 bigint, f bigint").groupBy("h1", "h2").agg(
             F.sum("f").alias("f"))
@@ -194,32 +194,38 @@ def grown(texts: DataFrame, frequent: DataFrame, size: int, min_count: int) -> D
 class Trie:
     """Double array over the words of a shard's phrases; slot 0 is the root, words have the numbers from 1 on."""
 
-    def __init__(self, phrases: list[tuple[str, list[bytes]]], ids: list[int]):
-        self.words: dict[str, dict[bytes, int]] = {}
+    def __init__(self, phrases: pa.Table):
+        """``phrases`` has ``lang, phrase`` and ``id``."""
+        langs = phrases["lang"].combine_chunks().dictionary_encode()
+        words = pc.split_pattern(phrases["phrase"].combine_chunks().cast(pa.binary()), b" ")
+        lengths = words.value_lengths().to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        # A word of a language: the language's number, a blank, which no word has, and the word.
+        of_lang = pc.take(langs.indices.cast(pa.string()).cast(pa.binary()), pa.array(row))
+        coded = pc.binary_join_element_wise(of_lang, words.flatten(), b" ").dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        symbols = len(coded.dictionary)
         # Frequent words have small numbers, so that a state's words lie close together.
-        uses = Counter((lang, word) for lang, words in phrases for word in words)
-        symbols = len(uses)
-        for number, ((lang, word), _) in enumerate(uses.most_common(), 1):
-            self.words.setdefault(lang, {})[word] = number
-        coded = [[self.words[lang][w] for w in words] for lang, words in phrases]
-        self.symbols, self.levels = symbols, max(map(len, coded), default=0)
-        size = 2 * (symbols + 1) + 2 * sum(map(len, coded))
+        number = np.empty(symbols, np.int64)
+        number[np.argsort(-np.bincount(codes, minlength=symbols), kind="stable")] = np.arange(1, symbols + 1)
+        self.langs, self.named, self.numbers = langs.dictionary.to_pylist(), coded.dictionary, number.astype(np.int32)
+        self.symbols, self.levels = symbols, int(lengths.max(initial=0))
+        size = 2 * (symbols + 1) + 2 * len(codes)
         self.base = np.zeros(size, np.int64)
         self.check = np.full(size, -1, np.int64)
         self.check[0] = 0
         self.last = 0  # the last slot taken
         self.ids = np.full(size, -1, np.int64)
-        matrix = np.zeros((len(coded), self.levels), np.int64)
-        for row, symbols_of in zip(matrix, coded):
-            row[:len(symbols_of)] = symbols_of
-        state = np.zeros(len(coded), np.int64)
-        lengths = np.array([len(c) for c in coded], np.int64)
+        matrix = np.zeros((len(lengths), self.levels), np.int64)
+        matrix[row, np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = number[codes]
+        ids = phrases["id"].to_numpy()
+        state = np.zeros(len(lengths), np.int64)
         for level in range(self.levels):
             at = np.flatnonzero(lengths > level)
             edges, inverse = np.unique(np.stack([state[at], matrix[at, level]], axis=1), axis=0, return_inverse=True)
             state[at] = self._place(edges)[inverse.ravel()]
             done = at[lengths[at] == level + 1]
-            self.ids[state[done]] = np.array(ids, np.int64)[done]
+            self.ids[state[done]] = ids[done]
         # Any state and any word give a slot inside the arrays.
         end = int(max(self.base.max() + symbols, self.last)) + 1
         grow = max(0, end - len(self.check))
@@ -227,6 +233,14 @@ class Trie:
         self.check = np.concatenate([self.check, np.full(grow, -1)])[:end].astype(np.int32)
         self.ids = np.concatenate([self.ids, np.full(grow, -1)])[:end]
 
+    def known_words(self) -> dict[str, dict[bytes, int]]:
+        """Per language the numbers of its words."""
+        out: dict[str, dict[bytes, int]] = {lang: {} for lang in self.langs}
+        for named, number in zip(self.named.to_pylist(), self.numbers.tolist()):
+            lang, word = named.split(b" ")
+            out[self.langs[int(lang)]][word] = number
+        return out
+
     def _place(self, edges: np.ndarray) -> np.ndarray:
         """Slots of ``(state, word)`` rows, sorted; gives every state a base at which all its words find free slots."""
         starts = np.flatnonzero(np.concatenate([[True], edges[1:, 0] != edges[:-1, 0]]))
@@ -277,9 +291,8 @@ class Trie:
             self.check = np.concatenate([self.check, np.full(more, -1)])
             self.ids = np.concatenate([self.ids, np.full(more, -1)])
 
-    def reached(self, lang: str, words: list[bytes]) -> Iterator[np.ndarray]:
-        """The states that the positions of the words reach, level by level."""
-        known = self.words.get(lang, {})
+    def reached(self, known: dict[bytes, int], words: list[bytes]) -> Iterator[np.ndarray]:
+        """The accepting states that the positions of the words reach, level by level."""
         symbol = np.fromiter(map(known.get, words, repeat(0)), np.int64, len(words))
         at = np.flatnonzero(symbol)
         state = np.zeros(len(at), np.int64)
@@ -295,10 +308,11 @@ class Trie:
 
 def _counted(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie: Trie = shared.value
+        trie: Trie = pickle.loads(shared.value)
+        known = trie.known_words()
         total, waiting, size = np.zeros(len(trie.check), np.int64), [], 0
         for lang, words in _texts(batches):
-            for states in trie.reached(lang, words):
+            for states in trie.reached(known.get(lang, {}), words):
                 waiting.append(states)
                 size += len(states)
             if size > FLUSH:
@@ -311,9 +325,8 @@ def _counted(shared):
     return run
 
 
-def _build(rows: pd.DataFrame) -> pd.DataFrame:
-    trie = Trie([(lang, p.encode().split(b" ")) for lang, p in zip(rows["lang"], rows["phrase"])], rows["id"].tolist())
-    return pd.DataFrame({"trie": [pickle.dumps(trie)]})
+def _build(rows: pa.Table) -> pa.Table:
+    return pa.table({"trie": pa.array([pickle.dumps(Trie(rows))], pa.binary())})
 
 
 def counted(texts: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -325,8 +338,8 @@ def counted(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     start = F.substring_index("phrase", " ", 2)
     numbered = stored(numbered.withColumn("shard", F.pmod(F.xxhash64("lang", start), F.lit(shards)).cast("int")), "numbered")
     found = None
-    for row in numbered.groupBy("shard").applyInPandas(_build, "trie binary").toLocalIterator():
-        shared = spark.sparkContext.broadcast(pickle.loads(bytes(row[0])))
+    for row in numbered.groupBy("shard").applyInArrow(_build, "trie binary").toLocalIterator():
+        shared = spark.sparkContext.broadcast(bytes(row[0]))
         sums = stored(texts.mapInArrow(_counted(shared), "id bigint, a bigint").groupBy("id").agg(F.sum("a").alias("a")), "counts")
         shared.destroy()
         found = sums if found is None else found.unionByName(sums)

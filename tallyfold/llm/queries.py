@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (collocations, decontaminate, jaccard_join, language, licenses, line_dedup, main_text, mixing, packing, quality_rules,
-               substring_dedup, warc)
+               repair, substring_dedup, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +60,14 @@ def op12_collocations(spark, sf_dir):
     return collocations.report(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    return repair.report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_quality_rules, op3_jaccard_join, op4_license_scan,
                                    op5_line_dedup, op6_curriculum_mix,
                                    op7_warc, op8_substring_dedup, op9_language_mixture, op10_main_text,
-                                   op11_window_packing, op12_collocations)}
+                                   op11_window_packing, op12_collocations, op13_conversation_repair)}
 
 ORACLES = {
     "op1_decontaminate": decontaminate.REPORT_SQL,

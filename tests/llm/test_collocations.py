@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -43,10 +44,12 @@ def brute(docs, max_words=3, least=10, percent=50):
 @given(st.lists(st.tuples(st.sampled_from(["x", "y"]), st.lists(st.sampled_from([b"a", b"b", b"c", b"d"]), min_size=1, max_size=4)), max_size=25, unique_by=str),
        st.lists(WORD, max_size=60))
 def test_trie_counts_what_a_search_counts(phrases, words):
-    trie = C.Trie(phrases, list(range(len(phrases))))
+    trie = C.Trie(pa.table({"lang": pa.array([lang for lang, _ in phrases], pa.string()), "id": pa.array(range(len(phrases)), pa.int64()),
+                            "phrase": pa.array([b" ".join(p).decode() for _, p in phrases], pa.string())}))
+    known = trie.known_words()
     for lang in ("x", "y", "z"):
         total = np.zeros(len(trie.check), np.int64)
-        for states in trie.reached(lang, words):
+        for states in trie.reached(known.get(lang, {}), words):
             np.add.at(total, states, 1)
         got = {int(trie.ids[i]): int(total[i]) for i in np.flatnonzero(total)}
         want = {i: sum(words[j: j + len(p)] == p for j in range(len(words))) for i, (other, p) in enumerate(phrases) if other == lang}
@@ -71,8 +74,10 @@ def got(rows):
     return {(r.lang, r.phrase): (r.a, r.l, r.r, r.n, r.score) for r in rows}
 
 
-@pytest.mark.parametrize("limits", [{}, {"PART_HASHES": 20, "SHARD_PHRASES": 50, "FLUSH": 200}])
-@pytest.mark.parametrize("words", [2, 3, 4])
+SMALL = {"PART_HASHES": 20, "SHARD_PHRASES": 50, "FLUSH": 200}
+
+
+@pytest.mark.parametrize("words, limits", [(2, {}), (3, SMALL), (4, {"PART_HASHES": 20})])
 def test_against_brute_force(spark, monkeypatch, limits, words):
     for name, value in limits.items():
         monkeypatch.setattr(C, name, value)

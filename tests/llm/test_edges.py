@@ -51,6 +51,9 @@ def store(spark, folder, docs, items=ITEMS, pages=PAGES):
         f"{folder}/benchmark.parquet")
     spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumns(
         {c: F.lit(2) for c in ("digest", "payload", "text", "_row", "kind")}).write.parquet(f"{folder}/pages.parquet")
+    conversations = [(1, 0, "user", "Hi."), (1, 0, "user", "Hi."), (None, None, None, None), (2, 1, "", "x" * 50_000)] if docs else []
+    spark.createDataFrame(conversations, "conv_id bigint, turn bigint, role string, text string").withColumns(
+        {c: F.lit(2) for c in ("plan", "kind", "present", "digest", "fault")}).write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
