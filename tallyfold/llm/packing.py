@@ -19,7 +19,9 @@ give pieces that carry the same ``doc_id``; an empty table gives no piece; furth
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,7 +43,7 @@ FAN_IN = 32
 END_ID = 2
 VOCABULARY_FILE = "word_bpe_49k.json"
 # Bytes of remembered words and their ids in one worker.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 160 << 20
 _ENTRY_BYTES = 200
 _LONG_WORD = 256
 
@@ -58,36 +60,112 @@ def vocabulary(path: str | None = None) -> str:
         return file.read()
 
 
+# Letters that a word may be made of to skip the steps before the model, which leave such words whole.
+_PLAIN = [*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0xC0, 0x180)]
+
+
+# Marks that stand for themselves beside a word; an apostrophe may begin an ending.
+_MARKS = re.escape("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"))
+
+
+def _plain_letters(tokenizer: Tokenizer) -> dict[int, str]:
+    """What the steps before the model make of a letter, for letters that they treat alike wherever they stand in a word.
+
+    Empty if a word of all these letters, with marks around it, does not come out as the marks and one piece made of theirs.
+    """
+    normal, pieces = tokenizer.normalizer, tokenizer.pre_tokenizer
+    if normal is None or pieces is None:
+        return {}
+    table = {}
+    for code in _PLAIN:
+        lowered = normal.normalize_str(chr(code))
+        made = pieces.pre_tokenize_str(lowered)
+        if chr(code).isalpha() and len(lowered) == 1 and lowered.isalpha() and len(made) == 1:
+            table[code] = made[0][0]
+    every = "".join(map(chr, table))
+    marks = "".join(chr(c) for c in range(33, 127) if re.fullmatch(f"[{_MARKS}]", chr(c)))
+    made = pieces.pre_tokenize_str(normal.normalize_str(marks + every + marks))
+    return table if [m[0] for m in made] == [marks, every.translate(table), marks] else {}
+
+
+class WordIds(dict):
+    """Ids of words, remembered. Letters with marks around them are put together from their parts; other words are encoded whole."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
+        self.letters = _plain_letters(tokenizer)
+        class_ = "".join(map(chr, self.letters))
+        self.plain = re.compile(f"([{_MARKS}]*)([{class_}]+)([{_MARKS}]*)").fullmatch if class_ else lambda text: None
+        self.special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+        self.stems: dict = {}
+        self.bytes = 0
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _stem(self, stem: str) -> bytes:
+        ids = self.stems.get(stem)
+        if ids is None:
+            ids = self.stems[stem] = array("I", [t.id for t in self.tokenize(stem)]).tobytes()
+            self.bytes += _ENTRY_BYTES
+        return ids
+
+    def _marks(self, marks: str) -> bytes:
+        ids = self.stems.get(marks)
+        if ids is None:
+            ids = self.stems[marks] = self.whole(marks)
+            self.bytes += _ENTRY_BYTES
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        parts = self.plain(text)
+        if parts is None or b"<" in word and any(special in word for special in self.special):
+            ids = self.whole(text)
+        else:
+            before, stem, behind = parts.groups()
+            ids = self._stem(stem.lower() if stem.isascii() else stem.translate(self.letters))
+            if before or behind:
+                ids = (self._marks(before) if before else b"") + ids + (self._marks(behind) if behind else b"")
+        if len(word) <= _LONG_WORD:
+            self[word] = ids
+            self.bytes += _ENTRY_BYTES
+        return ids
+
+    def trim(self) -> None:
+        if self.bytes > REMEMBERED_BYTES:
+            self.clear()
+            self.stems.clear()
+            self.bytes = 0
+
+
 class TokenIds:
-    """Ids of texts, as little-endian unsigned 32-bit numbers."""
+    """Ids of texts, as unsigned 32-bit numbers in little-endian order."""
+
+    _made: dict[tuple, TokenIds] = {}
 
     def __init__(self, text: str, by_word: bool = True, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker per core already
-        self.tokenizer, self.by_word = Tokenizer.from_str(text), by_word
+        self.tokenizer = Tokenizer.from_str(text)
+        self.words = WordIds(self.tokenizer) if by_word else None
         self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
-        self.bytes = 0
 
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in made]
+    @classmethod
+    def of_worker(cls, text: str, by_word: bool, end_id: int) -> TokenIds:
+        """Made once in a worker and kept with its words for the tasks that follow."""
+        key = (hash(text), by_word, end_id)
+        if key not in cls._made:
+            cls._made = {key: cls(text, by_word, end_id)}
+        return cls._made[key]
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return [ids + self.end for ids in self._encode(texts)]
-        words = [t.split() for t in texts]
-        new = list(set().union(*words).difference(self.known))
-        if self.bytes > REMEMBERED_BYTES:
-            self.known, self.bytes = {}, 0
-            new = list(set().union(*words))
-        ids = self._encode(new)
-        self.known.update(zip(new, ids))
-        self.bytes += _ENTRY_BYTES * len(new)
-        out = [b"".join(map(self.known.__getitem__, w)) + self.end for w in words]
-        for word in new:
-            if len(word) > _LONG_WORD:
-                del self.known[word]
-        return out
+        if self.words is None:
+            made = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() + self.end for e in made]
+        self.words.trim()
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, t.split())) + self.end for t in texts]
 
 
 @dataclass
@@ -187,7 +265,7 @@ def _packed(pieces, level: int, last: bool, size: int, open_windows: int, max_ga
 
 def _documents(shared, by_word: bool, end_id: int):
     def pieces(batches):
-        ids = TokenIds(shared.value, by_word, end_id)
+        ids = TokenIds.of_worker(shared.value, by_word, end_id)
         for part in byte_slices(batches, "_utf8"):
             made = ids.of([t.as_py() or b"" for t in part["_utf8"]])
             yield [(doc, 0, raw, len(raw) // 4) for doc, raw in zip(part["doc_id"].to_pylist(), made)]

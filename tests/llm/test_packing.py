@@ -74,7 +74,7 @@ def test_many_partitions_small_windows(spark, tokenizer):
 
 
 def test_words_give_what_whole_texts_give(tokenizer):
-    texts = [b"It's a TEST, isn't it? 1234\x0bfoo\x1cbar", "Ünïcodé İstanbul ΣΑΣ ΟΔΟΣ. ﬁ 你好 🙂🙂\x85x y".encode(), b"", b"<|startoftext|>a <|endoftext|>"]
+    texts = [b"It's a TEST, isn't it? 1234\x0bfoo\x1cbar", b"...Marks!? (beside) <|endoftext|> <|x|> 'tis don't's o'clock's -- 'S", "Straße, ÇA! ŁÓDŹ İx ŉx ſx ×2 à̀ é.".encode(), "Ünïcodé İstanbul ΣΑΣ ΟΔΟΣ. ﬁ 你好 🙂🙂\x85x y".encode(), b"", b"<|startoftext|>a <|endoftext|>"]
     by_word, by_text = TokenIds(vocabulary()), TokenIds(vocabulary(), by_word=False)
     assert by_word.of(texts) == by_text.of(texts) == [np.array(whole(tokenizer, t.decode()), "<u4").tobytes() for t in texts]
 
@@ -82,7 +82,7 @@ def test_words_give_what_whole_texts_give(tokenizer):
 def test_forgetting_words_changes_nothing(monkeypatch):
     texts = [b"one two three four", b"five six one two", b"three seven"]
     want = TokenIds(vocabulary()).of(texts)
-    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 100)
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 300)
     ids = TokenIds(vocabulary())
     assert [ids.of([t])[0] for t in texts] == want
 
