@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .components import stored
-from .text import byte_slices, list_column, utf8
+from .text import byte_slices, utf8
 
 WINDOW_TOKENS = 4096
 OPEN_WINDOWS = 64
@@ -43,7 +43,7 @@ FAN_IN = 32
 END_ID = 2
 VOCABULARY_FILE = "word_bpe_49k.json"
 # Bytes of remembered words and their ids in one worker.
-REMEMBERED_BYTES = 160 << 20
+REMEMBERED_BYTES = 224 << 20
 _ENTRY_BYTES = 200
 _LONG_WORD = 256
 
@@ -119,15 +119,18 @@ class WordIds(dict):
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        parts = self.plain(text)
-        if parts is None or b"<" in word and any(special in word for special in self.special):
-            ids = self.whole(text)
+        if word.isalpha() and self.letters:  # letters of ASCII only
+            ids = self._stem(word.decode().lower())
         else:
-            before, stem, behind = parts.groups()
-            ids = self._stem(stem.lower() if stem.isascii() else stem.translate(self.letters))
-            if before or behind:
-                ids = (self._marks(before) if before else b"") + ids + (self._marks(behind) if behind else b"")
+            text = word.decode("utf-8", "replace")
+            parts = self.plain(text)
+            if parts is None or b"<" in word and any(special in word for special in self.special):
+                ids = self.whole(text)
+            else:
+                before, stem, behind = parts.groups()
+                ids = self._stem(stem.lower() if stem.isascii() else stem.translate(self.letters))
+                if before or behind:
+                    ids = (self._marks(before) if before else b"") + ids + (self._marks(behind) if behind else b"")
         if len(word) <= _LONG_WORD:
             self[word] = ids
             self.bytes += _ENTRY_BYTES
@@ -242,10 +245,12 @@ def _rows(windows: list[Window], first: int, still_open: bool) -> pa.RecordBatch
             tokens.append(doc_tokens)
             sequence.append(first + window.number)
             offset.append(place)
-            ids.append(np.frombuffer(raw, "<u4").astype(np.int32))
+            ids.append(raw)
     long = [pa.array(v, pa.int64()) for v in (doc, start, length, crc, tokens, sequence, offset)]
+    ends = pa.array(np.cumsum([0, *length]), pa.int32())
+    lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32)))
     return pa.RecordBatch.from_arrays(
-        [*long, list_column(ids, pa.int32()), pa.array([still_open] * len(doc), pa.bool_())],
+        [*long, lists, pa.array([still_open] * len(doc), pa.bool_())],
         names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "open"])
 
 
@@ -267,7 +272,7 @@ def _documents(shared, by_word: bool, end_id: int):
     def pieces(batches):
         ids = TokenIds.of_worker(shared.value, by_word, end_id)
         for part in byte_slices(batches, "_utf8"):
-            made = ids.of([t.as_py() or b"" for t in part["_utf8"]])
+            made = ids.of([t or b"" for t in part["_utf8"].to_pylist()])
             yield [(doc, 0, raw, len(raw) // 4) for doc, raw in zip(part["doc_id"].to_pylist(), made)]
     return pieces
 
