@@ -10,10 +10,10 @@ lost. The hashes of one level's frequent phrases are sent to the tasks ``PART_HA
 a part holds and passes where its second phrase is another part's.
 
 Counting. The candidates are dealt to shards of about ``SHARD_PHRASES``. A task makes a shard a double-array trie over words:
-``state + word`` leads from ``state`` to ``base[state] + word`` if ``check`` there names ``state``. The trie is broadcast;
+a word leads from ``state`` to ``base[state] + word`` if ``check`` there names ``state``. Tries are broadcast, packed;
 numpy moves the states of all text positions of a batch at once, one word a level, and counts the accepting states with
-``bincount``. Sums over the tasks are the counts, exact as words are compared and not hashes. Tries are sent one after
-the other, each with a pass over the texts; a shard's size is bounded, the number of passes is candidates / ``SHARD_PHRASES``.
+``bincount``. Sums over the tasks are the counts, exact as words are compared and not hashes. ``TRIES_AT_ONCE`` tries share a
+pass over the texts; a shard's size is bounded, the number of passes is candidates / (``SHARD_PHRASES * TRIES_AT_ONCE``).
 
 Defined cases: a null text has no words; a null ``lang`` is ``und``; without words there is no row; every row counts,
 repeated or not; further columns are not read. Scores are exact for counts below 10**16.
@@ -24,11 +24,12 @@ from __future__ import annotations
 import pickle
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +43,10 @@ SCALE = 1_000_000
 INSIDE_PERCENT = 50
 TOP = 2_000
 UNKNOWN = "und"
-# Frequent phrases known to the tasks at a time (32 MB), and candidates of one trie.
+# Frequent phrases known to the tasks at a time (32 MB); candidates of one trie, and tries of one pass over the texts.
 PART_HASHES = 4_000_000
-SHARD_PHRASES = 1_000_000
+SHARD_PHRASES = 250_000
+TRIES_AT_ONCE = 3
 # Entries a task sums up before it passes them on.
 FLUSH = 1_000_000
 _SALTS = 64
@@ -231,7 +233,10 @@ class Trie:
         grow = max(0, end - len(self.check))
         self.base = np.concatenate([self.base, np.zeros(grow, np.int64)])[:end].astype(np.int32)
         self.check = np.concatenate([self.check, np.full(grow, -1)])[:end].astype(np.int32)
-        self.ids = np.concatenate([self.ids, np.full(grow, -1)])[:end]
+        # Accepting states name a place among the ids.
+        numbers = np.concatenate([self.ids, np.full(grow, -1)])[:end]
+        self.names = numbers[numbers >= 0]
+        self.ids = np.where(numbers >= 0, np.cumsum(numbers >= 0) - 1, -1).astype(np.int32)
 
     def known_words(self) -> dict[str, dict[bytes, int]]:
         """Per language the numbers of its words."""
@@ -306,27 +311,24 @@ class Trie:
             at, state = at[inside], state[inside]
 
 
-def _counted(shared):
+def _counted(shared: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie: Trie = pickle.loads(shared.value)
-        known = trie.known_words()
-        total, waiting, size = np.zeros(len(trie.check), np.int64), [], 0
+        tries: list[Trie] = [pickle.loads(zstandard.decompress(s.value)) for s in shared]
+        known = [trie.known_words() for trie in tries]
+        totals = [np.zeros(len(trie.names), np.int64) for trie in tries]
         for lang, words in _texts(batches):
-            for states in trie.reached(known.get(lang, {}), words):
-                waiting.append(states)
-                size += len(states)
-            if size > FLUSH:
-                total += np.bincount(np.concatenate(waiting), minlength=len(total))
-                waiting, size = [], 0
-        if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(trie.ids[at]), pa.array(total[at])], names=["id", "a"])
+            for trie, of_langs, total in zip(tries, known, totals):
+                if lang in of_langs:
+                    for states in trie.reached(of_langs[lang], words):
+                        total += np.bincount(trie.ids[states], minlength=len(total))
+        for trie, total in zip(tries, totals):
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(trie.names[at]), pa.array(total[at])], names=["id", "a"])
     return run
 
 
 def _build(rows: pa.Table) -> pa.Table:
-    return pa.table({"trie": pa.array([pickle.dumps(Trie(rows))], pa.binary())})
+    return pa.table({"trie": pa.array([zstandard.compress(pickle.dumps(Trie(rows)), 3)], pa.binary())})
 
 
 def counted(texts: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -337,12 +339,17 @@ def counted(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     # By the first two words: phrases that begin alike share states, and no shard is much larger than the others.
     start = F.substring_index("phrase", " ", 2)
     numbered = stored(numbered.withColumn("shard", F.pmod(F.xxhash64("lang", start), F.lit(shards)).cast("int")), "numbered")
-    found = None
-    for row in numbered.groupBy("shard").applyInArrow(_build, "trie binary").toLocalIterator():
-        shared = spark.sparkContext.broadcast(bytes(row[0]))
-        sums = stored(texts.mapInArrow(_counted(shared), "id bigint, a bigint").groupBy("id").agg(F.sum("a").alias("a")), "counts")
-        shared.destroy()
-        found = sums if found is None else found.unionByName(sums)
+    found, shared = None, []
+    built = numbered.groupBy("shard").applyInArrow(_build, "trie binary").toLocalIterator()
+    for row in chain(built, [None]):
+        if row is not None:
+            shared.append(spark.sparkContext.broadcast(bytes(row[0])))
+        if len(shared) == TRIES_AT_ONCE or row is None and shared:
+            sums = stored(texts.mapInArrow(_counted(shared), "id bigint, a bigint").groupBy("id").agg(F.sum("a").alias("a")), "counts")
+            found = sums if found is None else found.unionByName(sums)
+            for one in shared:
+                one.destroy()
+            shared = []
     if found is None:
         return candidates.select("lang", "phrase", F.lit(0).cast("bigint").alias("a"))
     return numbered.join(found, "id").select("lang", "phrase", "a")

@@ -51,7 +51,7 @@ def test_trie_counts_what_a_search_counts(phrases, words):
         total = np.zeros(len(trie.check), np.int64)
         for states in trie.reached(known.get(lang, {}), words):
             np.add.at(total, states, 1)
-        got = {int(trie.ids[i]): int(total[i]) for i in np.flatnonzero(total)}
+        got = {int(trie.names[trie.ids[i]]): int(total[i]) for i in np.flatnonzero(total)}
         want = {i: sum(words[j: j + len(p)] == p for j in range(len(words))) for i, (other, p) in enumerate(phrases) if other == lang}
         assert got == {i: v for i, v in want.items() if v}
 
