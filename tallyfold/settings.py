@@ -17,6 +17,8 @@ RECOMMENDED = {
 
 # Bytes one shuffle task should get; partitions that turn out smaller are merged at run time.
 TASK_BYTES = 128 << 20
+# A shuffle of more partitions costs more in bookkeeping than its smaller tasks save; beyond it tasks get more bytes.
+MAX_PARTITIONS = 20_000
 # Rows are wider in a shuffle than in a compressed columnar file.
 SHUFFLED_PER_STORED = 2
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -26,23 +28,30 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     """Apply the settings that the session leaves at Spark's default.
 
     ``shuffle_bytes`` is the expected size of the largest shuffle of a batch
-    job; shuffles then start with enough partitions for it to fit in memory.
+    job; shuffles then start with enough partitions for it to fit in memory, ``MAX_PARTITIONS`` at most.
     """
     given = {name for name, _ in spark.sparkContext.getConf().getAll()}
     for name, value in RECOMMENDED.items():
         if name not in given:
             spark.conf.set(name, value)
     if shuffle_bytes is not None:
-        spark.conf.set(INITIAL_PARTITIONS, str(max(-(-shuffle_bytes // TASK_BYTES), _shuffle_partitions(spark))))
+        wanted = min(-(-shuffle_bytes // TASK_BYTES), MAX_PARTITIONS)
+        spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, _shuffle_partitions(spark))))
     return spark
 
 
-def input_bytes(*tables: DataFrame) -> int:
-    """Size of what the tables are read from, by the optimiser's statistics of their leaves; no job is run."""
+def input_bytes(*tables: DataFrame, unknown: int = 0) -> int:
+    """Size of what the tables are read from, by the optimiser's statistics of their leaves; no job is run.
+
+    A leaf of unknown size, such as a database table or rows given in line, has Spark's default size and counts as
+    ``unknown``; with nothing, its shuffles start with the session's number of partitions.
+    """
+    default = tables[0].sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
     total = 0
     for df in tables:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        total += sum(size if size < default else unknown for size in sizes)
     return total
 
 

@@ -38,7 +38,8 @@ def test_given_settings_stay(spark):
 def test_shuffles_start_with_enough_partitions(spark):
     assert initial_partitions(spark) == 8
     try:
-        assert initial_partitions(tune(spark, shuffle_bytes=100 << 40)) == 819_200
+        assert initial_partitions(tune(spark, shuffle_bytes=1 << 40)) == 8192
+        assert initial_partitions(tune(spark, shuffle_bytes=100 << 40)) == settings.MAX_PARTITIONS == 20_000
         assert initial_partitions(tune(spark, shuffle_bytes=1)) == 8
     finally:
         spark.conf.unset(INITIAL_PARTITIONS)
@@ -61,15 +62,26 @@ def test_shuffles_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
     assert 1000 < input_bytes(table) < 100_000 and input_bytes(table, table) == 2 * input_bytes(table)
-    monkeypatch.setattr(settings, "input_bytes", lambda *tables: 100 << 40)
+    monkeypatch.setattr(settings, "input_bytes", lambda *tables: 1 << 40)
     with settings.sized_for(table):
-        assert initial_partitions(spark) == 2 * 819_200
+        assert initial_partitions(spark) == 2 * 8192
         plan = table.groupBy("id").count()
         assert "hashpartitioning(id" in plan._jdf.queryExecution().executedPlan().toString()
-        assert "1638400" in plan._jdf.queryExecution().executedPlan().toString()
+        assert "16384" in plan._jdf.queryExecution().executedPlan().toString()
     assert initial_partitions(spark) == 8
 
 
+def test_inputs_of_unknown_size(spark, tmp_path):
+    """In-line rows and database tables come with 8 EiB, which is no size."""
+    rows = spark.createDataFrame([(1,)], "id int")
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert input_bytes(rows) == 0 and input_bytes(rows, table) == input_bytes(table) > 0
+    assert input_bytes(table.join(rows.withColumn("more", F.lit(1)), "id")) == input_bytes(table)
+    with settings.sized_for(rows, table):
+        assert initial_partitions(spark) == 8
+
+
 def test_runs_follow_the_measured_pieces(spark):
     heavy = heavy_keys(spark.range(1000).select(F.lit("h").alias("k")), "k", shares=100, min_rows=10)
     assert heavy.pieces == 100
