@@ -96,7 +96,7 @@ def moving_average(df: DataFrame, rows: int = 5, *, key: str = "customer_id", am
                           lambda w: {"moving_avg_amount": F.avg(usable(amount)).over(w)}, heavy=heavy, runs=runs)
 
 
-def _scored(df: DataFrame, amount: str, threshold: float) -> DataFrame:
+def scored(df: DataFrame, amount: str, threshold: float) -> DataFrame:
     usable = F.col("baseline_stddev") > 0
     z = F.when(usable, (F.col(amount) - F.col("baseline_avg")) / F.col("baseline_stddev"))
     far = usable & (F.abs(F.col(amount) - F.col("baseline_avg")) > F.lit(threshold) * F.col("baseline_stddev"))
@@ -110,7 +110,7 @@ def zscore_previous(df: DataFrame, rows: int = 5, threshold: float = 2.5, *, key
     framed = with_row_frame(df, key, order_by, [amount], (-rows, -1),
                             lambda w: {"baseline_avg": F.avg(amount).over(w),
                                        "baseline_stddev": F.stddev_samp(amount).over(w)}, heavy=heavy, runs=runs)
-    return _scored(framed, amount, threshold)
+    return scored(framed, amount, threshold)
 
 
 def zscore_history(df: DataFrame, threshold: float = 2.5, *, key: str = "customer_id", amount: str = "amount",
@@ -121,4 +121,4 @@ def zscore_history(df: DataFrame, threshold: float = 2.5, *, key: str = "custome
     would hold every row of a customer in one task.
     """
     baseline = aggregate_keys(df, key, min_rows=min_rows, broadcast_rows=broadcast_rows, baseline_avg=F.avg(amount), baseline_stddev=F.stddev_samp(amount))
-    return _scored(lookup_left_join(df, baseline).drop("occurrences"), amount, threshold)
+    return scored(lookup_left_join(df, baseline).drop("occurrences"), amount, threshold)

@@ -152,6 +152,13 @@ def _row_failures(df: DataFrame, rules: Sequence[Rule], as_of: Column) -> list[t
     return failed
 
 
+def with_failed_rules(df: DataFrame, rules: Sequence[Rule], *, as_of: datetime | None = None) -> DataFrame:
+    """Rows with the names of the rules they fail, on a table or a stream. Key rules need all rows at once and are refused."""
+    if keyed := [r.name for r in rules if r.kind in KEY_KINDS]:
+        raise ValueError(f"no rules of single rows: {keyed}")
+    return df.withColumn("failed_rules", _names_of(_row_failures(df, rules, _now(as_of))))
+
+
 def _marked(df: DataFrame, rules: Sequence[Rule], references: Mapping[str, DataFrame] | None,
             as_of: datetime | None) -> tuple[DataFrame, list[tuple[str, Column]]]:
     """The rows with what is needed to judge them, and a condition per rule that says who fails it."""

@@ -55,6 +55,14 @@ BATCH_METRIC = _struct(
     status=T.StringType(),
 )
 
+OBSERVED_COUNTER = _struct(
+    pipeline=T.StringType(),
+    batch_id=T.LongType(),
+    observed=T.StringType(),
+    name=T.StringType(),
+    value=T.LongType(),
+)
+
 LOAD_AUDIT = _struct(
     load_id=T.StringType(),
     table=T.StringType(),

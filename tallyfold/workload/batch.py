@@ -98,11 +98,8 @@ def partitioned_load(spark, sf_dir):
 
 
 def partitioned_load_daily(spark, sf_dir):
-    """The same by day, for the days of one year: a folder per day suits loads of few days."""
-    path = run_dir(spark, "joined")
-    year = tx_raw(spark, sf_dir).where("year(event_ts) = 1996")
-    run_batch(year, crm_raw(spark, sf_dir), path, latest_first=newest_first(), run_ts=RUN_TS)
-    return spark.read.parquet(path).drop("etl_timestamp")
+    """The same in a folder per day."""
+    return _load_joined(spark, sf_dir, False)
 
 
 def warehouse_load(spark, sf_dir):
@@ -236,7 +233,7 @@ ORACLES = {
     "json_landing": f"""WITH {CRM_CTES} SELECT * EXCLUDE (ingest_seq), DATE '1998-09-02' AS extraction_date FROM crm_std""",
     "warehouse_load": f"""WITH {TX_CTES} SELECT * FROM tx_std UNION ALL SELECT * FROM tx_std WHERE is_valid""",
     "partitioned_load": f"""{_JOINED} SELECT *, CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month FROM joined""",
-    "partitioned_load_daily": _JOINED.replace("FROM tx_raw)", "FROM tx_raw WHERE year(event_ts) = 1996)", 1) + " SELECT * FROM joined",
+    "partitioned_load_daily": _JOINED + " SELECT * FROM joined",
     "batch_joined_stamped": f"{_JOINED} SELECT transaction_id, customer_id, TIMESTAMP '2001-01-01 06:30:00' AS etl_timestamp FROM joined",
     "zone_texts": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS utc,
         strftime(o_orderdate + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S') AS tokyo FROM orders""",

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from ..operators.clean import standardise_customers, standardise_transactions
-from ..operators.schema_audit import audit_schema
+from ..operators.schema_audit import audit_schema, file_verdicts
 from ..plans.quality import store_quality, suite_results
 from ..quality.report import (last_metrics, latest_report, quality_metrics, quality_report, suite_statistics, weekly,
                               with_level, with_message)
@@ -16,7 +15,7 @@ from ..quality.rules import CONFIGURED_SUITES, CRM_SUITE, TRANSACTION_SUITE, rul
 from ..quality.suite import offending_rows, rows_with_duplicate_key, run_suite, split_valid
 from ..sinks.warehouse import files
 from ..sources.files import validation_results
-from ..workspace import move_only_file, run_dir
+from ..workspace import run_dir
 from .tables import CRM_CTES, TX_CTES, crm_raw, table, tx_raw
 
 AS_OF = datetime(2001, 1, 1)
@@ -134,40 +133,24 @@ def files_audit(spark, sf_dir):
         ["table_name", "field"])
 
 
-AVRO_TABLES = ("customer", "orders", "region")
-AVRO_TYPES = {"bigint": "long", "int": "int", "string": "string", "double": "double", "timestamp_ntz": "long"}
-AVRO_EXPECTED = {"c_custkey": "long", "c_name": "int", "c_email": "string"}
-
-
-def _avro_header(fields):
-    """The metadata block of an Avro container file, without records."""
-    def number(n):
-        n, out = n << 1, b""
-        while n > 127:
-            out, n = out + bytes([n & 127 | 128]), n >> 7
-        return out + bytes([n])
-
-    schema = json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": t} for n, t in fields]}).encode()
-    return b"Obj\x01" + number(1) + number(11) + b"avro.schema" + number(len(schema)) + schema + number(0) + b"0" * 16
-
-
-def avro_audit(spark, sf_dir):
-    """Avro files with the schemas of given tables, one broken file among them, and a format that is not supported."""
-    root = run_dir(spark, "avro")
-    headers = [(name, _avro_header([(f.name, AVRO_TYPES[f.dataType.simpleString()]) for f in table(spark, sf_dir, name).schema]))
-               for name in AVRO_TABLES]
-    for name, header in [*headers, ("broken", b"no container")]:
-        # The text writer writes bytes as they are.
-        spark.createDataFrame([(header,)], "value binary").select(F.col("value").cast("string")).coalesce(1).write.text(f"{root}/{name}")
-        move_only_file(spark, f"{root}/{name}", f"{root}/{name}.avro")
-    audit = audit_schema(spark, root, AVRO_EXPECTED, "avro").select(
-        F.regexp_extract("path", r"/([^/]+)\.avro", 1).alias("table_name"), "field", "expected", "actual", "verdict")
+def landed_audit(spark, sf_dir):
+    """Customers landed by nation, one file or more each, as the schema drifted: some nations hold keys as text, some
+    have no phone. Every file is read by a task; a nation is valid if all its files are. A further row says that an unknown format is refused."""
+    root, customers = run_dir(spark, "landed"), table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey"))
+    drifts = (lambda rows: rows, lambda rows: rows.withColumn("c_custkey", F.col("c_custkey").cast("string")), lambda rows: rows.drop("c_phone"))
+    for number, drift in enumerate(drifts):
+        part = customers.where(F.pmod("nation", F.lit(len(drifts))) == number)
+        drift(part).hint("rebalance", "nation").write.mode("append").partitionBy("nation").parquet(root)
+    nation = F.regexp_extract("path", r"/nation=([^/]+)/", 1).cast("long").alias("nation")
+    audit = audit_schema(spark, root, CUSTOMER_FIELDS)
+    valid = file_verdicts(audit).groupBy(nation).agg(F.bool_and("valid").alias("valid"))
+    found = audit.select(nation, "field", "expected", "actual", "verdict").distinct().join(valid, "nation")
     try:
-        audit_schema(spark, root, AVRO_EXPECTED, "orc")
+        audit_schema(spark, root, CUSTOMER_FIELDS, "orc")
         refused = "no"
     except ValueError:
         refused = "yes"
-    return audit.unionByName(spark.createDataFrame([("orc", None, None, None, f"refused: {refused}")], audit.schema))
+    return found.unionByName(spark.createDataFrame([(None, "orc", None, None, f"refused: {refused}", None)], found.schema))
 
 
 QUERIES = {
@@ -193,7 +176,7 @@ QUERIES = {
     "quality_stored": stored_report,
     "quality_last_metrics": newest_metrics,
     "schema_audit": files_audit,
-    "schema_audit_avro": avro_audit,
+    "schema_audit_landed": landed_audit,
 }
 
 
@@ -327,19 +310,21 @@ _TABLES = ("region nation customer supplier part orders lineitem events document
 _ACTUAL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name AS field, column_type FROM (DESCRIBE {t})" for t in _TABLES)
 _EXPECTED = ", ".join(f"('{field}', '{dtype}')" for field, dtype in CUSTOMER_FIELDS.items())
 
-_AVRO = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name AS field, column_type FROM (DESCRIBE {t})" for t in AVRO_TABLES)
-
 ORACLES = {
-    "schema_audit_avro": f"""WITH actual AS (
-        SELECT table_name, field, CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
-          WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'long' END AS actual FROM ({_AVRO})),
-      wanted AS (SELECT table_name, field, expected FROM (SELECT DISTINCT table_name FROM actual),
-        (VALUES ('c_custkey', 'long'), ('c_name', 'int'), ('c_email', 'string')) v(field, expected))
-      SELECT coalesce(w.table_name, a.table_name) AS table_name, coalesce(w.field, a.field) AS field, expected, actual,
-        CASE WHEN actual IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra' WHEN actual = expected THEN 'ok'
-          ELSE 'mismatch' END AS verdict
-      FROM wanted w FULL OUTER JOIN actual a ON w.table_name = a.table_name AND w.field = a.field
-      UNION ALL VALUES ('broken', NULL, NULL, NULL, 'unreadable'), ('orc', NULL, NULL, NULL, 'refused: yes')""",
+    "schema_audit_landed": f"""WITH fields AS (
+        SELECT column_name AS field, CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'VARCHAR' THEN 'string'
+          ELSE lower(column_type) END AS arrow_type FROM (DESCRIBE customer)),
+      nations AS (SELECT DISTINCT c_nationkey AS nation FROM customer),
+      actual AS (SELECT nation, field, CASE WHEN nation % 3 = 1 AND field = 'c_custkey' THEN 'string' ELSE arrow_type END AS actual
+        FROM nations, fields WHERE NOT (nation % 3 = 2 AND field = 'c_phone')),
+      wanted AS (SELECT nation, field, expected FROM nations, (VALUES {_EXPECTED}) v(field, expected)),
+      judged AS (SELECT coalesce(w.nation, a.nation) AS nation, coalesce(w.field, a.field) AS field, expected, actual,
+          CASE WHEN actual IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra'
+            WHEN contains(lower(actual), lower(expected)) THEN 'ok' ELSE 'mismatch' END AS verdict
+        FROM wanted w FULL OUTER JOIN actual a ON w.nation = a.nation AND w.field = a.field)
+      SELECT CAST(nation AS BIGINT) AS nation, field, expected, actual, verdict,
+        bool_and(verdict IN ('ok', 'extra')) OVER (PARTITION BY nation) AS valid FROM judged
+      UNION ALL VALUES (NULL, 'orc', NULL, NULL, 'refused: yes', NULL)""",
     "schema_audit": f"""WITH actual AS (
         SELECT *, CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'VARCHAR' THEN 'string'
           WHEN 'TIMESTAMP' THEN 'timestamp[us]' WHEN 'FLOAT[]' THEN 'list<element: float>'

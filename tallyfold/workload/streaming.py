@@ -218,7 +218,7 @@ _LANDED = f"""WITH {STREAM_CTE} SELECT CASE WHEN bad THEN 'rejected' ELSE 'accep
     CASE WHEN NOT bad THEN amount END AS amount, CASE WHEN NOT bad THEN event_ts END AS event_ts,
     CASE WHEN bad THEN '{{bad ' || substr(transaction_id, 2) END AS value
     FROM (SELECT *, CAST(substr(transaction_id, 2) AS BIGINT) % 101 = 0 AS bad FROM tx_stream)"""
-_SLICED = f"""SELECT *, CAST((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM main.events)) * {SLICES}
+SLICED = f"""SELECT *, CAST((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM main.events)) * {SLICES}
     // ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM main.events) + 1) AS BIGINT) AS s FROM main.events"""
 
 ORACLES = {
@@ -229,10 +229,10 @@ ORACLES = {
     "stream_landing_two_runs": _LANDED,
     "stream_features_two_runs": _FLAGGED,
     "stream_restart": _CLOSED,
-    "stream_late_rows": f"""WITH events AS (SELECT * EXCLUDE (s) FROM ({_SLICED}) WHERE s <> 1)
+    "stream_late_rows": f"""WITH events AS (SELECT * EXCLUDE (s) FROM ({SLICED}) WHERE s <> 1)
         SELECT * FROM ({_FLAGGED}) WHERE window_end <= (SELECT max(ts) - INTERVAL '1 minute' FROM events)""",
     "stream_progress": f"""SELECT 'events' AS pipeline, s AS batch_id, count(*) AS records, false AS latency_alert
-        FROM ({_SLICED}) GROUP BY s""",
+        FROM ({SLICED}) GROUP BY s""",
     "stream_sink": f"""WITH {STREAM_CTE} SELECT transaction_id, customer_id, amount, event_ts AS "timestamp" FROM tx_stream""",
     "stream_features": _FLAGGED,
     "stream_features_final": _CLOSED,

@@ -72,12 +72,3 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made."""
     store, place = _folder(spark, path)
     store.delete(place, True)
-
-
-def move_only_file(spark: SparkSession, folder: str, path: str) -> None:
-    """Give the one data file of a written folder a name of its own, and drop the folder."""
-    store, place = _folder(spark, folder)
-    found = [e.getPath() for e in store.listStatus(place) if not e.getPath().getName().startswith(("_", "."))]
-    if len(found) != 1 or not store.rename(found[0], _folder(spark, path)[1]):
-        raise OSError(f"{folder} does not hold one file that can be moved")
-    store.delete(place, True)
