@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_customers, clean_transactions
 from ..operators.enrich import KEY, join_customers
 from ..operators.skew import HeavyKeys, heavy_keys
-from ..settings import sized_for
+from ..settings import SHUFFLED_PER_STORED, TASK_BYTES, input_bytes, sized_for
 from ..sinks.layout import save_partitioned
 from ..workspace import scratch
 
@@ -39,7 +39,9 @@ def run_batch(transactions: DataFrame, customers: DataFrame, path: str, *, run_t
     with sized_for(transactions, customers), scratch(transactions.sparkSession):
         joined = joined_transactions(transactions, customers, run_ts=run_ts, latest_first=latest_first)
         if not monthly:
-            return save_partitioned(joined, path)
+            # The join keeps one row per transaction, so what is stored is about as large as what is read.
+            stored = SHUFFLED_PER_STORED * input_bytes(transactions, customers, unknown=TASK_BYTES)
+            return save_partitioned(joined, path, small=stored <= TASK_BYTES)
         month = F.trunc("transaction_date", "month")
         return save_partitioned(joined.withColumn("transaction_month", month), path, "transaction_month",
                                 ("customer_id", "transaction_date"))

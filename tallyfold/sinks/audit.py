@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOAD_AUDIT
-from ..workspace import remove_folder
+from ..workspace import move_folder, remove_folder, subfolders
 from .warehouse import Target, save
 
 
@@ -54,3 +54,28 @@ def check_bad_records(rejected: DataFrame, limit: int = 5) -> None:
     """Fail when more than ``limit`` rows were rejected; reads no further than needed."""
     if rejected.limit(limit + 1).count() > limit:
         raise TooManyBadRecords(f"more than {limit} rejected records")
+
+
+def save_within_limit(df: DataFrame, bad: Column, path: str, limit: int = 5, mode: str = "append") -> int:
+    """Write the rows that are not ``bad`` as Parquet and return their number, in one pass over ``df``.
+
+    Bad rows are counted by the tasks that write. With more than ``limit`` of them nothing of the load is kept: it is
+    written to a folder beside ``path`` and moved below it, as a folder of its own, only if the count allows.
+    ``mode`` "overwrite" removes the loads before it, after the new one is in place.
+    """
+    spark, seen = df.sparkSession, Observation()
+    is_bad = F.coalesce(bad, F.lit(False))
+    load, waiting = f"load={uuid.uuid4().hex}", f"{path}.waiting"
+    try:
+        (df.observe(seen, F.count_if(is_bad).alias("bad"), F.count_if(~is_bad).alias("rows")).where(~is_bad)
+         .write.parquet(f"{waiting}/{load}"))
+        counted = seen.get
+        if counted["bad"] > limit:
+            raise TooManyBadRecords(f"{counted['bad']} rejected records, {limit} are allowed")
+        earlier = subfolders(spark, path)
+        move_folder(spark, f"{waiting}/{load}", f"{path}/{load}")
+        for name in earlier if mode == "overwrite" else ():
+            remove_folder(spark, f"{path}/{name}")
+        return counted["rows"]
+    finally:
+        remove_folder(spark, f"{waiting}/{load}")

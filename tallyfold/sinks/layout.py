@@ -8,19 +8,16 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..settings import SHUFFLED_PER_STORED, TASK_BYTES, input_bytes
-
 
 def save_partitioned(df: DataFrame, path: str, by: str = "transaction_date",
-                     cluster_by: Sequence[str] = ("customer_id",)) -> int:
+                     cluster_by: Sequence[str] = ("customer_id",), small: bool = False) -> int:
     """Replace the values of ``by`` present in ``df``, leaving other folders alone; return the row count.
 
     Rebalancing groups the rows of a folder into few files, and unlike a plain
-    repartition it cuts a folder that is too large for one task. A table that one task could hold is spread over the cores
-    instead, so that many small folders are written side by side.
+    repartition it cuts a folder that is too large for one task. A ``small`` table, which one task could hold, is spread over
+    the cores instead, so that its many small folders are written side by side.
     """
     seen = Observation()
-    small = SHUFFLED_PER_STORED * input_bytes(df, unknown=TASK_BYTES) <= TASK_BYTES
     grouped = df.repartition(df.sparkSession.sparkContext.defaultParallelism, by) if small else df.hint("rebalance", by)
     # Counted after the shuffle, in the writing tasks: shuffle tasks may run again when an executor is lost.
     (grouped.sortWithinPartitions(by, *cluster_by)

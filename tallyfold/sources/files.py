@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, StructType
 
 from ..schemas import VALIDATION_RESULT
@@ -48,12 +49,29 @@ def json_halves(spark: SparkSession, path: str, schema: StructType, multi_line:
             parsed.where(F.col("_records").isNull()).select("value"))
 
 
-def validation_results(spark: SparkSession, path: str) -> DataFrame:
-    """Statistics of every ``.json`` validation result under a folder, missing values as defaults."""
-    raw = read_files(spark, path, "json", VALIDATION_RESULT, ".json", recursive=True, multiLine=True)
+def _statistics(raw: DataFrame, *more: str) -> DataFrame:
     stats = [F.coalesce(F.col(f"statistics.{f.name}"), F.lit(0).cast(f.dataType)).alias(f.name)
              for f in VALIDATION_RESULT["statistics"].dataType.fields]
-    return raw.select(F.coalesce("meta.expectation_suite_name", F.lit(UNNAMED_SUITE)).alias("suite"), *stats)
+    return raw.select(F.coalesce("meta.expectation_suite_name", F.lit(UNNAMED_SUITE)).alias("suite"), *stats, *more)
+
+
+def validation_results(spark: SparkSession, path: str) -> DataFrame:
+    """Statistics of every ``.json`` validation result under a folder, missing values as defaults."""
+    return _statistics(read_files(spark, path, "json", VALIDATION_RESULT, ".json", recursive=True, multiLine=True))
+
+
+def start_validation_results(spark: SparkSession, path: str, table: str, checkpoint: str, every: str | None = "1 minute",
+                             max_files: int = 1000) -> StreamingQuery:
+    """``validation_results`` of files that the checkpoint has not seen, appended to ``table``; each file is read once.
+
+    ``path`` may hold wildcards for folders. The rows also have the ``file`` they come from.
+    """
+    raw = (spark.readStream.schema(VALIDATION_RESULT).option("multiLine", True).option("recursiveFileLookup", True)
+           .option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", max_files).json(path))
+    rows = _statistics(raw.withColumn("file", F.col("_metadata.file_path")), "file")
+    writer = rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
 
 
 def on_day(df: DataFrame, column: str, day: date) -> DataFrame:

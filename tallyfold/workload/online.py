@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.alerts import AnomalyLimits
+from ..operators.clean import standardise_transactions
 from ..operators.features import flag_anomalies
 from ..operators.panes import micros, pane_window_features, pane_window_runs
-from ..quality.rules import Rule
+from ..quality.report import suite_statistics
+from ..quality.rules import CRM_SUITE, TRANSACTION_SUITE, Rule
+from ..quality.suite import run_suite
+from ..sinks.audit import TooManyBadRecords, save_within_limit
+from ..sources.files import start_validation_results
 from ..streaming.features import FeatureSettings, start_appends, state_settings
 from ..streaming.gate import COUNTERS, rejection_alerts, start_gate
 from ..streaming.late import start_late_split
@@ -15,8 +20,9 @@ from ..streaming.progress import ProgressLog
 from ..streaming.stateful import history_moments, moving_average_state, zscore_stream
 from ..workspace import run_dir
 from .features import ORACLES as TABLE_ORACLES, rounded
+from .quality import STATISTICS, crm, tx
 from .streaming import SLICED, SLICES, Feed, transactions, without_zone
-from .tables import STREAM_CTE, tx_stream
+from .tables import STREAM_CTE, TX_CTES, tx_raw, tx_stream
 
 SCORES = ("baseline_avg", "baseline_stddev", "z_score")
 DAY_LIMITS = AnomalyLimits(average=60.0, count=6, stddev=55.0)
@@ -111,7 +117,37 @@ def day_by_minute(spark, sf_dir):
         F.max("rolling_avg_amount").alias("highest_avg"), F.max("stddev_amount").alias("highest_stddev")), "highest_avg", "highest_stddev")
 
 
+def results_by_file(spark, sf_dir):
+    """Results of one suite, then of another: the second run reads only the file that came after the first run."""
+    root, out, checkpoint = run_dir(spark, "validations"), run_dir(spark, "results"), run_dir(spark, "results-checkpoint")
+    counts = [0]
+    for name, rules, rows in (("crm", CRM_SUITE, crm), ("transactions", TRANSACTION_SUITE, tx)):
+        stats = suite_statistics(run_suite(rows(spark, sf_dir), name, rules))
+        fields = [c for c in stats.columns if c != "suite"]
+        (stats.select(F.struct(F.col("suite").alias("expectation_suite_name")).alias("meta"), F.struct(*fields).alias("statistics"))
+         .coalesce(1).write.json(f"{root}/{name}/latest"))
+        start_validation_results(spark, root, out, checkpoint, every=None).awaitTermination()
+        counts.append(spark.read.parquet(out).count())
+    new = [b - a for a, b in zip(counts, counts[1:])]
+    return spark.read.parquet(out).drop("file").withColumn("rows_of_its_run", F.when(F.col("suite") == "crm", new[0]).otherwise(new[1]))
+
+
+def load_within_limit(spark, sf_dir):
+    """Three loads into one table: refused for its bad rows, accepted, and accepted in place of what is there."""
+    path, rows = run_dir(spark, "limited"), standardise_transactions(tx_raw(spark, sf_dir))
+    bad, outcome = ~F.col("is_valid"), []
+    for limit, mode in ((0, "append"), (1 << 40, "append"), (1 << 40, "overwrite")):
+        try:
+            outcome.append(save_within_limit(rows, bad, path, limit, mode))
+        except TooManyBadRecords:
+            outcome.append(None)
+    written = spark.read.parquet(path).drop("load").withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+    return written.withColumns({f"load_{i}": F.lit(n).cast("bigint") for i, n in enumerate(outcome, 1)})
+
+
 QUERIES = {
+    "validation_results_by_file": results_by_file,
+    "load_within_limit": load_within_limit,
     "stream_zscore_history": zscores,
     "stream_zscore_after_history": zscores_after_history,
     "stream_moving_average_5_by_state": moving_average_by_state,
@@ -144,6 +180,9 @@ _LATE = f"""WITH e AS ({SLICED}), latest AS (SELECT s, epoch_us(max(ts)) AS m FR
     CASE WHEN closed = 2 THEN 'late' ELSE 'in time' END AS reason FROM n"""
 
 ORACLES = {
+    "validation_results_by_file": f"{STATISTICS} SELECT *, 1 AS rows_of_its_run FROM statistics",
+    "load_within_limit": f"""WITH {TX_CTES}, n AS (SELECT count(*) AS n FROM tx_std WHERE is_valid)
+        SELECT tx_std.*, CAST(NULL AS BIGINT) AS load_1, n AS load_2, n AS load_3 FROM tx_std, n WHERE is_valid""",
     "stream_zscore_history": _ZSCORES,
     "stream_zscore_after_history": f"""SELECT z.* FROM ({_ZSCORES}) z
         JOIN (SELECT 'E' || CAST(event_id AS VARCHAR) AS transaction_id FROM ({SLICED}) WHERE s > 2) USING (transaction_id)""",

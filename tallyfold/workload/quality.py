@@ -265,7 +265,7 @@ _TX_RESULTS = renumbered(rule_sql("transactions", "tx_counted", TX_ROWS), (4, 5,
     "transactions", [(1, "column_exists_transaction_id", "transaction_id", True),
                      (2, "column_exists_customer_id", "customer_id", True), (3, "column_exists_amount", "amount", True),
                      (6, "of_type_amount", "amount", True)])
-_STATISTICS = f"""{_WITH}, results AS ({_CRM_RESULTS} UNION ALL BY NAME {_TX_RESULTS}),
+STATISTICS = f"""{_WITH}, results AS ({_CRM_RESULTS} UNION ALL BY NAME {_TX_RESULTS}),
 statistics AS (SELECT suite, count(*) AS evaluated_expectations,
     count(*) FILTER (success) AS successful_expectations, count(*) FILTER (NOT success) AS unsuccessful_expectations,
     100.0 * count(*) FILTER (success) / count(*) AS success_percent FROM results GROUP BY suite)"""
@@ -361,13 +361,13 @@ ORACLES = {
         WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM crm_std)""",
     "quality_offenders": f"""{_WITH} SELECT {_TX_COLUMNS}, {failed_sql(_FAILED)} AS failed_rules FROM tx_counted
         WHERE failed_rules <> ''""",
-    "quality_report": f"""{_STATISTICS} SELECT suite, success_percent, evaluated_expectations, unsuccessful_expectations,
+    "quality_report": f"""{STATISTICS} SELECT suite, success_percent, evaluated_expectations, unsuccessful_expectations,
         {level_sql('success_percent')} AS level FROM statistics
         UNION ALL SELECT 'TOTAL', global_success_rate, total_checks, total_failures, {level_sql('global_success_rate')}
         FROM ({_METRICS} FROM statistics)""",
-    "quality_level": f"""{_STATISTICS} SELECT *, {level_sql('global_success_rate')} AS level
+    "quality_level": f"""{STATISTICS} SELECT *, {level_sql('global_success_rate')} AS level
         FROM ({_METRICS} FROM statistics)""",
-    "quality_stored": f"""{_STATISTICS} SELECT *, {level_sql('global_success_rate')} AS level, 'run-1' AS run_id
+    "quality_stored": f"""{STATISTICS} SELECT *, {level_sql('global_success_rate')} AS level, 'run-1' AS run_id
         FROM ({_METRICS} FROM statistics)""",
     "quality_last_metrics": f"""{_DAILY} {_METRICS} FROM statistics
         WHERE run_ts = (SELECT max(run_ts) FROM statistics)""",
@@ -383,5 +383,5 @@ ORACLES = {
         FROM (SELECT *, {level_sql('global_success_rate')} AS level FROM (
           {_METRICS}, run_ts, strftime(run_ts, '%Y%m%d') AS run_id FROM statistics GROUP BY run_ts)
           ORDER BY run_ts DESC LIMIT 1)""",
-    "validation_results_scan": f"{_STATISTICS} SELECT * FROM statistics",
+    "validation_results_scan": f"{STATISTICS} SELECT * FROM statistics",
 }

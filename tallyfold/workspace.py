@@ -72,3 +72,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made."""
     store, place = _folder(spark, path)
     store.delete(place, True)
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    """Rename a folder that this library made; the parent of the new name is made too."""
+    store, place = _folder(spark, folder)
+    target = _folder(spark, to)[1]
+    store.mkdirs(target.getParent())
+    if not store.rename(place, target):
+        raise OSError(f"{folder} could not be moved to {to}")

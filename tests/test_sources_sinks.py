@@ -10,10 +10,12 @@ from tallyfold.plans.quality import store_quality
 from tallyfold.quality.rules import Rule
 from tallyfold.schemas import LOAD_AUDIT, RAW_CUSTOMER
 from tallyfold.sinks import warehouse
-from tallyfold.sinks.audit import TooManyBadRecords, audited_save, check_bad_records, prune_audit, read_audit, within_retention
+from tallyfold.sinks.audit import (TooManyBadRecords, audited_save, check_bad_records, prune_audit, read_audit, save_within_limit,
+                                   within_retention)
 from tallyfold.sinks.keyed_log import KeyedLog
 from tallyfold.sinks.layout import land_extract, save_partitioned
-from tallyfold.sources.files import day_before, file_listing, json_halves, json_records, on_day, read_files, validation_results
+from tallyfold.sources.files import (day_before, file_listing, json_halves, json_records, on_day, read_files,
+                                     start_validation_results, validation_results)
 from tallyfold.sources.jdbc import JdbcTable, split_options
 from tallyfold.sources.kafka import kafka_options
 from tallyfold.sources.spec import jdbc_table, read_source
@@ -224,3 +226,38 @@ def test_store_quality(spark, tmp_path):
     reports = spark.read.parquet(str(tmp_path / "quality_reports")).orderBy("run_id").collect()
     assert [(r.run_id, r.global_success_rate, r.total_checks, r.total_failures, r.level) for r in reports] == [
         (run, 75.0, 3, 1, "Critique") for run in ("r1", "r2")]
+
+
+def test_too_many_bad_records_leave_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows, bad = spark.range(20), F.col("id") % 4 == 0
+    assert save_within_limit(rows, bad, path, limit=5) == 15
+    with pytest.raises(TooManyBadRecords):
+        save_within_limit(spark.range(100), bad, path, limit=5)
+    assert spark.read.parquet(path).count() == 15 and list((tmp_path / "t.waiting").glob("load=*")) == []
+    assert save_within_limit(spark.range(3), F.lit(None).cast("boolean"), path) == 3
+    assert spark.read.parquet(path).count() == 18
+    assert save_within_limit(spark.range(7), bad, path, mode="overwrite") == 5
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 5, 6]
+
+
+def test_validation_results_are_read_once(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def result(name, evaluated):
+        file = source / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text('{"meta": {"expectation_suite_name": "%s"},\n "statistics": {"evaluated_expectations": %d}}' % (file.parent.name, evaluated))
+
+    def run():
+        start_validation_results(spark, str(source), out, checkpoint, every=None).awaitTermination()
+        return sorted((r.suite, r.evaluated_expectations, r.successful_expectations) for r in spark.read.parquet(out).collect())
+
+    result("a/1.json", 3)
+    result("b/deep/1.json", 4)
+    (source / "a" / "note.txt").write_text("no result")
+    assert run() == [("a", 3, 0), ("deep", 4, 0)] and run() == [("a", 3, 0), ("deep", 4, 0)]
+    result("a/2.json", 5)
+    result("a/1.json", 3)  # an old name is an old file
+    assert run() == [("a", 3, 0), ("a", 5, 0), ("deep", 4, 0)] == sorted(
+        (r.suite, r.evaluated_expectations, r.successful_expectations) for r in validation_results(spark, str(source)).collect())
