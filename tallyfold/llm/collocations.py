@@ -29,6 +29,7 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +50,7 @@ SHARD_PHRASES = 250_000
 TRIES_AT_ONCE = 3
 # Entries a task sums up before it passes them on.
 FLUSH = 1_000_000
+REMEMBERED_WORDS = 600_000
 _SALTS = 64
 # Holes tried for a state's words when a trie is laid out, and states laid out before the holes are listed anew.
 _TRIES, _REFRESH = 256, 64
@@ -58,6 +60,19 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 255 if c in b".,;:
 _BREAK_HASH = np.uint64(WordHashes()[_BREAK])
 
 
+class _Remembered(WordHashes):
+    """Hashes of more words, kept by a worker for all its tasks."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_WORDS = _Remembered()
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Words, with ``_BREAK`` at the end of every piece."""
     return (text or b"").translate(_TABLE).replace(_BREAK, b" \xff ").split() + [_BREAK]
@@ -112,7 +127,7 @@ def _phrase_hashes(words: list[bytes], lang: str, size: int, known: WordHashes)
 def hashed(phrases: DataFrame, size: int) -> DataFrame:
     """``phrases`` (``lang, phrase, f``) with the hash ``h`` that tasks give the phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = _WORDS
         for batch in batches:
             h = np.empty(batch.num_rows, np.int64)
             langs = np.array(batch["lang"].to_pylist(), object)
@@ -129,7 +144,8 @@ def hashed(phrases: DataFrame, size: int) -> DataFrame:
 def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Equal rows of a two-column array as one, with the sum of their counts."""
     rows, n = np.concatenate(pairs), np.concatenate(counts)
-    order = np.lexsort((rows[:, 1], rows[:, 0]))
+    # One sort by both columns mixed; should two rows mix alike, equal ones may stay apart, and Spark adds them up.
+    order = np.argsort(mixed(rows[:, 0]) ^ rows[:, 1])
     rows, n = rows[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])) if len(rows) else np.empty(0, np.int64)
     return rows[first], np.add.reduceat(n, first) if len(first) else n
@@ -138,7 +154,7 @@ def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 def _neighbours(shared, size: int, part: int, parts: int):
     """A task: pairs of neighbouring phrases of ``size`` words that may both be frequent, with counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, known = shared.value, WordHashes()
+        frequent, known = shared.value, _WORDS
         pairs, counts, waiting = [], [], 0
         for lang, words in _texts(batches):
             h, whole = _phrase_hashes(words, lang, size, known)
@@ -296,9 +312,8 @@ class Trie:
             self.check = np.concatenate([self.check, np.full(more, -1)])
             self.ids = np.concatenate([self.ids, np.full(more, -1)])
 
-    def reached(self, known: dict[bytes, int], words: list[bytes]) -> Iterator[np.ndarray]:
-        """The accepting states that the positions of the words reach, level by level."""
-        symbol = np.fromiter(map(known.get, words, repeat(0)), np.int64, len(words))
+    def reached(self, symbol: np.ndarray) -> Iterator[np.ndarray]:
+        """The accepting states that the positions of a text reach, level by level; a text is its words' numbers."""
         at = np.flatnonzero(symbol)
         state = np.zeros(len(at), np.int64)
         for _ in range(self.levels):
@@ -311,15 +326,42 @@ class Trie:
             at, state = at[inside], state[inside]
 
 
+class Numbered:
+    """Words of several tries, looked up once: a word's place here, and per trie the number it has there."""
+
+    def __init__(self, tries: list[Trie]):
+        self.places: dict[str, dict[bytes, int]] = {}
+        total, found = 1, []
+        for trie in tries:
+            numbers = []
+            for lang, words in trie.known_words().items():
+                places = self.places.setdefault(lang, {})
+                for word, number in words.items():
+                    if word not in places:
+                        places[word] = total
+                        total += 1
+                    numbers.append((places[word], number))
+            found.append(np.array(numbers, np.int64).reshape(-1, 2))
+        self.of_trie = [np.zeros(total, np.int64) for _ in tries]
+        for table, pairs in zip(self.of_trie, found):
+            table[pairs[:, 0]] = pairs[:, 1]
+
+    def texts(self, lang: str, words: list[bytes]) -> Iterator[np.ndarray]:
+        """The words' numbers in each trie, 0 for those it does not have."""
+        places = np.fromiter(map(self.places.get(lang, {}).get, words, repeat(0)), np.int64, len(words))
+        for table in self.of_trie:
+            yield table[places]
+
+
 def _counted(shared: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: list[Trie] = [pickle.loads(zstandard.decompress(s.value)) for s in shared]
-        known = [trie.known_words() for trie in tries]
+        numbered = Numbered(tries)
         totals = [np.zeros(len(trie.names), np.int64) for trie in tries]
         for lang, words in _texts(batches):
-            for trie, of_langs, total in zip(tries, known, totals):
-                if lang in of_langs:
-                    for states in trie.reached(of_langs[lang], words):
+            if lang in numbered.places:
+                for trie, symbol, total in zip(tries, numbered.texts(lang, words), totals):
+                    for states in trie.reached(symbol):
                         total += np.bincount(trie.ids[states], minlength=len(total))
         for trie, total in zip(tries, totals):
             at = np.flatnonzero(total)
