@@ -100,7 +100,8 @@ def zscore_stream(transactions: DataFrame, threshold: float = 2.5, *, key: str =
     """Each transaction with ``z_score`` and ``z_flag`` against all the customer's transactions before it.
 
     ``initial`` has a customer's ``n, mean, m2`` (see ``history_moments``). NaN counts as missing; a first or second amount has
-    no deviation to be measured by. Customers without rows for ``idle_ms`` begin anew.
+    no deviation to be measured by. Customers without rows for ``idle_ms`` begin anew; give such a query an interval trigger, as
+    one that runs over what is there now waits for times to pass and does not end.
     """
     judged = _applied(transactions, _Moments, ("baseline_avg", "baseline_stddev"), key, order_by, amount, initial, idle_ms)
     return scored(judged, amount, threshold)
