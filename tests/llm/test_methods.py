@@ -94,7 +94,20 @@ def test_components(spark):
     assert got == ({i: 1 for i in range(2, 31)} | {101: 100, 102: 100} | {200 + i: 200 for i in range(1, 40)})
 
 
-def test_large_regions_go_through_pivots_and_cells(spark, monkeypatch):
+def test_linked_blocks():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60))).astype(np.uint64) for _ in range(40)]
+    got = jaccard_join.block_links([x.tobytes() for x in sets[:15]], [x.tobytes() for x in sets[15:]])
+    for i, x in enumerate(sets[:15]):
+        for j, y in enumerate(sets[15:]):
+            common = len(np.intersect1d(x, y))
+            assert got[i, j] == (100 * common >= 75 * (len(x) + len(y) - common))
+
+
+@pytest.mark.parametrize("members", [512, 3])
+def test_large_regions_go_through_pivots_and_cells(spark, monkeypatch, members):
+    monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", members)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 8 * members)
     monkeypatch.setattr(jaccard_join, "LEAF", 2)
     monkeypatch.setattr(jaccard_join, "FREQUENT", 10**9)
     common = [f"c{i}" for i in range(40)]
