@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workspace import remove_folder, run_dir
 from .components import components, stored
 from .text import WordHashes, byte_slices, slices, utf8, window_hashes
 
@@ -251,8 +252,10 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     ids = kept.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_KEYS
     source = docs.join(F.broadcast(ids), "doc_id", "left_semi") if few else docs
-    rows = stored(source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
-        _prefixes(shared), "token bigint, doc_id bigint, n int, at int, late tinyint"), "prefixes")
+    all_rows = run_dir(docs.sparkSession, "prefixes")
+    source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
+        _prefixes(shared), "token bigint, doc_id bigint, n int, at int, late tinyint").write.parquet(all_rows)
+    rows = docs.sparkSession.read.schema("token bigint, doc_id bigint, n int, at int, late tinyint").parquet(all_rows)
     # The smaller document of a linked pair meets the other among the first seventh of its shingles.
     tokens = stored(rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max(F.expr(SHORT)).alias("short"))
                     .where("a < b and short").select("token"), "shared")
@@ -260,6 +263,7 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     if repeated or not few:
         rows = rows.join(kept.withColumn("n", F.col("n").cast("int")), ["doc_id", "n"])
     rows = stored(rows, "members")
+    remove_folder(docs.sparkSession, all_rows)
     # A document in several rows is one member: sums by exclusive-or would cancel it. Without such rows nothing has to move.
     if repeated:
         rows = stored(rows.distinct(), "members")
@@ -415,7 +419,7 @@ def cell_pairs(docs: DataFrame, active: DataFrame) -> DataFrame:
     A member's home is the pivot with the least upper bound of its distance; a partner at the radius or nearer has its
     home there too, or at a pivot no further from the partner than twice the radius more than its own home. Homes of
     one band of sizes and partners of this and the next bands are cut into blocks of bounded size, and every block of homes meets every
-    block of partners in a group of its own, which gives out a forest of links: no pair is a row before it is a link.
+    block of partners in a group of its own (a region whose cells do not halve the work is one cell), which gives out a forest of links: no pair is a row before it is a link.
     """
     rounding = 1e-9
     home = F.expr("array_position(distances.high, array_min(distances.high))").cast("int")
@@ -425,7 +429,16 @@ def cell_pairs(docs: DataFrame, active: DataFrame) -> DataFrame:
         F.col("d.low") - F.array_min("distances.high") <= 2 * RADIUS + rounding).select(
         "token", "doc_id", "n", "component", (F.col("p") + 1).alias("cell"),
         F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.lit(False).alias("home"))
-    members = stored(here.unionByName(there), "cells")
+    # A region that its cells do not divide stays one cell: each document goes out once as the smaller and twice as the larger of a pair.
+    share = here.groupBy("token", "cell").agg(F.count("*").cast("double").alias("homes")).join(
+        there.groupBy("token", "cell").agg((F.countDistinct("doc_id", "n")).cast("double").alias("others")), ["token", "cell"])
+    whole = stored(share.groupBy("token").agg(F.sum(F.col("homes") * F.col("others")).alias("met"), F.sum("homes").alias("m"))
+                   .where("2 * met > m * m").select("token"), "whole")
+    one = active.join(_if_small(whole), "token").select("token", "doc_id", "n", "component", F.lit(0).alias("cell"))
+    smaller = one.withColumn("band", band).withColumn("home", F.lit(True))
+    larger = one.withColumn("band", F.explode(F.array(band - 1, band))).withColumn("home", F.lit(False))
+    apart = here.unionByName(there).join(_if_small(whole), "token", "left_anti")
+    members = stored(apart.unionByName(smaller).unionByName(larger), "cells")
     blocks = lambda home: F.ceil(F.greatest(F.sum(F.when(F.col("home") == home, F.col("n"))) / BLOCK_SHINGLES,
                                             F.count_if(F.col("home") == home) / BLOCK_MEMBERS))
     cells = stored(members.groupBy("token", "cell", "band").agg(
