@@ -14,15 +14,14 @@ Regions with equal members are one region.
 *Document pivots.* In every region that is left, the document with most shared shingles is the pivot. Each document is first compared with
 the one pivot it meets in most regions: documents within 1/4 of a pivot are linked to it, and so to each other,
 and no pair among them is needed. A region whose documents are all in one component is done. Of the others, those of at most
-``LEAF`` documents are the leaves, whose pairs of different components are compared. Larger ones around one central document are one region. There all documents are
-compared with up to ``ABREAST`` central documents, the pivots of the region, in each of ``PIVOTS`` rounds. Then
+``LEAF`` documents are the leaves, whose pairs of different components are compared. In larger ones all documents are
+compared with the pivot, and the next pivot is the most central document not linked to one, for up to ``PIVOTS`` rounds. Then
 a document has its home at its nearest pivot and is copied
 into each cell that the triangle inequality leaves open to a partner: distances to that
-pivot and to the home differ by no more than twice the radius. Cells are cut into blocks of bounded size, blocks meet in tasks of
-their own, and give out only links between components, which are compared exactly.
+pivot and to the home differ by no more than twice the radius. Cells are joined, again only pairs of
+different components whose distances to every pivot differ by the radius at most, and the pairs compared exactly.
 
-Equal sets are one member from the start. Two documents share a first shingle in the common order, and at that place enough
-must follow in both for a link; pairs that meet elsewhere are not needed, and the smaller document of a pair meets the other among its first seventh. No region is gathered in a task: pivots are minima, members meet them in joins
+Equal sets are one member from the start. No region is gathered in a task: pivots are minima, members meet them in joins
 that adaptive execution splits (it can where both sides come straight from a shuffle, so minima are written first).
 Before texts travel, a pair must pass a bound: documents carry the counts of their shingles in buckets of the hash, a
 quarter to half as many as they have shingles, and the sum of differences of two such profiles, folded to one
@@ -42,20 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import remove_folder, run_dir
 from .components import components, stored
-from .text import WordHashes, byte_slices, slices, utf8, window_hashes
+from .text import WordHashes, list_column, slices, utf8, window_hashes
 
 SIZE = 5
 # Links need COMMON * intersection >= ... : 100 * intersection >= 75 * union.
 PERCENT = 75
 RADIUS = 0.25
-# Rounds of document pivots in regions of more than LEAF documents, and pivots of a round.
-PIVOTS, ABREAST, LEAF = 1, 8, 32
-# Shingles and members of a block, each on average at most, and shingles that are columns of a matrix at a time.
-BLOCK_SHINGLES, BLOCK_MEMBERS, COLUMNS = 200_000, 512, 4096
-# Sizes of linked documents are at most one band apart: a band ends where sizes have grown by a little over 4/3.
-BAND = 1.34
+# Rounds of document pivots in regions of more than LEAF documents.
+PIVOTS, LEAF = 3, 32
 # A shingle counts as frequent from this many documents on; the list is as long as sums over all documents allow.
 FREQUENT, LIST = 32, 500_000
 BLOCK = 2_000_000
@@ -252,10 +246,8 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     ids = kept.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_KEYS
     source = docs.join(F.broadcast(ids), "doc_id", "left_semi") if few else docs
-    all_rows = run_dir(docs.sparkSession, "prefixes")
-    source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
-        _prefixes(shared), "token bigint, doc_id bigint, n int, at int, late tinyint").write.parquet(all_rows)
-    rows = docs.sparkSession.read.schema("token bigint, doc_id bigint, n int, at int, late tinyint").parquet(all_rows)
+    rows = stored(source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
+        _prefixes(shared), "token bigint, doc_id bigint, n int, at int, late tinyint"), "prefixes")
     # The smaller document of a linked pair meets the other among the first seventh of its shingles.
     tokens = stored(rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max(F.expr(SHORT)).alias("short"))
                     .where("a < b and short").select("token"), "shared")
@@ -263,7 +255,6 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     if repeated or not few:
         rows = rows.join(kept.withColumn("n", F.col("n").cast("int")), ["doc_id", "n"])
     rows = stored(rows, "members")
-    remove_folder(docs.sparkSession, all_rows)
     # A document in several rows is one member: sums by exclusive-or would cancel it. Without such rows nothing has to move.
     if repeated:
         rows = stored(rows.distinct(), "members")
@@ -294,53 +285,32 @@ def _links(found: DataFrame) -> DataFrame:
     return found.where("linked").select(F.col("doc_id").alias("u"), F.col("pivot").alias("v"))
 
 
-def _central(active: DataFrame, *keys: str) -> DataFrame:
-    """Per key, the most central document that no earlier pivot is linked to."""
+def _pivots(active: DataFrame) -> DataFrame:
+    """Per region, its most central document that no earlier pivot is linked to."""
     free = active.where(F.coalesce(F.array_min("distances.high"), F.lit(1.0)) > RADIUS)
     central = F.max(F.struct("degree", (-F.col("doc_id")).alias("negative")))
-    return stored(free.groupBy(*keys).agg(central.alias("p")).select(*keys, (-F.col("p.negative")).alias("pivot")), "pivots")
+    return stored(free.groupBy("token").agg(central.alias("p")).select(
+        "token", (-F.col("p.negative")).alias("pivot")), "pivots")
 
 
 def _main_pivot(active: DataFrame) -> DataFrame:
     """Pairs of each document with the pivot it shares most regions with."""
-    met = active.join(_central(active, "token"), "token").where("doc_id <> pivot")
+    met = active.join(_pivots(active), "token").where("doc_id <> pivot")
     counts = met.groupBy("doc_id", "pivot").agg(F.count("*").alias("shared"))
     return counts.groupBy("doc_id").agg(F.max(F.struct("shared", "pivot")).alias("p")).select("doc_id", "p.pivot")
 
 
 def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with the bounds of their distances to ``ABREAST`` more pivots at most, and the links found."""
-    classes = active.withColumn("class", F.pmod(F.xxhash64("doc_id"), F.lit(ABREAST)))
-    pivots = _central(classes, "token", "class").groupBy("token").agg(F.collect_list("pivot").alias("pivots"))
-    # All members of a region see its pivots in one order.
-    met = active.select("token", "doc_id").join(pivots, "token").select(
-        "token", "doc_id", F.explode(F.sort_array("pivots")).alias("pivot"))
+    """Members with the bounds of one more distance, and the links found."""
+    met = active.join(_pivots(active), "token", "left")
     found = compared(docs, profiles, met.where("doc_id <> pivot").select("doc_id", "pivot"))
     own = F.col("doc_id") == F.col("pivot")
-    bounds = F.struct("pivot", F.when(own, 0.0).otherwise(F.col("low")).alias("low"),
+    bounds = F.struct(F.when(own, 0.0).otherwise(F.col("low")).alias("low"),
                       F.when(own, 0.0).otherwise(F.col("high")).alias("high"))
-    more = met.join(found.drop("linked"), ["doc_id", "pivot"], "left").groupBy("token", "doc_id").agg(
-        F.sort_array(F.collect_list(bounds)).alias("more"))
-    added = F.transform("more", lambda d: F.struct(d["low"].alias("low"), d["high"].alias("high"))).cast(DISTANCES)
-    with_distance = active.join(more, ["token", "doc_id"], "left").withColumn(
-        "distances", F.concat("distances", F.coalesce(added, F.expr(f"cast(array() as {DISTANCES})"))))
-    return stored(with_distance.drop("more"), "regions"), _links(found)
-
-
-def merged(large: DataFrame) -> DataFrame:
-    """Members with regions around one central document as one region, where that is no more work than the regions apart.
-
-    The shingles of a shared passage make as many regions with nearly the same members. Work goes by the square of a region's size.
-    """
-    centre = _central(large, "token").withColumnRenamed("pivot", "centre")
-    sizes = large.groupBy("token").agg(F.count("*").cast("double").alias("m"))
-    apart = sizes.join(centre, "token").groupBy("centre").agg(F.sum(F.col("m") * F.col("m")).alias("apart"), F.count("*").alias("regions"))
-    named = large.drop("at").join(F.broadcast(centre) if centre.count() <= BROADCAST_KEYS else centre, "token")
-    union = named.select("centre", "doc_id").distinct().groupBy("centre").agg(F.count("*").cast("double").alias("m"))
-    joined = stored(union.join(apart, "centre").where("regions > 1 and m * m <= apart").select(F.col("centre").alias("one")), "merged")
-    key = F.coalesce(F.xxhash64(F.lit(1), "one"), F.col("token"))
-    named = named.join(_if_small(joined), F.col("centre") == F.col("one"), "left").withColumn("token", key)
-    return named.drop("centre", "one").dropDuplicates(["token", "doc_id", "n"])
+    with_distance = met.join(found.drop("linked"), ["doc_id", "pivot"], "left").withColumn(
+        "distances", F.when(F.col("pivot").isNull(), F.col("distances")).otherwise(
+            F.concat("distances", F.array(bounds).cast(DISTANCES))))
+    return stored(with_distance.drop("pivot", "low", "high"), "regions"), _links(found)
 
 
 def leaf_pairs(leaves: DataFrame) -> DataFrame:
@@ -360,102 +330,23 @@ def _split(active: DataFrame) -> tuple[DataFrame, DataFrame]:
     return active.join(_if_small(large), "token", "left_anti"), active.join(_if_small(large), "token", "left_semi")
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingle hashes of each document as bytes."""
-    hashes = WordHashes()
-    for part in byte_slices(batches, "_utf8"):
-        found = [shingle_set(_lower_words(text.as_py()), hashes).tobytes() for text in part["_utf8"]]
-        yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.binary())], names=["doc_id", "shingles"])
-
-
-def block_links(homes: list[bytes], others: list[bytes]) -> np.ndarray:
-    """Which of ``homes`` are linked with which of ``others``: the shingles common to both sides as 0-1 matrices, multiplied."""
-    sets = [np.frombuffer(x, np.uint64) for x in homes + others]
-    sizes = np.array([len(x) for x in sets])
-    rows = np.repeat(np.arange(len(sets)), sizes)
-    found = np.concatenate(sets)
-    first = rows < len(homes)
-    both = np.intersect1d(found[first], found[~first])
-    common = np.zeros((len(homes), len(others)))
-    if len(both):
-        spot = np.minimum(np.searchsorted(both, found), len(both) - 1)
-        hit = both[spot] == found
-        rows, spot = rows[hit], spot[hit]
-        order = np.argsort(spot, kind="stable")
-        rows, spot = rows[order], spot[order]
-        for at in range(0, len(both), COLUMNS):
-            start, end = np.searchsorted(spot, (at, at + COLUMNS))
-            table = np.zeros((len(sets), COLUMNS), np.float32)
-            table[rows[start:end], spot[start:end] - at] = 1
-            common += table[: len(homes)] @ table[len(homes):].T
-    union = sizes[: len(homes), None] + sizes[None, len(homes):] - common
-    return (union > 0) & (100 * common >= PERCENT * union)
-
-
-def _block(table: pa.Table) -> pa.Table:
-    """Links that join components of a block, no more than it has members: a link inside a component tells nothing new."""
-    table = table.combine_chunks()
-    at_home = table["home"].to_numpy()
-    homes, others = table.filter(pa.array(at_home)), table.filter(pa.array(~at_home))
-    u, v = [], []
-    if homes.num_rows and others.num_rows:
-        linked = block_links(homes["shingles"].to_pylist(), others["shingles"].to_pylist())
-        a, b = homes["component"].to_numpy().copy(), others["component"].to_numpy().copy()
-        x, y = homes["doc_id"].to_numpy(), others["doc_id"].to_numpy()
-        for i in range(len(a)):
-            while len(new := np.flatnonzero(linked[i] & (b != a[i]))):
-                j = new[0]
-                u.append(max(x[i], y[j]))
-                v.append(min(x[i], y[j]))
-                gone = b[j]
-                b[b == gone] = a[i]
-                a[a == gone] = a[i]
-    return pa.table({"doc_id": pa.array(u, pa.int64()), "pivot": pa.array(v, pa.int64())})
-
-
-def cell_pairs(docs: DataFrame, active: DataFrame) -> DataFrame:
-    """Pairs that link different components and meet in a Voronoi cell of their region.
+def cell_pairs(active: DataFrame) -> DataFrame:
+    """Pairs to compare: members of different components that meet in a Voronoi cell of their region.
 
     A member's home is the pivot with the least upper bound of its distance; a partner at the radius or nearer has its
-    home there too, or at a pivot no further from the partner than twice the radius more than its own home. Homes of
-    one band of sizes and partners of this and the next bands are cut into blocks of bounded size, and every block of homes meets every
-    block of partners in a group of its own (a region whose cells do not halve the work is one cell), which gives out a forest of links: no pair is a row before it is a link.
+    home there too, or at a pivot no further from the partner than twice the radius more than its own home.
     """
     rounding = 1e-9
-    home = F.expr("array_position(distances.high, array_min(distances.high))").cast("int")
-    band = F.floor(F.log(BAND, "n")).cast("int")
-    here = active.select("token", "doc_id", "n", "component", home.alias("cell"), band.alias("band"), F.lit(True).alias("home"))
-    there = active.select("token", "doc_id", "n", "component", "distances", F.posexplode("distances").alias("p", "d")).where(
-        F.col("d.low") - F.array_min("distances.high") <= 2 * RADIUS + rounding).select(
-        "token", "doc_id", "n", "component", (F.col("p") + 1).alias("cell"),
-        F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.lit(False).alias("home"))
-    # A region that its cells do not divide stays one cell: each document goes out once as the smaller and twice as the larger of a pair.
-    share = here.groupBy("token", "cell").agg(F.count("*").cast("double").alias("homes")).join(
-        there.groupBy("token", "cell").agg((F.countDistinct("doc_id", "n")).cast("double").alias("others")), ["token", "cell"])
-    whole = stored(share.groupBy("token").agg(F.sum(F.col("homes") * F.col("others")).alias("met"), F.sum("homes").alias("m"))
-                   .where("2 * met > m * m").select("token"), "whole")
-    one = active.join(_if_small(whole), "token").select("token", "doc_id", "n", "component", F.lit(0).alias("cell"))
-    smaller = one.withColumn("band", band).withColumn("home", F.lit(True))
-    larger = one.withColumn("band", F.explode(F.array(band - 1, band))).withColumn("home", F.lit(False))
-    apart = here.unionByName(there).join(_if_small(whole), "token", "left_anti")
-    members = stored(apart.unionByName(smaller).unionByName(larger), "cells")
-    blocks = lambda home: F.ceil(F.greatest(F.sum(F.when(F.col("home") == home, F.col("n"))) / BLOCK_SHINGLES,
-                                            F.count_if(F.col("home") == home) / BLOCK_MEMBERS))
-    cells = stored(members.groupBy("token", "cell", "band").agg(
-        blocks(True).alias("hs"), blocks(False).alias("ws"), F.min("component").alias("least"),
-        F.max("component").alias("most")).where("hs > 0 and ws > 0 and least < most").drop("least", "most"), "cut")
-    own = F.when(F.col("home"), F.col("hs")).otherwise(F.col("ws"))
-    facing = F.when(F.col("home"), F.col("ws")).otherwise(F.col("hs"))
-    cut = members.join(cells, ["token", "cell", "band"]).select(
-        "token", "cell", "band", "doc_id", "component", "home", F.pmod(F.xxhash64("doc_id"), own).alias("b"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), facing - 1)).alias("c")).select(
-        "token", "cell", "band", "doc_id", "component", "home", F.when(F.col("home"), F.col("b")).otherwise(F.col("c")).alias("h"),
-        F.when(F.col("home"), F.col("c")).otherwise(F.col("b")).alias("w"))
-    ids = stored(active.select("doc_id").distinct(), "ids")
-    sets = stored(docs.select("doc_id", utf8("text").alias("_utf8")).join(_if_small(ids), "doc_id", "left_semi").mapInArrow(
-        _sets, "doc_id bigint, shingles binary"), "sets")
-    return stored(cut.join(sets, "doc_id").groupBy("token", "cell", "band", "h", "w").applyInArrow(
-        _block, "doc_id bigint, pivot bigint"), "pairs").distinct()
+    home = F.expr("array_position(distances.high, array_min(distances.high))")
+    here = active.select("token", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("atx"),
+                         F.col("component").alias("cx"), F.col("distances").alias("dx"), home.alias("cell"))
+    there = active.select("token", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("aty"),
+                          F.col("component").alias("cy"), F.col("distances").alias("dy"), F.posexplode("distances").alias("at", "d")).where(
+        F.col("d.low") - F.array_min("dy.high") <= 2 * RADIUS + rounding).withColumn("cell", F.col("at") + 1)
+    apart = F.exists(F.zip_with("dx", "dy", lambda a, b: F.greatest(a["low"] - b["high"], b["low"] - a["high"])),
+                     lambda gap: gap > RADIUS + rounding)
+    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & F.expr(ROOM) & ~apart)
+    return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot")).distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -482,7 +373,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     active = stored(_open_regions(active, labels), "regions")
     leaves, large = _split(active)
     pairs = leaf_pairs(leaves)
-    large = stored(merged(large), "regions")
+    large = stored(large, "regions")
     for _ in range(PIVOTS):
         if large.isEmpty():
             break
@@ -490,7 +381,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         links = stored(links.unionByName(new), "links")
         large = stored(_open_regions(large, components(spark, links)), "regions")
     if not large.isEmpty():
-        pairs = pairs.unionByName(cell_pairs(texts, large))
+        pairs = pairs.unionByName(cell_pairs(large))
     more = _links(compared(texts, profiles, pairs))
     labels = components(spark, links.unionByName(more))
     ends = (members.join(labels, F.col("member") == F.col("node"), "left")
