@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import flag
+from ..settings import initial_partitions
 from ..workspace import run_dir
 from .skew import HeavyKeys, aggregate_keys, heavy_keys, lookup_left_join
 
@@ -75,7 +76,10 @@ def with_row_frame(df: DataFrame, key: str, order_by: Sequence[str], values: Seq
     marks = heavy.frame(df)
     is_heavy = F.col(key).eqNullSafe(marks["_heavy_key"])
     cold = df.join(marks, is_heavy, "left_anti").withColumns(outputs(plain))
-    cut = _cut_into_runs(df.join(marks, is_heavy, "left_semi"), key, order_by, runs or heavy.pieces)
+    if runs is None:
+        # A run may hold the pieces of many customers; only its number of rows matters to a task.
+        runs = min(heavy.pieces, max(heavy.tasks, initial_partitions(df.sparkSession)))
+    cut = _cut_into_runs(df.join(marks, is_heavy, "left_semi"), key, order_by, runs)
     halo = _rows_before(cut, key, order_by, -first).withColumn("_halo", F.lit(True))
     within = Window.partitionBy(key, RUN).orderBy(*ascending).rowsBetween(first, last)
     hot = (cut.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)

@@ -8,6 +8,7 @@ Below that share a key may have a task to itself: of 100 TB it is 1 GB at most.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -32,6 +33,7 @@ class HeavyKeys:
     key: str
     dtype: T.DataType
     rows: tuple[tuple, ...]
+    limit: float | None = None  # rows of one piece, at most
 
     def frame(self, df: DataFrame) -> DataFrame:
         """``_heavy_key, _pieces``; at most ``SHARES`` rows, marked for broadcast."""
@@ -47,9 +49,15 @@ class HeavyKeys:
         """Pieces of all heavy keys together."""
         return sum(n for _, n in self.rows)
 
+    @property
+    def tasks(self) -> int:
+        """Tasks that the rows of all heavy keys are worth: small pieces share one, up to ``MIN_ROWS`` rows."""
+        share = 1.0 if self.limit is None else min(1.0, self.limit / MIN_ROWS)
+        return math.ceil(self.pieces * share)
+
 
-def _limit(total: Column, shares: int | None = None, min_rows: int | None = None) -> Column:
-    return F.greatest(F.lit(float(MIN_ROWS if min_rows is None else min_rows)), total / F.lit(shares or SHARES))
+def _limit(total: Column, min_rows: int | None = None) -> Column:
+    return F.greatest(F.lit(float(MIN_ROWS if min_rows is None else min_rows)), total / F.lit(SHARES))
 
 
 def _pieces(rows: Column, limit: Column) -> Column:
@@ -57,10 +65,10 @@ def _pieces(rows: Column, limit: Column) -> Column:
     return F.when(rows > limit, F.ceil(rows / limit))
 
 
-def _listed(measured: DataFrame, key: str) -> HeavyKeys:
+def _listed(measured: DataFrame, key: str, limit: float | None = None) -> HeavyKeys:
     """Fewer than ``SHARES`` rows reach the driver, since each stands for more than that part of the total."""
     rows = measured.where("_pieces is not null").select(key, "_pieces").collect()
-    return HeavyKeys(key, measured.schema[key].dataType, tuple(tuple(r) for r in rows))
+    return HeavyKeys(key, measured.schema[key].dataType, tuple(tuple(r) for r in rows), limit)
 
 
 def heavy_keys(df: DataFrame, key: str, shares: int | None = None, min_rows: int | None = None) -> HeavyKeys:
@@ -69,12 +77,12 @@ def heavy_keys(df: DataFrame, key: str, shares: int | None = None, min_rows: int
     The list steers the layout, never the result. A table with too few rows for
     a heavy key is only counted, which for files means reading their footers.
     """
-    total = df.count()
-    if total <= (MIN_ROWS if min_rows is None else min_rows):
+    total, least = df.count(), MIN_ROWS if min_rows is None else min_rows
+    if total <= least:
         return HeavyKeys(key, df.schema[key].dataType, ())
-    limit = _limit(F.lit(total), shares, min_rows)
+    limit = max(float(least), total / (shares or SHARES))
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return _listed(counts.withColumn("_pieces", _pieces(F.col("n"), limit)), key)
+    return _listed(counts.withColumn("_pieces", _pieces(F.col("n"), F.lit(limit))), key, limit)
 
 
 @dataclass(frozen=True)

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tallyfold.operators import skew
+from tallyfold.operators import ordered, skew
 from tallyfold.operators.ordered import moving_average, with_row_frame, zscore_history, zscore_previous
 from tallyfold.operators.skew import HeavyKeys, heavy_keys
 
@@ -62,6 +62,22 @@ def test_heavy_and_plain_scores_agree(spark):
         assert not want
 
 
+def test_many_small_heavy_keys_share_runs(spark, monkeypatch):
+    """Runs follow the rows, not the number of heavy customers: 300 pieces of 12 rows are not 300 tasks."""
+    data = [(f"t{i:04}", f"c{i % 100}", float(i % 7), i // 3) for i in range(3600)]
+    df = frame(spark, data)
+    heavy = heavy_keys(df, "customer_id", min_rows=12)
+    assert heavy.pieces == 300 and heavy.tasks == 1
+    cut, numbers = ordered._cut_into_runs, []
+    monkeypatch.setattr(ordered, "_cut_into_runs", lambda *a: numbers.append(a[-1]) or cut(*a))
+    got = {r.transaction_id: r.moving_avg_amount for r in moving_average(df, heavy=heavy).collect()}
+    assert numbers == [8]
+    assert got == {k: pytest.approx(sum(v) / len(v)) for k, v in by_brute_force(data, -4, 0).items()}
+    # Where a piece is as large as a task may be, every piece stays a run of its own.
+    monkeypatch.setattr(skew, "MIN_ROWS", 12)
+    assert heavy_keys(df, "customer_id").tasks == 300
+
+
 def test_more_runs_than_rows(spark):
     data = [(f"t{i}", "hot", float(i), i) for i in range(12)]
     df = frame(spark, data)
