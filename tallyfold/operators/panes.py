@@ -21,6 +21,10 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..settings import MAX_PARTITIONS, initial_partitions
+
+# Panes of one task: a pane with its copy and their entries takes about 6 KB in sorts and sums.
+TASK_PANES = 100_000
 _UNITS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
           "day": 86_400_000_000, "week": 604_800_000_000}
 
@@ -51,12 +55,18 @@ def pane_moments(df: DataFrame, pane: int, *, event_time: str = "timestamp", amo
                  (F.var_pop(amount) * F.count(amount)).alias("m2")))
 
 
-def window_runs(panes: DataFrame, window: int, slide: int, pane: int, key: str = "customer_id") -> DataFrame:
-    """Runs of equal windows: ``first_start, last_start`` in microseconds, and the features."""
+def window_runs(panes: DataFrame, window: int, slide: int, pane: int, key: str = "customer_id", tasks: int = 1) -> DataFrame:
+    """Runs of equal windows: ``first_start, last_start`` in microseconds, and the features.
+
+    ``tasks`` is the least number of tasks that the panes need: a pane that has moved is small, but it becomes up to seven sorted
+    entries on either side, so partitions must not be merged by the bytes that moved.
+    """
+    spark = panes.sparkSession
+    tasks = max(tasks, min(initial_partitions(spark), spark.sparkContext.defaultParallelism))
     block = F.expr(f"(pane - pmod(pane, {window}L)) div {window}L")
     placed = panes.withColumn("_own", block).withColumn("_next", F.explode(F.array(F.lit(False), F.lit(True))))
     placed = placed.withColumn("_block", F.when(F.col("_next"), F.col("_own") - 1).otherwise(F.col("_own"))).drop("_own").repartition(
-        F.col(key), F.col("_block"))
+        tasks, F.col(key), F.col("_block"))
     group = [key, "_block"]
     whole = Window.partitionBy(*group)
     sound = F.when(~F.isnan("mean"), F.col("mean"))
@@ -114,7 +124,9 @@ def pane_window_runs(df: DataFrame, time_window: str, slide: str, *, event_time:
     if step > window:
         raise ValueError("the slide must not exceed the window")
     pane = math.gcd(window, step)
-    return window_runs(pane_moments(df, pane, event_time=event_time, amount=amount, key=key), window, step, pane, key)
+    # There are no more panes than rows, and those of files are counted by their footers.
+    tasks = min(-(-df.count() // TASK_PANES), MAX_PARTITIONS)
+    return window_runs(pane_moments(df, pane, event_time=event_time, amount=amount, key=key), window, step, pane, key, tasks)
 
 
 def pane_window_features(df: DataFrame, time_window: str = "10 minutes", slide: str = "5 minutes", *,

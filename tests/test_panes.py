@@ -1,9 +1,11 @@
 """Windows by panes against windows by repeated rows."""
 
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
 
+from tallyfold.operators import panes
 from tallyfold.operators.features import window_features
 from tallyfold.operators.panes import each_window, micros, pane_window_features, pane_window_runs
 
@@ -57,6 +59,16 @@ def test_rows_do_not_multiply_before_the_shuffle(spark):
     assert "partial_var_pop" in below and "Generate" not in below and "Expand" not in below
 
 
+def test_tasks_follow_the_panes(spark, monkeypatch):
+    """Adaptive execution may not merge partitions by their bytes before the panes become entries."""
+    monkeypatch.setattr(panes, "TASK_PANES", 10)
+    df = rows(spark)
+    got = pane_window_features(df, "3 hours", "1 minute")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(customer_id#\d+, _block#\d+L, 31\), REPARTITION_BY_NUM", plan) and df.count() == 309
+    assert comparable(got).keys() == comparable(window_features(df, "3 hours", "1 minute")).keys()
+
+
 def test_empty_and_wrong_arguments(spark):
     assert pane_window_features(rows(spark).where("false"), "1 hour", "1 minute").collect() == []
     with pytest.raises(ValueError):
