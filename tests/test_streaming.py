@@ -267,3 +267,19 @@ def test_interval_trigger_and_stop(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert not query.isActive and spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_rows_of_a_customer_are_sorted_by_time_alone_where_it_decides(monkeypatch):
+    import pandas as pd
+
+    from tallyfold.streaming import moving
+
+    order = ["timestamp", "transaction_id", "amount"]
+    times = pd.to_datetime([3, 1, 2, 0], unit="s")
+    apart = pd.DataFrame({"transaction_id": list("abcd"), "amount": [1.0, None, 3.0, 4.0], "timestamp": times})
+    tied = apart.assign(timestamp=[times[0], times[1], times[0], pd.NaT], transaction_id=["b", "x", None, "y"])
+    want = tied.sort_values(order, kind="stable", na_position="first")
+    assert list(want.index) == [3, 1, 2, 0]
+    pd.testing.assert_frame_equal(moving._sorted(tied, order), want)
+    monkeypatch.setattr(pd.DataFrame, "sort_values", None)
+    assert list(moving._sorted(apart, order).index) == [3, 1, 2, 0]
