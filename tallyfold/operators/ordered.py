@@ -81,7 +81,8 @@ def with_row_frame(df: DataFrame, key: str, order_by: Sequence[str], values: Seq
         runs = min(heavy.pieces, max(heavy.tasks, initial_partitions(df.sparkSession)))
     cut = _cut_into_runs(df.join(marks, is_heavy, "left_semi"), key, order_by, runs)
     halo = _rows_before(cut, key, order_by, -first).withColumn("_halo", F.lit(True))
-    within = Window.partitionBy(key, RUN).orderBy(*ascending).rowsBetween(first, last)
+    # The rows before come first even where they tie with a copy of themselves in the run.
+    within = Window.partitionBy(key, RUN).orderBy(F.col("_halo").desc(), *ascending).rowsBetween(first, last)
     hot = (cut.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
            .withColumns(outputs(within)).where("not _halo").drop("_halo", RUN))
     return cold.unionByName(hot)

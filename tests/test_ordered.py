@@ -93,6 +93,15 @@ def test_exact_copies_are_cut_too(spark):
     assert [r.moving_avg_amount for r in got.collect()] == [2.0] * 300
 
 
+def test_copies_on_both_sides_of_a_cut(spark):
+    """A copy that lies in the run before precedes the copy in the run itself."""
+    twice = frame(spark, [(f"t{i:02}", "hot", float(i * i), i) for i in range(30) for _ in range(2)])
+    plain = HeavyKeys("customer_id", twice.schema["customer_id"].dataType, ())
+    heavy = heavy_keys(twice, "customer_id", min_rows=10)
+    want, got = (sorted((r.transaction_id, r.moving_avg_amount) for r in moving_average(twice, heavy=h, runs=60).collect()) for h in (plain, heavy))
+    assert got == want
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 6), st.integers(0, 9)), min_size=8, max_size=40),
        st.integers(2, 9))
