@@ -4,6 +4,9 @@ Texts are lower-cased (A-Z), cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and thos
 phrase of 2 to ``max_words`` words that stands in pieces ``min_count`` times or more. Its score is the least over its
 cuts of ``floor(SCALE * a * a / (l * r))``: ``a`` its own count, ``l`` and ``r`` those of the two parts.
 
+Texts are split once. They are written as blocks of the numbers of their words among the distinct words of the block, which stand
+beside them; every later pass looks a word up once per block.
+
 Levels. A phrase can only be frequent if its first and its last words but one are. Words are counted first; then, level by
 level, pairs of neighbouring frequent phrases are summed by 64-bit hashes. Hashes that meet only add, so no candidate is
 lost. The hashes of one level's frequent phrases are sent to the tasks ``PART_HASHES`` at a time; a pair is judged by what
@@ -22,7 +25,7 @@ repeated or not; further columns are not read. Scores are exact for counts below
 from __future__ import annotations
 
 import pickle
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -48,9 +51,10 @@ UNKNOWN = "und"
 PART_HASHES = 4_000_000
 SHARD_PHRASES = 250_000
 TRIES_AT_ONCE = 3
+# Texts of one block of numbered words.
+BLOCK_ROWS, BLOCK_BYTES = 4_096, 2 << 20
 # Entries a task sums up before it passes them on.
 FLUSH = 1_000_000
-REMEMBERED_WORDS = 600_000
 _SALTS = 64
 # Holes tried for a state's words when a trie is laid out, and states laid out before the holes are listed anew.
 _TRIES, _REFRESH = 256, 64
@@ -60,17 +64,9 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 255 if c in b".,;:
 _BREAK_HASH = np.uint64(WordHashes()[_BREAK])
 
 
-class _Remembered(WordHashes):
-    """Hashes of more words, kept by a worker for all its tasks."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _Remembered()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """What ``WordHashes`` gives. Words that come once per block are hashed faster than remembered, and take no memory."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -78,22 +74,55 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).replace(_BREAK, b" \xff ").split() + [_BREAK]
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """Language and words of the texts of a slice, put together by language."""
-    for part in byte_slices(batches, "_utf8"):
+class Block:
+    """Words of texts of one language: the distinct ones, and for every position the number of its word among them."""
+
+    def __init__(self, lang: str, vocabulary: bytes, codes: bytes):
+        self.lang, self.vocabulary = lang, vocabulary.split(b" ")
+        self.codes = np.frombuffer(codes, np.uint16 if len(self.vocabulary) <= 1 << 16 else np.int32)
+
+
+def split_words(texts: list[bytes]) -> pa.Array:
+    """What ``words_of`` gives for the texts, one after the other, without an object per word."""
+    marked = _BREAK.join([*texts, b""]).translate(_TABLE).replace(_BREAK, b" \xff ")
+    chars = np.frombuffer(marked, np.uint8)
+    inside = chars != 32
+    # Every text ends in a break and a blank, so every word has a blank behind it.
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:])
+    offsets = np.zeros(len(ends) + 1, np.int32)
+    offsets[1:] = np.cumsum(inside, dtype=np.int32)[ends]
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(chars[inside])])
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per language of a slice; ``vocabulary`` is joined by blanks, which no word has."""
+    for part in byte_slices(batches, "_utf8", BLOCK_ROWS, BLOCK_BYTES):
         by_lang = defaultdict(list)
-        for lang, text in zip(part["lang"].to_pylist(), part["_utf8"]):
-            by_lang[lang] += words_of(text.as_py())
-        yield from by_lang.items()
+        for lang, text in zip(part["lang"].to_pylist(), part["_utf8"].to_pylist()):
+            by_lang[lang].append(text)
+        for lang, texts in by_lang.items():
+            coded = split_words(texts).dictionary_encode()
+            kind = np.uint16 if len(coded.dictionary) <= 1 << 16 else np.int32
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang], pa.string()), pa.array([b" ".join(coded.dictionary.to_pylist())], pa.binary()),
+                pa.array([coded.indices.to_numpy().astype(kind).tobytes()], pa.binary())], names=["lang", "vocabulary", "codes"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for lang, vocabulary, codes in zip(batch["lang"], batch["vocabulary"], batch["codes"]):
+            yield Block(lang.as_py(), vocabulary.as_py(), codes.as_py())
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), utf8("text").alias("_utf8")).where(
+    """The texts as blocks of numbered words, written once for all passes."""
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), utf8("text").alias("_utf8")).where(
         "_utf8 is not null")
+    return stored(texts.mapInArrow(_encode, "lang string, vocabulary binary, codes binary"), "blocks")
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, Counter] = defaultdict(Counter)
+    sums: dict[str, defaultdict] = defaultdict(lambda: defaultdict(int))
 
     def flush():
         for lang, found in sums.items():
@@ -102,9 +131,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(list(found.values()), pa.int64())], names=["lang", "phrase", "f"])
         sums.clear()
 
-    for lang, words in _texts(batches):
-        sums[lang].update(words)
-        del sums[lang][_BREAK]
+    for block in _blocks(batches):
+        found = sums[block.lang]
+        for word, n in zip(block.vocabulary, np.bincount(block.codes, minlength=len(block.vocabulary)).tolist()):
+            found[word] += n
+        del found[_BREAK]
         if sum(map(len, sums.values())) > FLUSH // 2:
             yield from flush()
     yield from flush()
@@ -114,9 +145,8 @@ def _language_hash(lang: str) -> np.uint64:
     return mixed(np.array([WordHashes()[b"lang " + lang.encode()]], np.uint64))[0]
 
 
-def _phrase_hashes(words: list[bytes], lang: str, size: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the ``size`` words from every word on, and whether they are inside a piece."""
-    single = known.of(words)
+def _phrase_hashes(single: np.ndarray, lang: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the ``size`` words from every word on, given as hashes, and whether they are inside a piece."""
     inside = single != _BREAK_HASH
     whole = inside[:max(0, len(inside) - size + 1)].copy()
     for more in range(1, size):
@@ -127,7 +157,6 @@ def _phrase_hashes(words: list[bytes], lang: str, size: int, known: WordHashes)
 def hashed(phrases: DataFrame, size: int) -> DataFrame:
     """``phrases`` (``lang, phrase, f``) with the hash ``h`` that tasks give the phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WORDS
         for batch in batches:
             h = np.empty(batch.num_rows, np.int64)
             langs = np.array(batch["lang"].to_pylist(), object)
@@ -135,7 +164,7 @@ def hashed(phrases: DataFrame, size: int) -> DataFrame:
                 at = np.flatnonzero(langs == lang)
                 # Phrases one after the other; of the runs, those that begin at a phrase's first word.
                 words = [w for i in at for w in batch["_utf8"][int(i)].as_py().split(b" ")]
-                h[at] = _phrase_hashes(words, lang, size, known)[0][::size].view(np.int64)
+                h[at] = _phrase_hashes(word_hashes(words), lang, size)[0][::size].view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["lang"], batch["phrase"], batch["f"], pa.array(h)], names=["lang", "phrase", "f", "h"])
     return phrases.select("lang", "phrase", "f", utf8("phrase").alias("_utf8")).mapInArrow(
         run, "lang string, phrase string, f bigint, h bigint")
@@ -151,16 +180,28 @@ def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return rows[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def _holds(listed: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether a sorted list that is not empty holds the values."""
+    return listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h
+
+
 def _neighbours(shared, size: int, part: int, parts: int):
     """A task: pairs of neighbouring phrases of ``size`` words that may both be frequent, with counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, known = shared.value, _WORDS
+        frequent = shared.value
         pairs, counts, waiting = [], [], 0
-        for lang, words in _texts(batches):
-            h, whole = _phrase_hashes(words, lang, size, known)
-            if len(frequent) == 0 or len(h) < 2:
+        for block in _blocks(batches):
+            single = word_hashes(block.vocabulary)
+            if len(frequent) == 0 or len(block.codes) <= size:
                 continue
-            mine = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+            if size == 1:  # judged once per distinct word
+                h, whole = (x[block.codes] for x in _phrase_hashes(single, block.lang, 1))
+                mine = _holds(frequent, _phrase_hashes(single, block.lang, 1)[0])[block.codes]
+            else:
+                h, whole = _phrase_hashes(single[block.codes], block.lang, size)
+                mine = np.zeros(len(h), bool)
+                at = np.flatnonzero(whole)
+                mine[at] = _holds(frequent, h[at])
             maybe = mine if parts == 1 else mine | (h % np.uint64(parts) != part)
             # Both phrases whole and one word apart: all their words are in one piece.
             at = np.flatnonzero(mine[:-1] & maybe[1:] & whole[:-1] & whole[1:])
@@ -352,15 +393,20 @@ class Numbered:
         for table in self.of_trie:
             yield table[places]
 
+    def block(self, block: Block) -> Iterator[np.ndarray]:
+        """The same of a block, whose distinct words are looked up."""
+        for numbers in self.texts(block.lang, block.vocabulary):
+            yield numbers[block.codes]
+
 
 def _counted(shared: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: list[Trie] = [pickle.loads(zstandard.decompress(s.value)) for s in shared]
         numbered = Numbered(tries)
         totals = [np.zeros(len(trie.names), np.int64) for trie in tries]
-        for lang, words in _texts(batches):
-            if lang in numbered.places:
-                for trie, symbol, total in zip(tries, numbered.texts(lang, words), totals):
+        for block in _blocks(batches):
+            if block.lang in numbered.places:
+                for trie, symbol, total in zip(tries, numbered.block(block), totals):
                     for states in trie.reached(symbol):
                         total += np.bincount(trie.ids[states], minlength=len(total))
         for trie, total in zip(tries, totals):

@@ -56,6 +56,25 @@ def test_trie_counts_what_a_search_counts(phrases, words):
         assert got == {i: v for i, v in want.items() if v}
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aAé .,\t\n\r\x0b\x0c\x1c;", max_size=12), max_size=6), st.sampled_from([1, 1 << 20]))
+def test_blocks_of_numbered_words_are_the_words(texts, size):
+    rows = pa.record_batch({"lang": pa.array(["x"] * len(texts), pa.string()), "_utf8": pa.array([t.encode() for t in texts], pa.binary())})
+    C.BLOCK_BYTES, before = size, C.BLOCK_BYTES
+    blocks = list(C._blocks(C._encode(iter([rows]))))
+    C.BLOCK_BYTES = before
+    assert [b.vocabulary[i] for b in blocks for i in b.codes] == [w for t in texts for w in C.words_of(t.encode())]
+    assert len(blocks) <= (len(texts) if size == 1 else 1)
+
+
+def test_texts_are_split_once(spark, monkeypatch):
+    """Passes after the first take numbered words, and look each distinct word up once per block."""
+    texts = C.prepared(frame(spark, [("en", "one two " * 500)]))
+    assert texts.columns == ["lang", "vocabulary", "codes"]
+    block, = C._blocks(texts.toArrow().to_batches())
+    assert sorted(block.vocabulary) == [b"one", b"two", b"\xff"] and len(block.codes) == 1001
+
+
 def prose(seed, n, vocabulary=60):
     pick = np.random.default_rng(seed)
     words = [f"w{int(v) % vocabulary}" for v in pick.zipf(1.3, n)]
