@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workspace import run_dir
+from ..workspace import remove_folder, run_dir
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -15,6 +15,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Deletes what ``stored`` wrote; nothing may read it any more."""
+    for path in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        remove_folder(table.sparkSession, path)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # Written first: adaptive execution splits a hub's rows only where both sides of a join come straight from a shuffle.

@@ -25,7 +25,9 @@ Equal sets are one member from the start. No region is gathered in a task: pivot
 that adaptive execution splits (it can where both sides come straight from a shuffle, so minima are written first).
 Before texts travel, a pair must pass a bound: documents carry the counts of their shingles in buckets of the hash, a
 quarter to half as many as they have shingles, and the sum of differences of two such profiles, folded to one
-length, is never more than the number of shingles in one set only.
+length, is never more than the number of shingles in one set only. Before that, in the joins that make pairs, documents are held against
+each other by the odd and even of ``SKETCH_BITS`` buckets, which differ in no more places. With each pivot, documents are also compared
+with the few of their region that chance deals to them: many links among near copies join them before cells are.
 
 Defined cases: a null or empty text has an empty set, size 0, linked with nothing; fewer than five words make
 one shingle; rows with one ``doc_id`` are one document for links, each with its own ``n_shingles``;
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components, stored
+from .components import components, discard, stored
 from .text import WordHashes, list_column, slices, utf8, window_hashes
 
 SIZE = 5
@@ -55,6 +57,8 @@ FREQUENT, LIST = 32, 500_000
 BLOCK = 2_000_000
 # Buckets of a profile at least.
 LEAST_BUCKETS_LOG2 = 5
+# Bits of a sketch, a power of two and whole longs.
+SKETCH_BITS = 512
 BROADCAST_PAIRS = 1_000_000
 # Keys (8 bytes each) that are broadcast to mark rows of a larger table.
 BROADCAST_KEYS = 2_000_000
@@ -78,6 +82,12 @@ def profile_of(found: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def sketch_of(found: np.ndarray) -> bytes:
+    """Whether a bucket of the hash's last bits has an odd number of shingles, one bit each."""
+    counts = np.bincount((found & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
 def least_difference(one: bytes, two: bytes) -> int:
     """A lower bound of the number of shingles that are in one of two sets only."""
     a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (one, two))
@@ -89,29 +99,30 @@ def least_difference(one: bytes, two: bytes) -> int:
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with size and 128-bit mark of its set; and per block, rows of the shingles found three times or more."""
     hashes, block, held = WordHashes(), [], 0
-    names = ["doc_id", "n", "f1", "f2", "profile", "token", "docs"]
+    names = ["doc_id", "n", "f1", "f2", "profile", "sketch", "token", "docs"]
 
     def frequent():
         tokens, counts = np.unique(np.concatenate(block), return_counts=True)
         tokens, counts = tokens[counts > 2].view(np.int64), counts[counts > 2]
         none = pa.nulls(len(tokens), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(tokens), pa.binary()), pa.array(tokens),
-                                           pa.array(counts)], names=names)
+        return pa.RecordBatch.from_arrays([none, none, none, none, *[pa.nulls(len(tokens), pa.binary())] * 2,
+                                           pa.array(tokens), pa.array(counts)], names=names)
 
     for part in slices(batches):
-        sizes, marks, profiles = [], [], []
+        sizes, marks, profiles, sketches = [], [], [], []
         for text in part["_utf8"]:
             found = shingle_set(_lower_words(text.as_py()), hashes)
             sizes.append(len(found))
             profiles.append(profile_of(found))
+            sketches.append(sketch_of(found))
             marks.append((found.sum(dtype=np.uint64), (found * (found | np.uint64(1))).sum(dtype=np.uint64)))
             block.append(found)
             held += len(found)
         both = np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
         none = pa.nulls(part.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes, pa.int64()), pa.array(both[:, 0].copy()),
-                                          pa.array(both[:, 1].copy()), pa.array(profiles, pa.binary()), none, none],
-                                         names=names)
+                                          pa.array(both[:, 1].copy()), pa.array(profiles, pa.binary()),
+                                          pa.array(sketches, pa.binary()), none, none], names=names)
         if held >= BLOCK:
             yield frequent()
             block, held = [], 0
@@ -236,6 +247,24 @@ ROOM = "{p} * least(nx - atx, ny - aty) >= {q} * (nx + ny)".format(p=100 + PERCE
 SHORT = f"{100 + PERCENT} * (n - at) >= {2 * PERCENT} * n"
 
 
+# Sketches differ in no more bits than there are shingles in one set only, and those are a seventh of both sizes at most.
+WORDS = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+ALIKE = "{a} * ({bits}) <= {b} * (nx + ny)".format(
+    a=100 + PERCENT, b=100 - PERCENT, bits=" + ".join(f"bit_count(x{w} ^ y{w})" for w in WORDS))
+
+
+def sketches_of(first: DataFrame) -> DataFrame:
+    """``doc_id, n`` and the longs of the sketch."""
+    return first.select(F.col("member").alias("doc_id"), F.col("n").cast("int").alias("n"), *[
+        F.expr(f"cast(conv(hex(substring(sketch, {8 * i + 1}, 8)), 16, -10) as bigint)").alias(w) for i, w in enumerate(WORDS)])
+
+
+def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
+    """``members`` as one side of a join of pairs."""
+    return members.select("token", F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("at").alias(f"at{side}"),
+                          F.col("component").alias(f"c{side}"), *[F.col(w).alias(f"{side}{w}") for w in WORDS], *more)
+
+
 def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> DataFrame:
     """``token, doc_id, n, at, degree``, each once, in the regions two members can be linked in; copies are left to their first document."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_list(survey))
@@ -246,7 +275,7 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     ids = kept.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_KEYS
     source = docs.join(F.broadcast(ids), "doc_id", "left_semi") if few else docs
-    rows = stored(source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
+    rows = prefixes = stored(source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
         _prefixes(shared), "token bigint, doc_id bigint, n int, at int, late tinyint"), "prefixes")
     # The smaller document of a linked pair meets the other among the first seventh of its shingles.
     tokens = stored(rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max(F.expr(SHORT)).alias("short"))
@@ -255,6 +284,7 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     if repeated or not few:
         rows = rows.join(kept.withColumn("n", F.col("n").cast("int")), ["doc_id", "n"])
     rows = stored(rows, "members")
+    discard(prefixes)
     # A document in several rows is one member: sums by exclusive-or would cancel it. Without such rows nothing has to move.
     if repeated:
         rows = stored(rows.distinct(), "members")
@@ -300,10 +330,24 @@ def _main_pivot(active: DataFrame) -> DataFrame:
     return counts.groupBy("doc_id").agg(F.max(F.struct("shared", "pivot")).alias("p")).select("doc_id", "p.pivot")
 
 
-def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with the bounds of one more distance, and the links found."""
+def chance_pairs(active: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different components that meet in one of a region's parts of about ``LEAF`` documents, dealt anew in every turn.
+
+    In a group where most pairs are links a few pairs for each document join nearly all of it, and its cells hold few others. The number of
+    parts is a power of two, so that regions with nearly equal members give equal pairs.
+    """
+    parts = stored(active.groupBy("token").agg(F.expr(f"shiftleft(1L, greatest(0, cast(ceil(log2(count(*) / {LEAF})) as int)))").alias("parts")),
+                   "parts")
+    dealt = active.join(_if_small(parts), "token").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(turn)), "parts"))
+    met = _side(dealt.where(SHORT), "x", "part").join(_side(dealt, "y", "part"), ["token", "part"]).where(
+        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM) & F.expr(ALIKE))
+    return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot"))
+
+
+def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members with the bounds of one more distance, and the links found, those of ``chance_pairs`` too."""
     met = active.join(_pivots(active), "token", "left")
-    found = compared(docs, profiles, met.where("doc_id <> pivot").select("doc_id", "pivot"))
+    found = compared(docs, profiles, met.where("doc_id <> pivot").select("doc_id", "pivot").unionByName(chance_pairs(active, turn)))
     own = F.col("doc_id") == F.col("pivot")
     bounds = F.struct(F.when(own, 0.0).otherwise(F.col("low")).alias("low"),
                       F.when(own, 0.0).otherwise(F.col("high")).alias("high"))
@@ -315,12 +359,8 @@ def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame) -> tup
 
 def leaf_pairs(leaves: DataFrame) -> DataFrame:
     """Pairs of different components in regions of a few documents."""
-    here = leaves.where(SHORT).select("token", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("atx"),
-                                      F.col("component").alias("cx"))
-    there = leaves.select("token", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("aty"),
-                          F.col("component").alias("cy"))
-    met = here.join(there, "token").where(
-        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM))
+    met = _side(leaves.where(SHORT), "x").join(_side(leaves, "y"), "token").where(
+        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM) & F.expr(ALIKE))
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot"))
 
 
@@ -338,14 +378,12 @@ def cell_pairs(active: DataFrame) -> DataFrame:
     """
     rounding = 1e-9
     home = F.expr("array_position(distances.high, array_min(distances.high))")
-    here = active.select("token", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("atx"),
-                         F.col("component").alias("cx"), F.col("distances").alias("dx"), home.alias("cell"))
-    there = active.select("token", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("aty"),
-                          F.col("component").alias("cy"), F.col("distances").alias("dy"), F.posexplode("distances").alias("at", "d")).where(
+    here = _side(active, "x", F.col("distances").alias("dx"), home.alias("cell"))
+    there = _side(active, "y", F.col("distances").alias("dy"), F.posexplode("distances").alias("at", "d")).where(
         F.col("d.low") - F.array_min("dy.high") <= 2 * RADIUS + rounding).withColumn("cell", F.col("at") + 1)
     apart = F.exists(F.zip_with("dx", "dy", lambda a, b: F.greatest(a["low"] - b["high"], b["low"] - a["high"])),
                      lambda gap: gap > RADIUS + rounding)
-    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & F.expr(ROOM) & ~apart)
+    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & F.expr(ROOM) & F.expr(ALIKE) & ~apart)
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot")).distinct()
 
 
@@ -354,11 +392,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survey = stored(docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
-        _survey, "doc_id bigint, n bigint, f1 bigint, f2 bigint, profile binary, token bigint, docs bigint"), "survey")
-    rows = survey.where("token is null").select("doc_id", "n", "f1", "f2", "profile")
+        _survey, "doc_id bigint, n bigint, f1 bigint, f2 bigint, profile binary, sketch binary, token bigint, docs bigint"), "survey")
+    rows = survey.where("token is null").select("doc_id", "n", "f1", "f2", "profile", "sketch")
     sets = rows.where("n > 0 and doc_id is not null")
-    first = stored(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("member"), F.min("profile").alias("profile")), "first")
-    members = stored(sets.drop("profile").join(first.drop("profile"), ["n", "f1", "f2"]).select(
+    first = stored(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("member"), F.min("profile").alias("profile"),
+                                                       F.min("sketch").alias("sketch")), "first")
+    members = stored(sets.drop("profile", "sketch").join(first.drop("profile", "sketch"), ["n", "f1", "f2"]).select(
         "doc_id", "n", "member").distinct(), "members")
     profiles = first.select(F.col("member").alias("doc_id"), "n", "profile")
     texts = docs.where("doc_id is not null")
@@ -370,14 +409,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "distances", F.expr(f"cast(array() as {DISTANCES})")), "regions")
     links = stored(links.unionByName(_links(compared(texts, profiles, _main_pivot(active)))), "links")
     labels = components(spark, links)
-    active = stored(_open_regions(active, labels), "regions")
+    active = stored(_open_regions(active, labels).join(sketches_of(first), ["doc_id", "n"]), "regions")
     leaves, large = _split(active)
     pairs = leaf_pairs(leaves)
     large = stored(large, "regions")
-    for _ in range(PIVOTS):
+    for turn in range(PIVOTS):
         if large.isEmpty():
             break
-        large, new = _pivot_round(texts, profiles, large)
+        large, new = _pivot_round(texts, profiles, large, turn)
         links = stored(links.unionByName(new), "links")
         large = stored(_open_regions(large, components(spark, links)), "regions")
     if not large.isEmpty():

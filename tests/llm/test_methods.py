@@ -111,6 +111,56 @@ def test_large_regions_go_through_pivots_and_cells(spark, monkeypatch):
     assert got == dict(enumerate(label)) and 1 < len(set(label)) < 40
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=60))
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles(one, two):
+    a, b = (int.from_bytes(jaccard_join.sketch_of(np.array(sorted(s), np.uint64)), "big") for s in (one, two))
+    assert (a ^ b).bit_count() <= len(one ^ two)
+
+
+def test_documents_that_share_little_make_no_pairs(spark, monkeypatch):
+    made, pairs = [], jaccard_join.leaf_pairs
+
+    def counted(leaves):
+        found = pairs(leaves)
+        with monkeypatch.context() as without:
+            without.setattr(jaccard_join, "ALIKE", "true")
+            made.append((pairs(leaves).count(), found.count()))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "leaf_pairs", counted)
+    texts = [" ".join([*(f"c{i // 6}x{j}" for j in range(14)), *(f"u{i}x{j}" for j in range(12))]) for i in range(150)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert all(r.doc_id == r.component_id for r in got) and made[0][0] > 0 and made[0][1] == 0
+
+
+def test_near_copies_join_before_their_cells(spark, monkeypatch):
+    """Of a group most of whose pairs are no links of any pivot, cells hold a few pairs and not the square of its size."""
+    made, cells = [], jaccard_join.cell_pairs
+
+    def counted(active):
+        found = cells(active)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "cell_pairs", counted)
+    pick, texts = np.random.default_rng(5), []
+    for i in range(250):
+        words = [f"c{j}" for j in range(140)]
+        for at in pick.choice(140, int(pick.integers(2, 6)), replace=False):
+            words[at] = f"u{i}x{at}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k: k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(250))
+    links = [(x, y) for x in range(250) for y in range(x) if 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])]
+    while any(label[x] != label[y] for x, y in links):
+        for x, y in links:
+            label[x] = label[y] = min(label[x], label[y])
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got == dict(enumerate(label)) and sum(made) < 1000
+
+
 def test_regions_of_repeated_rows_stay_apart(spark):
     def pair(name):
         words = [f"{name}{i}" for i in range(120)]
