@@ -26,8 +26,9 @@ that adaptive execution splits (it can where both sides come straight from a shu
 Before texts travel, a pair must pass a bound: documents carry the counts of their shingles in buckets of the hash, a
 quarter to half as many as they have shingles, and the sum of differences of two such profiles, folded to one
 length, is never more than the number of shingles in one set only. Before that, in the joins that make pairs, documents are held against
-each other by the odd and even of ``SKETCH_BITS`` buckets, which differ in no more places. With each pivot, documents are also compared
-with the few of their region that chance deals to them: many links among near copies join them before cells are.
+each other by the odd and even of ``SKETCH_BITS`` buckets, which differ in no more places. A pair that meets in many regions is made in
+the first: a member carries the marks of its last ``SEEN`` regions before this one, and what shares one of them has met there. With each
+pivot, documents are also compared with the few of their region that chance deals to them: many links among near copies join them before cells are.
 
 Defined cases: a null or empty text has an empty set, size 0, linked with nothing; fewer than five words make
 one shingle; rows with one ``doc_id`` are one document for links, each with its own ``n_shingles``;
@@ -51,7 +52,11 @@ SIZE = 5
 PERCENT = 75
 RADIUS = 0.25
 # Rounds of document pivots in regions of more than LEAF documents.
-PIVOTS, LEAF = 3, 32
+PIVOTS, LEAF = 3, 256
+# Documents in one of the parts that chance deals a larger region to.
+DEALT = 32
+# Regions before its own that a member names.
+SEEN = 16
 # A shingle counts as frequent from this many documents on; the list is as long as sums over all documents allow.
 FREQUENT, LIST = 32, 500_000
 BLOCK = 2_000_000
@@ -259,14 +264,21 @@ def sketches_of(first: DataFrame) -> DataFrame:
         F.expr(f"cast(conv(hex(substring(sketch, {8 * i + 1}, 8)), 16, -10) as bigint)").alias(w) for i, w in enumerate(WORDS)])
 
 
+# The pair has not met in a region before this one, as far as both remember.
+FIRST = "not arrays_overlap(seenx, seeny)"
+
+
 def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
     """``members`` as one side of a join of pairs."""
     return members.select("token", F.col("doc_id").alias(side), F.col("n").alias(f"n{side}"), F.col("at").alias(f"at{side}"),
-                          F.col("component").alias(f"c{side}"), *[F.col(w).alias(f"{side}{w}") for w in WORDS], *more)
+                          F.col("component").alias(f"c{side}"), F.col("seen").alias(f"seen{side}"), *[F.col(w).alias(f"{side}{w}") for w in WORDS], *more)
 
 
 def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> DataFrame:
-    """``token, doc_id, n, at, degree``, each once, in the regions two members can be linked in; copies are left to their first document."""
+    """``token, doc_id, n, at, degree, seen``, each once, in the regions two members can be linked in; copies are left to their first document.
+
+    ``seen`` are the marks of the ``SEEN`` regions that come before this one in the document's order, none for documents of several rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent_list(survey))
     kept = first.select(F.col("member").alias("doc_id"), "n").distinct()
     several = stored(survey.where("token is null and n > 0 and doc_id is not null").groupBy("doc_id").count()
@@ -278,8 +290,10 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     rows = prefixes = stored(source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
         _prefixes(shared), "token bigint, doc_id bigint, n int, at int, late tinyint"), "prefixes")
     # The smaller document of a linked pair meets the other among the first seventh of its shingles.
-    tokens = stored(rows.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max(F.expr(SHORT)).alias("short"))
-                    .where("a < b and short").select("token"), "shared")
+    # A document's shingles are distinct: without documents in several rows their number is that of its documents.
+    met = F.min("doc_id") < F.max("doc_id") if repeated else F.count("*") > 1
+    tokens = stored(rows.groupBy("token").agg(met.alias("met"), F.max(F.expr(SHORT)).alias("short"))
+                    .where("met and short").select("token"), "shared")
     rows = rows.join(_if_small(tokens), "token")
     if repeated or not few:
         rows = rows.join(kept.withColumn("n", F.col("n").cast("int")), ["doc_id", "n"])
@@ -293,10 +307,19 @@ def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> Data
     sets = rows.groupBy("token").agg(
         F.count("*").alias("docs"), F.bit_xor(F.xxhash64("doc_id", "n")).alias("x1"),
         F.bit_xor(F.xxhash64(F.lit(1), "doc_id", "n")).alias("x2"), F.first("late").alias("late"))
-    regions = stored(sets.where("docs > 1").groupBy("docs", "x1", "x2").agg(F.min(order).alias("o")).select("o.token"), "kept")
+    # A region's mark is null where another has the same: marks then stand for one region each.
+    mark = F.hash("token")
+    regions = stored(sets.where("docs > 1").groupBy("docs", "x1", "x2").agg(F.min(order).alias("o")).select("o.token").withColumn(
+        "mark", F.when(F.count("*").over(Window.partitionBy(mark)) == 1, mark)), "kept")
     # Documents that share most of their shingles are central: copies of one text meet at the text, not at each other.
     shared_by = stored(rows.groupBy("doc_id").agg(F.count("*").alias("degree")), "degrees")
-    return rows.drop("late").join(_if_small(regions), "token").join(shared_by, "doc_id")
+    rows = rows.drop("late").join(_if_small(regions), "token").join(shared_by, "doc_id")
+    if repeated:
+        # Places of different rows are in different orders: a pair that meets in one of them may have room in another only.
+        rows = rows.join(_if_small(several.withColumn("_several", F.lit(True))), "doc_id", "left").withColumn(
+            "mark", F.when(F.col("_several").isNull(), F.col("mark"))).drop("_several")
+    before = Window.partitionBy("doc_id").orderBy("at").rowsBetween(-SEEN, -1)
+    return rows.withColumn("seen", F.collect_list("mark").over(before)).drop("mark")
 
 
 def _open_regions(active: DataFrame, labels: DataFrame) -> DataFrame:
@@ -331,16 +354,15 @@ def _main_pivot(active: DataFrame) -> DataFrame:
 
 
 def chance_pairs(active: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different components that meet in one of a region's parts of about ``LEAF`` documents, dealt anew in every turn.
+    """Pairs of different components that meet in one of a region's parts of about ``DEALT`` documents, dealt anew in every turn.
 
     In a group where most pairs are links a few pairs for each document join nearly all of it, and its cells hold few others. The number of
     parts is a power of two, so that regions with nearly equal members give equal pairs.
     """
-    parts = stored(active.groupBy("token").agg(F.expr(f"shiftleft(1L, greatest(0, cast(ceil(log2(count(*) / {LEAF})) as int)))").alias("parts")),
-                   "parts")
-    dealt = active.join(_if_small(parts), "token").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(turn)), "parts"))
+    parts = F.expr(f"shiftleft(1L, greatest(0, cast(ceil(log2(docs / {DEALT})) as int)))")
+    dealt = active.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(turn)), parts))
     met = _side(dealt.where(SHORT), "x", "part").join(_side(dealt, "y", "part"), ["token", "part"]).where(
-        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM) & F.expr(ALIKE))
+        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM) & F.expr(ALIKE) & F.expr(FIRST))
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot"))
 
 
@@ -360,14 +382,14 @@ def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame, turn:
 def leaf_pairs(leaves: DataFrame) -> DataFrame:
     """Pairs of different components in regions of a few documents."""
     met = _side(leaves.where(SHORT), "x").join(_side(leaves, "y"), "token").where(
-        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM) & F.expr(ALIKE))
+        (F.col("cx") != F.col("cy")) & F.expr("(nx < ny or nx = ny and x > y)") & F.expr(ROOM) & F.expr(ALIKE) & F.expr(FIRST))
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot"))
 
 
 def _split(active: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Leaves and larger regions."""
-    large = stored(active.groupBy("token").count().where(F.col("count") > LEAF).select("token"), "large")
-    return active.join(_if_small(large), "token", "left_anti"), active.join(_if_small(large), "token", "left_semi")
+    """Leaves, and larger regions with their number of members ``docs``."""
+    large = stored(active.groupBy("token").agg(F.count("*").alias("docs")).where(F.col("docs") > LEAF), "large")
+    return active.join(_if_small(large.select("token")), "token", "left_anti"), active.join(_if_small(large), "token")
 
 
 def cell_pairs(active: DataFrame) -> DataFrame:
@@ -383,7 +405,7 @@ def cell_pairs(active: DataFrame) -> DataFrame:
         F.col("d.low") - F.array_min("dy.high") <= 2 * RADIUS + rounding).withColumn("cell", F.col("at") + 1)
     apart = F.exists(F.zip_with("dx", "dy", lambda a, b: F.greatest(a["low"] - b["high"], b["low"] - a["high"])),
                      lambda gap: gap > RADIUS + rounding)
-    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & F.expr(ROOM) & F.expr(ALIKE) & ~apart)
+    met = here.join(there, ["token", "cell"]).where((F.col("cx") != F.col("cy")) & F.expr(ROOM) & F.expr(ALIKE) & ~apart & F.expr(FIRST))
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot")).distinct()
 
 
