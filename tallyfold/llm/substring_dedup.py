@@ -123,12 +123,12 @@ def _runs(window: int, shared):
     return run
 
 
-def _finish(window: int):
-    """``n_words, n_removed, kept`` from the text and the starts of the windows to remove."""
+def _finish(window: int, column: int):
+    """``n_words, n_removed, kept`` from the text, a column of ``_row``, and the starts of the windows to remove."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             kept, total, gone = [], [], []
-            for text, starts in zip(part["_utf8"], part["starts"]):
+            for text, starts in zip(part["_row"].field(column).cast(pa.binary()), part["starts"]):
                 words = (text.as_py() or b"").split()
                 total.append(len(words))
                 if starts.is_valid and len(starts):
@@ -147,16 +147,18 @@ def _finish(window: int):
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``_row`` (all columns of ``docs``), ``n_words, n_removed`` and ``_kept``: the words left, one space between."""
     rows = docs.select(F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("_doc"),
-                       F.xxhash64(F.coalesce("text", F.lit("\0"))).alias("_text_hash"), utf8("text").alias("_utf8"))
+                       F.xxhash64(F.coalesce("text", F.lit("\0"))).alias("_text_hash"))
     kind = rows.schema["_row"].dataType.simpleString()
+    column = [c.lower() for c in docs.columns].index("text")
     shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, window))
-    runs = stored(rows.select("_doc", "_text_hash", "_utf8").mapInArrow(
+    runs = stored(rows.select("_doc", "_text_hash", utf8("_row.text").alias("_utf8")).mapInArrow(
         _runs(window, shared), "_doc bigint, _text_hash bigint, anchor bigint, r1 bigint, r2 bigint, start int, n int, "
                                "windows array<bigint>"), "runs")
     starts = repeated_starts(runs).groupBy("_doc", "_text_hash").agg(
         F.collect_list(F.struct("start", "n")).alias("starts"))  # no more than its windows
-    return (rows.join(starts, ["_doc", "_text_hash"], "left").select("_row", "_utf8", "starts")
-            .mapInArrow(_finish(window), f"_row {kind}, n_words bigint, n_removed bigint, _kept binary"))
+    # The text moves once, inside its row.
+    return (rows.join(starts, ["_doc", "_text_hash"], "left").select("_row", "starts")
+            .mapInArrow(_finish(window, column), f"_row {kind}, n_words bigint, n_removed bigint, _kept binary"))
 
 
 def repeated_starts(runs: DataFrame) -> DataFrame:

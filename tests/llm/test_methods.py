@@ -289,3 +289,68 @@ def test_an_archive_with_a_missing_segment_is_incomplete(spark, tmp_path):
 
 def test_words():
     assert words_of("Ab-c9 É_x y".encode()) == [b"ab", b"c9", "É".encode(), "x y".encode()]
+
+
+def test_a_pair_that_meets_in_many_regions_is_made_once(spark, monkeypatch):
+    """Documents that share two thirds of their shingles, too few for a link, meet in a region for every shared shingle."""
+    made, pairs = [], jaccard_join.leaf_pairs
+
+    def counted(leaves):
+        found = pairs(leaves)
+        made.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "leaf_pairs", counted)
+    monkeypatch.setattr(jaccard_join, "ALIKE", "true")
+    pick, texts = np.random.default_rng(3), []
+    for group in range(12):
+        for i in range(6):
+            words = [f"g{group}x{j}" for j in range(300)]
+            for at in pick.choice(300, 15, replace=False):
+                words[at] = f"u{group}x{i}x{at}"
+            texts.append(" ".join(words))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    sets = [{tuple(w[k: k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(texts)))
+    links = [(x, y) for x in label for y in range(x) if 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])]
+    while any(label[x] != label[y] for x, y in links):
+        for x, y in links:
+            label[x] = label[y] = min(label[x], label[y])
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+    [(rows, distinct)] = made
+    assert 0 < distinct <= rows <= 1.2 * distinct
+
+
+def test_chance_pairs_take_region_sizes_from_their_members(spark, monkeypatch):
+    """Sizes are not counted again and joined back to all members in every turn."""
+    plans, dealt = [], jaccard_join.chance_pairs
+
+    def watched(active, turn):
+        found = dealt(active, turn)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "chance_pairs", watched)
+    monkeypatch.setattr(jaccard_join, "LEAF", 2)
+    texts = [" ".join([*(f"c{j}" for j in range(30)), *(f"u{i}x{j}" for j in range(4 + i % 7))]) for i in range(30)]
+    jaccard_join.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert plans and all(plan.count("Join") == 1 for plan in plans)
+
+
+def test_texts_move_once_to_where_passages_are_cut(spark):
+    rows = [(i, None if i % 50 == 0 else " ".join(f"w{k}" for k in range(i % 7 * 20, i % 7 * 20 + 80)), i % 3) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, TEXT string, more int").coalesce(1)
+    found = substring_dedup.remove_repeats(docs)
+    joined = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_utf8" not in joined
+    got = {r._row.doc_id: r for r in found.collect()}
+    assert sorted((*r._row,) for r in got.values()) == sorted(rows)
+    words = {i: (text or "").split() for i, text, _ in rows}
+    seen, windows = {}, {i: [tuple(w[k: k + 50]) for k in range(len(w) - 49)] for i, w in words.items()}
+    for i in sorted(windows):
+        for w in windows[i]:
+            seen.setdefault(w, i)
+    for i, w in words.items():
+        gone = {k + j for k, window in enumerate(windows[i]) if seen[window] < i for j in range(50)}
+        assert got[i]._kept.decode() == " ".join(x for k, x in enumerate(w) if k not in gone)
+        assert (got[i].n_words, got[i].n_removed) == (len(w), len(gone))
