@@ -1,4 +1,4 @@
-"""Connected components of a graph given by edges, by alternating large and small stars."""
+"""Connected components of a graph given by edges, by hooking each root to its least neighbour and contracting."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..workspace import remove_folder, run_dir
 
+# Nodes (16 bytes each) that are broadcast to rename the ends of edges.
+BROADCAST_NODES = 1_000_000
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Written to the shared folder and read back: cuts lineage and survives lost executors."""
@@ -21,28 +24,47 @@ def discard(table: DataFrame) -> None:
         remove_folder(table.sparkSession, path)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    # Written first: adaptive execution splits a hub's rows only where both sides of a join come straight from a shuffle.
-    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+def _lookup(labels: DataFrame) -> DataFrame:
+    """A written table of labels as the right side of joins, marked for broadcast where its measured size allows it."""
+    named = labels.select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+    return F.broadcast(named) if labels.count() <= BROADCAST_NODES else named
+
 
+def _moved(table: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
+    """``table`` with the nodes in ``column`` replaced by their labels, where they have one."""
+    return table.join(lookup, F.col(column) == F.col("_node"), "left").withColumn(
+        column, F.coalesce("_to", column)).drop("_node", "_to")
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Edges have u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
+def _between(edges: DataFrame) -> DataFrame:
+    return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """``u, v`` in, ``node, component`` out for every node but the smallest of its component (which is the component)."""
-    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-                 "edges")
-    mark = None
+
+def _roots(parents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parents, each less than its node, followed up to the roots; and their lookup."""
     while True:
-        seen = now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first()
-        if seen == mark or seen[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        mark = seen
-        now = stored(_small_star(_large_star(now)), "edges")
+        lookup = _lookup(parents)
+        if parents.join(lookup, F.col("component") == F.col("_node"), "left_semi").isEmpty():
+            return parents, lookup
+        parents = stored(_moved(parents, "component", lookup), "parents")
+
+
+def components(spark: SparkSession, edges: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``u, v`` in, ``node, component`` out for every node but the smallest of its component (which is the component).
+
+    ``before`` is what this gave for other edges: the components of all edges come out, and only edges between its components are followed.
+
+    A root that is left with edges has taken in a neighbour, or has a smaller one in the next round: roots halve in two rounds at most.
+    """
+    labels = before
+    if before is not None:
+        lookup = _lookup(before)
+        edges = _moved(_moved(edges.select("u", "v"), "u", lookup), "v", lookup)
+    now = stored(_between(edges), "edges")
+    while not now.isEmpty():
+        # Sums by node: a hub's edges meet as one row from each task.
+        hooked = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+        parents, lookup = _roots(stored(hooked, "parents"))
+        labels = parents if labels is None else stored(_moved(labels, "component", lookup).unionByName(parents), "labels")
+        now = stored(_between(_moved(_moved(now, "u", lookup), "v", lookup)), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")) if labels is None else labels

@@ -207,25 +207,36 @@ def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "pivot", "low", "possible"])
 
 
-def compared(docs: DataFrame, profiles: DataFrame, pairs: DataFrame) -> DataFrame:
+def _met(own: DataFrame, pivots: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of ``own`` and ``pivots`` that are a pair of the written ``pairs``.
+
+    Only what is in a pair travels: pairs are broadcast to the rows where their measured number allows it.
+    """
+    hint = F.broadcast if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
+    return own.join(hint(pairs), "doc_id").join(pivots.join(hint(pairs.select("pivot")), "pivot", "left_semi"), "pivot")
+
+
+def compared(docs: DataFrame, profiles: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
     """``doc_id, pivot, low, high, linked`` of the distinct pairs ``doc_id, pivot``: bounds of the distance, equal if exact.
 
-    Only texts of pairs that the bound leaves open travel: those pairs are broadcast to the documents where their
-    measured number allows it.
+    Only texts of pairs that the bound leaves open travel. Pairs have several rows only where documents are ``repeated``.
     """
     one = profiles.select("doc_id", F.col("n").alias("nx"), F.col("profile").alias("px"))
     two = profiles.select(F.col("doc_id").alias("pivot"), F.col("n").alias("ny"), F.col("profile").alias("py"))
-    bounds = stored(pairs.distinct().join(one, "doc_id").join(two, "pivot").mapInArrow(
+    bounds = _met(one, two, stored(pairs.distinct(), "pairs")).mapInArrow(
         _bound, "doc_id bigint, pivot bigint, low double, possible boolean")
-        .groupBy("doc_id", "pivot").agg(F.min("low").alias("low"), F.max("possible").alias("possible")), "bounds")
-    open_pairs = bounds.where("possible").select("doc_id", "pivot")
-    hint = F.broadcast if open_pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
-    own = docs.select("doc_id", utf8("text").alias("own")).join(hint(open_pairs), "doc_id")
-    pivots = docs.select(F.col("doc_id").alias("pivot"), utf8("text").alias("pivot_text")).join(
-        hint(open_pairs.select("pivot").distinct()), "pivot", "left_semi")
-    exact = own.join(pivots, "pivot").select("doc_id", "pivot", "own", "pivot_text").mapInArrow(
-        _compare, "doc_id bigint, pivot bigint, distance double, linked boolean").groupBy("doc_id", "pivot").agg(
-        F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("linked").alias("linked"))
+    if repeated:
+        bounds = bounds.groupBy("doc_id", "pivot").agg(F.min("low").alias("low"), F.max("possible").alias("possible"))
+    bounds = stored(bounds, "bounds")
+    own = docs.select("doc_id", utf8("text").alias("own"))
+    pivots = docs.select(F.col("doc_id").alias("pivot"), utf8("text").alias("pivot_text"))
+    exact = _met(own, pivots, bounds.where("possible").select("doc_id", "pivot")).select("doc_id", "pivot", "own", "pivot_text").mapInArrow(
+        _compare, "doc_id bigint, pivot bigint, distance double, linked boolean")
+    if repeated:
+        exact = exact.groupBy("doc_id", "pivot").agg(
+            F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("linked").alias("linked"))
+    else:
+        exact = exact.select("doc_id", "pivot", F.col("distance").alias("low"), F.col("distance").alias("high"), "linked")
     far = bounds.where("not possible").select("doc_id", "pivot", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
     return stored(exact.unionByName(far), "compared")
 
@@ -274,17 +285,21 @@ def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
                           F.col("component").alias(f"c{side}"), F.col("seen").alias(f"seen{side}"), *[F.col(w).alias(f"{side}{w}") for w in WORDS], *more)
 
 
-def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame) -> DataFrame:
+def documents_of_several_rows(survey: DataFrame) -> DataFrame:
+    return stored(survey.where("token is null and doc_id is not null").groupBy("doc_id").count()
+                  .where("count > 1").select("doc_id"), "several")
+
+
+def region_members(docs: DataFrame, survey: DataFrame, first: DataFrame, several: DataFrame, repeated: bool) -> DataFrame:
     """``token, doc_id, n, at, degree, seen``, each once, in the regions two members can be linked in; copies are left to their first document.
 
     ``seen`` are the marks of the ``SEEN`` regions that come before this one in the document's order, none for documents of several rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent_list(survey))
-    kept = first.select(F.col("member").alias("doc_id"), "n").distinct()
-    several = stored(survey.where("token is null and n > 0 and doc_id is not null").groupBy("doc_id").count()
-                     .where("count > 1").select("doc_id"), "several")
-    repeated = not several.isEmpty()
-    ids = kept.select("doc_id").distinct()
+    kept = first.select(F.col("member").alias("doc_id"), "n")
+    ids = kept.select("doc_id")
+    if repeated:
+        kept, ids = kept.distinct(), ids.distinct()
     few = ids.count() <= BROADCAST_KEYS
     source = docs.join(F.broadcast(ids), "doc_id", "left_semi") if few else docs
     rows = prefixes = stored(source.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
@@ -366,10 +381,10 @@ def chance_pairs(active: DataFrame, turn: int) -> DataFrame:
     return met.select(F.greatest("x", "y").alias("doc_id"), F.least("x", "y").alias("pivot"))
 
 
-def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+def _pivot_round(docs: DataFrame, profiles: DataFrame, active: DataFrame, turn: int, repeated: bool) -> tuple[DataFrame, DataFrame]:
     """Members with the bounds of one more distance, and the links found, those of ``chance_pairs`` too."""
     met = active.join(_pivots(active), "token", "left")
-    found = compared(docs, profiles, met.where("doc_id <> pivot").select("doc_id", "pivot").unionByName(chance_pairs(active, turn)))
+    found = compared(docs, profiles, met.where("doc_id <> pivot").select("doc_id", "pivot").unionByName(chance_pairs(active, turn)), repeated)
     own = F.col("doc_id") == F.col("pivot")
     bounds = F.struct(F.when(own, 0.0).otherwise(F.col("low")).alias("low"),
                       F.when(own, 0.0).otherwise(F.col("high")).alias("high"))
@@ -419,17 +434,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = rows.where("n > 0 and doc_id is not null")
     first = stored(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("member"), F.min("profile").alias("profile"),
                                                        F.min("sketch").alias("sketch")), "first")
-    members = stored(sets.drop("profile", "sketch").join(first.drop("profile", "sketch"), ["n", "f1", "f2"]).select(
-        "doc_id", "n", "member").distinct(), "members")
+    several = documents_of_several_rows(survey)
+    repeated = not several.isEmpty()
+    members = sets.drop("profile", "sketch").join(first.drop("profile", "sketch"), ["n", "f1", "f2"]).select("doc_id", "n", "member")
+    members = stored(members.distinct() if repeated else members, "members")
     profiles = first.select(F.col("member").alias("doc_id"), "n", "profile")
     texts = docs.where("doc_id is not null")
-    # One document with several sets: its sets count as linked.
-    same = members.groupBy("doc_id").agg(F.min("member").alias("v"), F.max("member").alias("u")).where("u <> v")
-    links = members.join(same.select("doc_id", "v"), "doc_id").select(F.col("member").alias("u"), "v")
 
-    active = stored(region_members(texts, survey, first).withColumn(
+    active = stored(region_members(texts, survey, first, several, repeated).withColumn(
         "distances", F.expr(f"cast(array() as {DISTANCES})")), "regions")
-    links = stored(links.unionByName(_links(compared(texts, profiles, _main_pivot(active)))), "links")
+    links = _links(compared(texts, profiles, _main_pivot(active), repeated))
+    if repeated:
+        # One document with several sets: its sets count as linked.
+        same = members.groupBy("doc_id").agg(F.min("member").alias("v"), F.max("member").alias("u")).where("u <> v")
+        links = links.unionByName(members.join(same.select("doc_id", "v"), "doc_id").select(F.col("member").alias("u"), "v"))
     labels = components(spark, links)
     active = stored(_open_regions(active, labels).join(sketches_of(first), ["doc_id", "n"]), "regions")
     leaves, large = _split(active)
@@ -438,16 +456,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     for turn in range(PIVOTS):
         if large.isEmpty():
             break
-        large, new = _pivot_round(texts, profiles, large, turn)
-        links = stored(links.unionByName(new), "links")
-        large = stored(_open_regions(large, components(spark, links)), "regions")
+        large, new = _pivot_round(texts, profiles, large, turn, repeated)
+        labels = components(spark, new, labels)
+        large = stored(_open_regions(large, labels), "regions")
     if not large.isEmpty():
         pairs = pairs.unionByName(cell_pairs(large))
-    more = _links(compared(texts, profiles, pairs))
-    labels = components(spark, links.unionByName(more))
-    ends = (members.join(labels, F.col("member") == F.col("node"), "left")
-            .select("doc_id", "n", F.coalesce("component", "member").alias("_component"))
-            .groupBy("doc_id", "n").agg(F.min("_component").alias("_component")))
+    labels = components(spark, _links(compared(texts, profiles, pairs, repeated)), labels)
+    ends = members.join(labels, F.col("member") == F.col("node"), "left").select(
+        "doc_id", "n", F.coalesce("component", "member").alias("_component"))
+    if repeated:
+        ends = ends.groupBy("doc_id", "n").agg(F.min("_component").alias("_component"))
     return rows.select("doc_id", "n").join(ends, ["doc_id", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id"))
 

@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tallyfold.llm import components as components_module
 from tallyfold.llm import jaccard_join, language, licenses, main_text, queries, substring_dedup, warc
 from tallyfold.llm.components import components
 from tallyfold.llm.decontaminate import Automaton, automata, decontaminate, find_leaks, words_of
@@ -354,3 +355,65 @@ def test_texts_move_once_to_where_passages_are_cut(spark):
         gone = {k + j for k, window in enumerate(windows[i]) if seen[window] < i for j in range(50)}
         assert got[i]._kept.decode() == " ".join(x for k, x in enumerate(w) if k not in gone)
         assert (got[i].n_words, got[i].n_removed) == (len(w), len(gone))
+
+
+def _least_reachable(edges):
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for u, v in edges:
+            label[u] = label[v] = min(label[u], label[v])
+    return {x: c for x, c in label.items() if x != c}
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_components_go_on_from_those_of_other_edges(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(components_module, "BROADCAST_NODES", broadcast)
+    rng = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))] + [(1000 + i, 1001 + i) for i in range(9)] + [(5000, x) for x in range(4000, 4040)]
+    tables = [spark.createDataFrame(edges[k::2], "u bigint, v bigint") for k in range(2)]
+    before = components(spark, tables[0])
+    got = {r.node: r.component for r in components(spark, tables[1], before).collect()}
+    assert got == _least_reachable(edges)
+    none = spark.createDataFrame([(7, 7)], "u bigint, v bigint")
+    assert {r.node: r.component for r in components(spark, none, before).collect()} == _least_reachable(edges[::2])
+    assert components(spark, none).collect() == []
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_a_round_of_components_moves_edges_once(spark, monkeypatch):
+    moved, write = [], components_module.stored
+    monkeypatch.setattr(components_module, "stored", lambda df, purpose: moved.append(_shuffles(df)) or write(df, purpose))
+    components(spark, spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(i, 900) for i in range(1, 60)], "u bigint, v bigint"))
+    assert sum(moved) <= 3
+
+
+def test_documents_of_one_row_are_compared_in_three_shuffled_steps(spark, monkeypatch):
+    plans, write = {}, jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, purpose: plans.setdefault(purpose, []).append(_shuffles(df)) or write(df, purpose))
+    common = [f"c{i}" for i in range(40)]
+    texts = [" ".join([*common, *[f"u{i // 3}x{j}" for j in range(i % 5)]]) for i in range(30)]
+    for rows in (list(enumerate(texts)), list(enumerate(texts)) + [(3, texts[20]), (4, None)]):
+        plans.clear()
+        got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert len(got) == len(rows) and {r.component_id for r in got if r.n_shingles} == {0}
+        if len(rows) == len(texts):
+            # Pairs meet their profiles and their texts by the pivot, what is found needs no sums.
+            assert max(plans["bounds"]) <= 2 and max(plans["compared"]) <= 2
+
+
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_pairs_are_compared_alike_broadcast_or_not(spark, monkeypatch, few):
+    for limit in ("BROADCAST_PAIRS", "BROADCAST_KEYS"):
+        monkeypatch.setattr(jaccard_join, limit, few)
+    monkeypatch.setattr(components_module, "BROADCAST_NODES", few)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[: 60 - i % 4] + [f"x{i // 10}"] * (i // 10 % 2 * 30))) for i in range(40)] + [(99, "one two three"), (98, "one two three"), (7, words[0])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.report(table).collect()}
+    sets = [(i, frozenset(tuple(w[k: k + min(5, len(w))]) for k in range(max(1, len(w) - 4)))) for i, w in ((i, t.split()) for i, t in rows)]
+    links = [(a, b) for a, x in sets for b, y in sets if 100 * len(x & y) >= 75 * len(x | y)]
+    least = _least_reachable(links)
+    assert got == {(i, len(x), least.get(i, i)) for i, x in sets}
