@@ -44,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..settings import tune_batches
 from .components import components, discard, stored
 from .text import WordHashes, list_column, slices, utf8, window_hashes
 
@@ -426,7 +427,7 @@ def cell_pairs(active: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    spark = docs.sparkSession
+    spark = tune_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     survey = stored(docs.select("doc_id", utf8("text").alias("_utf8")).mapInArrow(
         _survey, "doc_id bigint, n bigint, f1 bigint, f2 bigint, profile binary, sketch binary, token bigint, docs bigint"), "survey")

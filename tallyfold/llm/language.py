@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..settings import tune_batches
 from .text import slices, utf8
 
 BUCKETS = 1 << 15
@@ -161,6 +162,7 @@ def _tag(shared):
 
 def tag(docs: DataFrame, model: Model) -> DataFrame:
     """``_row`` (all columns of ``docs``), ``lang_pred, score, mixture``. Only the text is looked at."""
+    tune_batches(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("_row"), utf8("text").alias("_utf8"))
     return rows.mapInArrow(
         _tag(docs.sparkSession.sparkContext.broadcast(model)),

@@ -22,6 +22,9 @@ MAX_PARTITIONS = 20_000
 # Rows are wider in a shuffle than in a compressed columnar file.
 SHUFFLED_PER_STORED = 2
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Rows of whole texts in one Arrow batch.
+BATCH_ROWS = 1024
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
@@ -40,6 +43,16 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+def tune_batches(spark: SparkSession) -> SparkSession:
+    """Rows that Python gets at a time, where the session leaves them at Spark's default.
+
+    A batch of texts is held several times over: in the vectors of the executor, which grow by doubling, and in the worker.
+    """
+    if ARROW_ROWS not in {name for name, _ in spark.sparkContext.getConf().getAll()}:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    return spark
+
+
 def input_bytes(*tables: DataFrame, unknown: int = 0) -> int:
     """Size of what the tables are read from, by the optimiser's statistics of their leaves; no job is run.
 

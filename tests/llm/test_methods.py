@@ -17,6 +17,7 @@ from tallyfold.llm.components import components
 from tallyfold.llm.decontaminate import Automaton, automata, decontaminate, find_leaks, words_of
 from tallyfold.llm.quality_rules import repeated_words
 from tallyfold.llm.text import WordHashes, covered, window_hashes
+from tallyfold.settings import ARROW_ROWS, BATCH_ROWS
 
 WORDS = st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=25)
 SF = "/root/testdata/sf0.01"
@@ -417,3 +418,12 @@ def test_pairs_are_compared_alike_broadcast_or_not(spark, monkeypatch, few):
     links = [(a, b) for a, x in sets for b, y in sets if 100 * len(x & y) >= 75 * len(x | y)]
     least = _least_reachable(links)
     assert got == {(i, len(x), least.get(i, i)) for i, x in sets}
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    spark.conf.unset(ARROW_ROWS)
+    jaccard_join.report(spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string"))
+    assert spark.conf.get(ARROW_ROWS) == str(BATCH_ROWS)
+    spark.conf.unset(ARROW_ROWS)
+    language.report(spark.createDataFrame([(1, "ein Text", "de")], "doc_id bigint, text string, lang string"))
+    assert spark.conf.get(ARROW_ROWS) == str(BATCH_ROWS)
