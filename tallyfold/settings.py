@@ -53,6 +53,18 @@ def tune_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Inside, Python gets at most so many rows at a time. For queries that run inside; rows there are large ones."""
+    before = spark.conf.get(ARROW_ROWS)
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def input_bytes(*tables: DataFrame, unknown: int = 0) -> int:
     """Size of what the tables are read from, by the optimiser's statistics of their leaves; no job is run.
 

@@ -115,6 +115,39 @@ def test_hashes_that_meet_only_add_candidates(spark):
     assert {p: n for p, n in counts.items() if n} == {"one two": 20, "two one": 19}
 
 
+def test_passes_over_the_texts_do_not_grow_with_the_candidates(spark, monkeypatch):
+    """Words, two levels and the counts take a pass each, also when a sieve is too small and there are many shards."""
+    kind, passes = type(spark.range(1)), []
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, *given, **more: (passes.extend(["codes"] * ("codes" in df.columns)), plain(df, *given, **more))[1])
+    for limits in ({}, SMALL):
+        for name, value in limits.items():
+            monkeypatch.setattr(C, name, value)
+        passes.clear()
+        C.collocations(frame(spark))
+        assert len(passes) == 4
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=4, max_size=40), st.integers(1, 4), st.sampled_from([4, 1 << 40]))
+def test_runs_of_numbers_are_counted(codes, size, words):
+    at = np.arange(len(codes) - size + 1)
+    columns, n = C._runs(np.array(codes, np.int32), at, size, words)
+    got = {tuple(int(c[i]) for c in columns): int(n[i]) for i in range(len(n))}
+    assert got == Counter(tuple(codes[i: i + size]) for i in at)
+
+
+def test_a_sieve_holds_what_was_put_in(monkeypatch):
+    h = np.random.default_rng(0).integers(0, 1 << 63, 4000).astype(np.uint64)
+    roomy = C.Sieve(2000)
+    roomy.put(h[:2000])
+    assert roomy.holds(h[:2000]).all() and roomy.holds(h[2000:]).sum() < 100
+    monkeypatch.setattr(C, "PART_HASHES", 20)
+    full = C.Sieve(2000)
+    full.put(h[:2000])
+    assert full.holds(h[:2000]).all() and len(full.bits) <= 80
+
+
 def test_exact_scores_beyond_64_bits(spark):
     a, l, r = 3 * 10**13 + 7, 4 * 10**13 + 9, 9 * 10**13 + 11
     phrases = spark.createDataFrame([("en", "x y", a)], "lang string, phrase string, a bigint")
