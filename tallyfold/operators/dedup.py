@@ -19,7 +19,7 @@ def _tie_break(field: T.StructField) -> Column | None:
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = (),
-                 null_keys: str = "collapse") -> DataFrame:
+                 null_keys: str = "collapse", repeated: bool = True) -> DataFrame:
     """Keep the first row of every key.
 
     Rows tie-break on all remaining columns, so the pick does not depend on
@@ -28,7 +28,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 
     ``rank = 1`` lets Spark put a group limit before the exchange: each map
     task sends at most one row per key, so a key (or null) that fills a third
-    of the table costs the reducer one row per map task.
+    of the table costs the reducer one row per map task. Where no key has
+    many rows, ``repeated=False`` saves the sort that this limit needs.
     """
     if null_keys not in ("collapse", "keep", "drop"):
         raise ValueError(f"null_keys must be collapse, keep or drop, not {null_keys!r}")
@@ -37,7 +38,9 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     spec = Window.partitionBy(*keys).orderBy(*order)
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
     rows = df if null_keys == "collapse" else df.where(known)
-    picked = rows.withColumn("_rank", F.row_number().over(spec)).where("_rank = 1").drop("_rank")
+    # Spark puts no limit before a count.
+    rank = F.row_number().over(spec) if repeated else F.count("*").over(spec.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    picked = rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
     return picked.unionByName(df.where(~known)) if null_keys == "keep" else picked
 
 

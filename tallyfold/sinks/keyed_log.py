@@ -94,7 +94,8 @@ class KeyedLog:
             versions = packed.unionByName(versions)
         if only is not None:
             versions = versions.join(only, F.col(self.keys[0]).eqNullSafe(F.col("_seen")), "left_semi")
-        return dedup_by_key(versions, self.keys, [F.col("epoch").desc(), F.col("batch_id").desc()]).drop(
+        # A key has a row for every batch since the last snapshot at most.
+        return dedup_by_key(versions, self.keys, [F.col("epoch").desc(), F.col("batch_id").desc()], repeated=False).drop(
             "epoch", "batch_id")
 
     def compact(self, spark: SparkSession, into: str) -> KeyedLog:

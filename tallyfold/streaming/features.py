@@ -17,6 +17,10 @@ from .epochs import batch_folder, epoch_of
 from .parse import triggered
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# For large state in large micro-batches: one bound of memory for all partitions of an executor, a commit writes what it changed,
+# and the rows of the state are not counted.
+LARGE_STATE = {f"spark.sql.streaming.stateStore.rocksdb.{name}": value for name, value in (
+    ("boundedMemoryUsage", "true"), ("changelogCheckpointing.enabled", "true"), ("trackTotalNumberOfRows", "false"))}
 BATCH_COLUMN = "written_by"
 FEATURE_KEYS = ("window_start", "window_end", "customer_id")
 
@@ -87,21 +91,21 @@ def start_sink(rows: DataFrame, table: str, target: Target, checkpoint: str, eve
 
 
 @contextmanager
-def state_settings(spark: SparkSession, partitions: int | None = None, on_disk: bool = False):
+def state_settings(spark: SparkSession, partitions: int | None = None, on_disk: bool = False, large: bool = False):
     """Start stateful queries inside: their first run fixes the number of state partitions for good.
 
-    ``on_disk`` keeps state in RocksDB instead of executor memory, for very many customers.
+    ``on_disk`` keeps state in RocksDB instead of executor memory, for very many customers; ``large`` adds ``LARGE_STATE``.
     """
-    wanted = {}
+    wanted = dict(LARGE_STATE) if large else {}
     if partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
     if on_disk:
         wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
-    before = {name: spark.conf.get(name) for name in wanted}
+    before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.metrics import run_metrics
 from ..sinks.warehouse import files
 from ..streaming.features import (FeatureSettings, feature_log, feature_rows, start_appends, start_sink,
-                                  start_upserts)
+                                  start_upserts, state_settings)
 from ..streaming.moving import last_rows_log, moving_average_stream, start_moving_average
 from ..streaming.parse import parse_transactions, start_landing
 from ..streaming.progress import ProgressLog
@@ -20,8 +20,10 @@ from .tables import STREAM_CTE, table
 WALL_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-# The events are cut by time into so many slices of so many files, and a trigger reads one slice.
+# The events are cut by time into so many slices of so many files at least, and a trigger reads one slice.
 SLICES, FILES = 5, 2
+# Events of a file, and of a partition of the state; state of more than one partition's events goes to disk.
+FILE_ROWS, STATE_ROWS = 100_000, 500_000
 
 
 def sliced(events):
@@ -32,22 +34,34 @@ def sliced(events):
         f"cast((unix_micros(cast(ts as timestamp)) - {first}L) * {SLICES}L div ({last}L - {first}L + 1L) as int)"))
 
 
+def files_of(rows):
+    """Files of every slice, given their numbers of rows; no file of the smallest slice may be without rows."""
+    return max(FILES, min(-(-sum(rows) // (SLICES * FILE_ROWS)), min(rows, default=0) // 1000 if len(rows) == SLICES else 0))
+
+
 class Feed:
     """A folder of event files; slices are added one after the other, and read in that order."""
 
     def __init__(self, spark, sf_dir):
         self.spark, self.events, self.path = spark, table(spark, sf_dir, "events"), run_dir(spark, "feed")
         self.slices = sliced(self.events)
+        rows = [n for _, n in self.slices.where("_slice is not null").groupBy("_slice").count().collect()]
+        self.rows, self.files = sum(rows), files_of(rows)
 
     def add(self, *numbers):
         for number in numbers:
-            (self.slices.where(F.col("_slice") == number).drop("_slice").repartition(FILES)
+            (self.slices.where(F.col("_slice") == number).drop("_slice").repartition(self.files)
              .write.mode("append").parquet(self.path))
         return self
 
+    def state(self):
+        """Settings for state that grows with the events: its partitions do not grow, and it is kept on disk once it is large."""
+        many = self.rows > STATE_ROWS
+        return state_settings(self.spark, max(self.spark.sparkContext.defaultParallelism, -(-self.rows // STATE_ROWS)), many, many)
+
     def messages(self, spoil=False):
         """The events as a message stream: JSON text as bytes, every 101st one broken on request."""
-        events = (self.spark.readStream.schema(self.events.schema).option("maxFilesPerTrigger", FILES)
+        events = (self.spark.readStream.schema(self.events.schema).option("maxFilesPerTrigger", self.files)
                   .parquet(self.path))
         payload = F.to_json(F.struct(
             F.concat(F.lit("E"), F.col("event_id")).alias("transaction_id"),
@@ -168,9 +182,11 @@ def upserted_in_two_runs(spark, sf_dir):
     feed = Feed(spark, sf_dir).add(0, 1)
     rows = feature_rows(feed.transactions(), FeatureSettings(watermark="40 days"))
     log = replace(feature_log(run_dir(spark, "features"), rows.schema), snapshot_every=2)
-    start_upserts(rows, log, run_dir(spark, "features-checkpoint"), every=None).awaitTermination()
+    with feed.state():
+        start_upserts(rows, log, run_dir(spark, "features-checkpoint"), every=None).awaitTermination()
     feed.add(*range(2, SLICES))
-    start_upserts(rows, log, run_dir(spark, "features-checkpoint"), every=None).awaitTermination()
+    with feed.state():
+        start_upserts(rows, log, run_dir(spark, "features-checkpoint"), every=None).awaitTermination()
     return rounded(without_zone(log.current(spark), "window_start", "window_end"), "rolling_avg_amount", "stddev_amount")
 
 

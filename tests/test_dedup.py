@@ -56,3 +56,12 @@ def test_against_brute_force(spark, data, partitions):
     df = spark.createDataFrame(data, "k string, seq int, v string").repartition(partitions)
     got = [tuple(r) for r in dedup_by_key(df, ["k"], [F.col("seq").desc()]).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_the_pick_is_the_same_without_a_limit_before_the_shuffle(spark):
+    rows = [(k, v, w) for k in (1, 2, None) for v in (3, 1, 3, None) for w in ("b", "a", None)]
+    df = spark.createDataFrame(rows, "k int, v int, w string")
+    for null_keys in ("collapse", "keep", "drop"):
+        limited, plain = (dedup_by_key(df, ["k"], [F.col("v").desc()], null_keys, repeated=r) for r in (True, False))
+        assert sorted(map(str, plain.collect())) == sorted(map(str, limited.collect()))
+        assert "WindowGroupLimit" not in plain._jdf.queryExecution().executedPlan().toString()

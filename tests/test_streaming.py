@@ -1,4 +1,5 @@
 import json
+import os
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -15,6 +16,8 @@ from tallyfold.streaming.features import (FeatureSettings, feature_log, feature_
 from tallyfold.streaming.moving import last_rows_log, moving_average_stream, start_moving_average
 from tallyfold.streaming.parse import parse_transactions, start_landing
 from tallyfold.streaming.progress import ProgressLog
+from tallyfold.workload import streaming as workload
+from tallyfold.workload.tables import tx_stream
 
 NO_WATERMARK = FeatureSettings(watermark=None)
 START = datetime(2025, 10, 14, 10)
@@ -283,3 +286,31 @@ def test_rows_of_a_customer_are_sorted_by_time_alone_where_it_decides(monkeypatc
     pd.testing.assert_frame_equal(moving._sorted(tied, order), want)
     monkeypatch.setattr(pd.DataFrame, "sort_values", None)
     assert list(moving._sorted(apart, order).index) == [3, 1, 2, 0]
+
+
+def test_a_large_backlog_is_read_by_more_tasks_and_keeps_its_state_on_disk(spark, tmp_path, monkeypatch):
+    """Files grow with the events, a trigger still reads one slice, and the windows are those of the table."""
+    events = spark.range(25_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_seconds(1704067200 + id * 31 + id % 7)").alias("ts"), (F.col("id") % 50).alias("user_id"),
+        F.lit("view").alias("event_type"), (F.col("id") % 97 + 0.25).alias("value"), F.lit("{}").alias("props"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(workload, "FILE_ROWS", 2000)
+    monkeypatch.setattr(workload, "STATE_ROWS", 1500)
+    made = []
+    monkeypatch.setattr(workload, "run_dir", lambda spark, purpose: made.append(str(tmp_path / f"{len(made)}-{purpose}")) or made[-1])
+    conf = spark.conf.getAll
+    got = workload.upserted_in_two_runs(spark, str(tmp_path)).collect()
+    assert spark.conf.getAll == conf
+    feed, *_, second = [path for path in made if path.endswith(("feed", "checkpoint"))]
+    assert len([name for name in os.listdir(feed) if name.endswith(".parquet")]) == 5 * 3
+    with open(f"{second}/offsets/0") as offsets:
+        started_with = offsets.read()
+    assert "RocksDBStateStoreProvider" in started_with and '"spark.sql.shuffle.partitions":"17"' in started_with
+    rows = feature_rows(tx_stream(spark, str(tmp_path)).withColumnRenamed("event_ts", "timestamp"))
+    want = workload.rounded(workload.without_zone(rows, "window_start", "window_end"), "rolling_avg_amount", "stddev_amount").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 10_000
+
+
+@pytest.mark.parametrize("rows, files", [([], 2), ([10, 0, 10, 10, 10], 2), ([10**6] * 4, 2), ([10**6] * 5, 10), ([10**6] * 4 + [4500], 4)])
+def test_no_file_of_a_slice_is_empty(rows, files):
+    assert workload.files_of(rows) == files
